@@ -36,7 +36,7 @@ def group_having(df: DataFrame, keys, aggs: dict[str, Column], having: Column) -
 
 def conditional_sums(df: DataFrame, keys, value: Column, cases: dict[str, Column]) -> DataFrame:
     """AGG-17: one pass, one sum per named condition."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    keys = [keys] if isinstance(keys, (str, Column)) else list(keys)
     return df.groupBy(*keys).agg(*[
         F.sum(F.when(cond, value)).alias(n) for n, cond in cases.items()])
 
