@@ -49,12 +49,23 @@ def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", heade
         return r.schema(schema).option("mode", "FAILFAST").csv(path)
     if on_bad == "drop":
         return r.schema(schema).option("mode", "DROPMALFORMED").csv(path)
+    # Quarantine: parse each line with ``from_csv`` in PERMISSIVE mode, keeping the
+    # raw line of every row that does not fit (short rows, unparsable values).
+    # Line-oriented: quoted fields must not span lines (use on_bad="fail" for that).
     wide = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    df = (r.schema(wide).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("raw_record"), F.col("_metadata.file_path").alias("_source_file"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_source_file"))
+    if header:
+        first = spark.read.text(path).limit(1).collect()
+        if first:
+            lines = lines.filter(F.col("value") != F.lit(first[0][0]))
+    opts = {"sep": sep, "quote": quote, "escape": escape, "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT}
+    opts.update({k: str(v) for k, v in (options or {}).items()})
+    parsed = lines.select(F.from_csv("value", wide.simpleString(), opts).alias("_r"),
+                          "_source_file").select("_r.*", "_source_file")
+    good = parsed.filter(F.col(CORRUPT).isNull()).select(*[f.name for f in schema.fields])
+    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("raw_record"), "_source_file")
     return good, bad
 
 
