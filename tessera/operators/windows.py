@@ -171,7 +171,9 @@ def _segment_offsets(df: DataFrame, keys: list[str], sum_cols: Sequence[str] = (
     for c in sum_cols:
         aggs.append(F.sum(money(c)).alias(f"_sum_{c}"))
     if dense_cols:
-        aggs.append(F.countDistinct(*[F.col(c) for c in dense_cols]).alias("_dcnt"))
+        # a struct is never null, so a null sort value counts as one distinct value,
+        # as it does for DENSE_RANK
+        aggs.append(F.countDistinct(F.struct(*[F.col(c) for c in dense_cols])).alias("_dcnt"))
     seg = df.groupBy(*keys, "_seg").agg(*aggs)
     before = _window(keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     whole = _window(keys)
@@ -221,12 +223,14 @@ def with_group_aggregates(df: DataFrame, keys, aggs: dict[str, Column],
 def with_total(df: DataFrame, column: str, name: str = "grand_total",
                strategy: str = "segmented") -> DataFrame:
     """WIN-1: ``SUM(c) OVER ()`` (exact decimal money sum, as DOUBLE)."""
-    return with_group_aggregates(df, [], {name: F.sum(money(column)).cast("double")}, strategy)
+    return with_partition_total(df, [], column, name, strategy)
 
 
 def with_partition_total(df: DataFrame, keys, column: str, name: str,
                          strategy: str = "segmented") -> DataFrame:
     """WIN-2: ``SUM(c) OVER (PARTITION BY keys)``."""
+    if strategy == "literal":
+        return df.withColumn(name, F.sum(money(column)).over(_window(_keys(keys))).cast("double"))
     return with_group_aggregates(df, keys, {name: F.sum(money(column)).cast("double")}, strategy)
 
 

@@ -15,8 +15,8 @@ def physical_plan(df: DataFrame, mode: str = "formatted") -> str:
     """The text of ``df.explain(mode)`` as a string."""
     qe = df._jdf.queryExecution()
     if mode == "formatted":
-        return qe.explainString(df.sparkSession._jvm.org.apache.spark.sql.execution
-                                .FormattedMode$.MODULE$)
+        execution = df.sparkSession._jvm.org.apache.spark.sql.execution
+        return qe.explainString(getattr(getattr(execution, "FormattedMode$"), "MODULE$"))
     return qe.executedPlan().toString()
 
 
