@@ -20,6 +20,7 @@ from tessera.operators.aggregate import share_of_total
 from tessera.operators.dedup import latest_per_key, removed_duplicates
 from tessera.operators.quality import REASON, REASONS, VALID, apply_rules, split_valid
 from tessera.sinks.layout import write_layer, write_reports
+from tessera.session import work_path
 from tessera.sources.files import read_delimited, with_provenance
 
 
@@ -98,6 +99,11 @@ def build_silver(bronze: DataFrame, null_policy: str = "reject",
     (by subscription date, then index) instead of an arbitrary survivor."""
     prepared = prepare_silver(bronze)
     validated = apply_rules(prepared, silver_rules(require_country), null_policy)
+    return split_silver(validated)
+
+
+def split_silver(validated: DataFrame) -> SilverResult:
+    """Valid rows de-duplicated per customer (latest kept), rejected rows, removed copies."""
     valid, rejected = split_valid(validated)
     valid = valid.drop("_is_email_valid", VALID, REASON, REASONS)
     kept = latest_per_key(valid, "customer_id", ["subscription_date", "index"])
@@ -106,10 +112,17 @@ def build_silver(bronze: DataFrame, null_policy: str = "reject",
 
 
 def customer_silver(spark: SparkSession, bronze_path: str, silver_path: str,
-                    rejected_path: str, duplicates_path: str | None = None) -> SilverResult:
-    """SLV: read the Bronze CSV (types inferred again), write valid and rejected layers."""
+                    rejected_path: str, duplicates_path: str | None = None,
+                    validated_path: str | None = None) -> SilverResult:
+    """SLV: read the Bronze CSV (types inferred again, as the notebook does), validate
+    once and write the validated rows; the valid, rejected and duplicate layers
+    are then split from that written table, so the CSV is parsed once and the
+    lineage of each output starts at storage."""
     bronze, _ = read_delimited(spark, bronze_path, header=True, infer=True)
-    res = build_silver(bronze)
+    validated = apply_rules(prepare_silver(bronze), silver_rules())
+    validated_path = validated_path or work_path(spark, "silver_validated")
+    write_layer(validated, validated_path)
+    res = split_silver(spark.read.parquet(validated_path))
     write_layer(res.valid, silver_path)
     write_layer(res.rejected, rejected_path)
     if duplicates_path:

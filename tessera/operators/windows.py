@@ -38,6 +38,8 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 from tessera.functions.numeric import money
 
 DEFAULT_RANGES = 64
+# A key with more rows than this is cut into ranges; fewer stay in one task.
+DEFAULT_HOT_ROWS = 2_000_000
 
 
 # --------------------------------------------------------------------------- helpers
@@ -84,7 +86,8 @@ def _window(keys: list[str], order: list[OrderKey] | None = None):
     return w
 
 
-def join_back(df: DataFrame, grouped: DataFrame, keys: list[str]) -> DataFrame:
+def join_back(df: DataFrame, grouped: DataFrame, keys: list[str],
+              broadcast: bool = False) -> DataFrame:
     """Attach per-key columns of ``grouped`` (one row per key) to ``df``.
 
     Null keys match null keys (the grouping put them in one group).  Without
@@ -95,6 +98,8 @@ def join_back(df: DataFrame, grouped: DataFrame, keys: list[str]) -> DataFrame:
     renamed = grouped
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__r_{k}")
+    if broadcast:
+        renamed = F.broadcast(renamed)
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(renamed[f"__r_{k}"])
@@ -122,50 +127,45 @@ def _sortable(df: DataFrame, key: OrderKey) -> Column:
     return v if key.ascending else -v
 
 
-def _bucket_expr(s: Column, cuts: Column, n_cuts: int) -> Column:
-    """Number of cut points strictly below ``s``: a balanced comparison tree.
-
-    Evaluates in O(log n) comparisons and stays inside whole-stage codegen.
-    """
+def _bucket_expr(s: Column, cuts: Sequence[float]) -> Column:
+    """Number of cut points strictly below ``s``: a balanced comparison tree over
+    literal cut points, O(log n) comparisons, inside whole-stage codegen."""
     def build(lo: int, hi: int) -> Column:
         # answer lies in [lo, hi]
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2          # compare with cut index mid (0-based)
-        return F.when(cuts.getItem(mid) < s, build(mid + 1, hi)).otherwise(build(lo, mid))
-    return build(0, n_cuts)
+        return F.when(F.lit(float(cuts[mid])) < s, build(mid + 1, hi)).otherwise(build(lo, mid))
+    return build(0, len(cuts))
 
 
-def assign_ranges(df: DataFrame, order: list[OrderKey], n_ranges: int = DEFAULT_RANGES,
-                  relative_error: float = 0.001) -> DataFrame:
-    """Add ``_seg``: a stable range id from quantile cut points of the first order column.
+def cut_points(df: DataFrame, s: Column, n_ranges: int, relative_error: float = 0.001) -> list[float]:
+    """``n_ranges - 1`` approximate quantiles of ``s`` (one small aggregate row).
 
-    The cut points are one aggregate row (size fixed by ``n_ranges``), broadcast.
-    Equal values of the first order column always share a range.
+    Repeated values collapse (a value held by many rows cannot be split by value).
     """
-    first = order[0]
-    s = _sortable(df, first)
-    if s is None or n_ranges <= 1:
-        return df.withColumn("_seg", F.lit(0))
-    n_cuts = n_ranges - 1
     probs = [i / n_ranges for i in range(1, n_ranges)]
     acc = int(max(1, round(1.0 / relative_error)))
-    with_s = df.withColumn("_sv", s)
-    cuts = with_s.agg(F.percentile_approx("_sv", probs, acc).alias("_cuts"))
-    nulls_first = first.ascending
-    null_seg = -1 if nulls_first else n_ranges
-    out = (with_s.crossJoin(F.broadcast(cuts))
-           .withColumn("_seg", F.when(F.col("_sv").isNull(), F.lit(null_seg))
-                       .otherwise(_bucket_expr(F.col("_sv"), F.col("_cuts"), n_cuts)))
-           .drop("_sv", "_cuts"))
-    return out
+    row = df.select(s.alias("_sv")).agg(F.percentile_approx("_sv", probs, acc).alias("c")).first()
+    cuts = row["c"] if row is not None and row["c"] is not None else []
+    return sorted(set(float(c) for c in cuts))
+
+
+def range_id(sv: Column, ascending: bool, cuts: Sequence[float]) -> Column:
+    """A stable range id from fixed cut points of the sort value ``sv`` (a column
+    of its own, so the comparison tree reads it instead of recomputing it); equal
+    values always share a range; nulls get the first or last range, as they sort."""
+    if not cuts:
+        return F.lit(0)
+    null_seg = -1 if ascending else len(cuts) + 1
+    return F.when(sv.isNull(), F.lit(null_seg)).otherwise(_bucket_expr(sv, cuts))
 
 
 def _segment_offsets(df: DataFrame, keys: list[str], sum_cols: Sequence[str] = (),
                      dense_cols: Sequence[str] = ()) -> DataFrame:
-    """Per (key, range): count, offsets of preceding ranges, group size.
+    """Per (key, range) of the split keys: count and offsets of the preceding ranges.
 
-    One row per non-empty (key, range): small, and AQE broadcasts it when it is.
+    One row per non-empty range of a split key: at most (hot keys) × (ranges + 2).
     """
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     for c in sum_cols:
@@ -178,7 +178,7 @@ def _segment_offsets(df: DataFrame, keys: list[str], sum_cols: Sequence[str] = (
     before = _window(keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     whole = _window(keys)
     cols = [F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long").alias("_off"),
-            F.sum("_cnt").over(whole).cast("long").alias("_n")]
+            F.sum("_cnt").over(whole).cast("long").alias("_hn")]
     for c in sum_cols:
         cols.append(F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_soff_{c}"))
     if dense_cols:
@@ -186,25 +186,78 @@ def _segment_offsets(df: DataFrame, keys: list[str], sum_cols: Sequence[str] = (
     return seg.select(*keys, "_seg", "_cnt", *cols)
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Keys holding more than ``hot_rows`` rows, flagged ``_hot``.
+
+    A partial/final count per key; at most rows / hot_rows keys can pass, so the
+    result has a proven size bound and is broadcast.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+    return counts.filter(F.col("_kn") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+
+
 def positions(df: DataFrame, keys, order, n_ranges: int = DEFAULT_RANGES,
-              sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = ()):
+              sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
+              hot_rows: int | None = None):
     """Rows with ``_seg`` (range), ``_rn`` (row_number within the key over the
-    whole order), ``_n`` (key size) and per-range offsets; plus the per-range table.
+    whole order), ``_n`` (key size), ``_cnt`` (rows in the range) and offsets;
+    plus the per-range table of the split keys.
 
-    The window itself runs per (key, range), so no task holds more than one range.
+    Keys with more than ``hot_rows`` rows (and the whole table when there is no
+    key) are cut into ranges of the first order column; every other key is one
+    range.  The window then runs per (key, range): no task holds more than one
+    range of a hot key, and ordinary keys cost a single shuffle.
     """
     keys = _keys(keys)
     order = parse_order(order)
-    ranged = assign_ranges(df, order, n_ranges)
-    offs = _segment_offsets(ranged, keys, sum_cols, dense_cols)
-    joined = join_back(ranged, offs, keys + ["_seg"])
+    hot_rows = DEFAULT_HOT_ROWS if hot_rows is None else hot_rows
     local = _window(keys + ["_seg"], order)
-    return joined.withColumn("_rn", F.col("_off") + F.row_number().over(local)), offs
+    whole_local = _window(keys + ["_seg"])
+    if keys:
+        hot = hot_keys(df, keys, hot_rows)
+        has_hot = hot.limit(1).count() > 0
+    else:
+        # reads at most hot_rows + 1 rows: decides whether one task may hold the table
+        has_hot = df.limit(hot_rows + 1).count() > hot_rows
+    if not has_hot:
+        # every key (or the whole table) fits one task: the plain window, one shuffle
+        fill = {"_seg": F.lit(0), "_hot": F.lit(False), "_off": F.lit(0).cast("long")}
+        for c in sum_cols:
+            fill[f"_soff_{c}"] = F.lit(0).cast("decimal(28,2)")
+        if dense_cols:
+            fill["_doff"] = F.lit(0).cast("long")
+        out = df.withColumns(fill)
+        out = out.withColumns({"_cnt": F.count(F.lit(1)).over(whole_local),
+                               "_rn": F.row_number().over(local).cast("long")})
+        return out.withColumn("_n", F.col("_cnt")), None
+    if keys:
+        flagged = join_back(df, hot, keys, broadcast=True).withColumn(
+            "_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+    else:
+        flagged = df.withColumn("_hot", F.lit(True))
+    s = _sortable(df, order[0])
+    flagged = flagged.withColumn("_sv", s if s is not None else F.lit(None).cast("double"))
+    cuts = cut_points(flagged.filter(F.col("_hot")), F.col("_sv"), n_ranges) if (
+        s is not None and n_ranges > 1) else []
+    ranged = flagged.withColumn("_seg", F.when(F.col("_hot"), range_id(
+        F.col("_sv"), order[0].ascending, cuts)).otherwise(F.lit(0))).drop("_sv")
+    offs = _segment_offsets(ranged.filter(F.col("_hot")), keys, sum_cols, dense_cols)
+    joined = join_back(ranged, offs, keys + ["_seg"], broadcast=True)
+    fill = {"_off": F.coalesce(F.col("_off"), F.lit(0).cast("long"))}
+    for c in sum_cols:
+        fill[f"_soff_{c}"] = F.coalesce(F.col(f"_soff_{c}"), F.lit(0).cast("decimal(28,2)"))
+    if dense_cols:
+        fill["_doff"] = F.coalesce(F.col("_doff"), F.lit(0).cast("long"))
+    fill["_cnt"] = F.coalesce(F.col("_cnt"), F.count(F.lit(1)).over(whole_local))
+    out = joined.withColumns(fill).withColumn("_n", F.coalesce(F.col("_hn"), F.col("_cnt")))
+    out = out.withColumn("_rn", F.col("_off") + F.row_number().over(local)).drop("_hn")
+    return out, offs
 
 
 def with_row_positions(df: DataFrame, keys, order, n_ranges: int = DEFAULT_RANGES,
-                       sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = ()) -> DataFrame:
-    return positions(df, keys, order, n_ranges, sum_cols, dense_cols)[0]
+                       sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
+                       hot_rows: int | None = None) -> DataFrame:
+    return positions(df, keys, order, n_ranges, sum_cols, dense_cols, hot_rows)[0]
 
 
 # --------------------------------------------------------------------------- per-group aggregates
@@ -293,7 +346,7 @@ def with_percent_of_partition(df: DataFrame, keys, column: str, name: str, scale
 
 # --------------------------------------------------------------------------- ordinal windows
 
-_INTERNAL = {"_seg", "_cnt", "_off", "_n", "_rn", "_doff"}
+_INTERNAL = {"_seg", "_cnt", "_off", "_n", "_rn", "_doff", "_hot", "_hn"}
 
 
 def _drop_internal(df: DataFrame) -> DataFrame:
@@ -303,7 +356,7 @@ def _drop_internal(df: DataFrame) -> DataFrame:
 def with_rank_columns(df: DataFrame, keys, order, row_number: str | None = None,
                       rank: str | None = None, dense_rank: str | None = None,
                       rank_order=None, strategy: str = "segmented",
-                      n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+                      n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-4 / 5 / 12 / 19: ROW_NUMBER over ``order``; RANK / DENSE_RANK over
     ``rank_order`` (defaults to ``order``; usually the order without its
     tie-breaker).  ``rank_order`` must be a prefix of ``order``."""
@@ -322,7 +375,8 @@ def with_rank_columns(df: DataFrame, keys, order, row_number: str | None = None,
             cols[dense_rank] = F.dense_rank().over(_window(keys, rank_k))
         return df.withColumns(cols)
     dense_cols = [o.name for o in rank_k] if dense_rank else []
-    pos = with_row_positions(df, keys, order_k, n_ranges, dense_cols=dense_cols)
+    pos = with_row_positions(df, keys, order_k, n_ranges, dense_cols=dense_cols,
+                             hot_rows=hot_rows)
     local_rank = _window(keys + ["_seg"], rank_k)
     cols = {}
     if row_number:
@@ -336,14 +390,14 @@ def with_rank_columns(df: DataFrame, keys, order, row_number: str | None = None,
 
 
 def with_running_sum(df: DataFrame, keys, order, column: str, name: str,
-                     strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+                     strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-3 / WIN-14: ``SUM(c) OVER (... ROWS UNBOUNDED PRECEDING)``, exact, as DOUBLE."""
     keys = _keys(keys)
     order_k = parse_order(order)
     frame = _window(keys, order_k).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if strategy == "literal":
         return df.withColumn(name, F.sum(money(column)).over(frame).cast("double"))
-    pos = with_row_positions(df, keys, order_k, n_ranges, sum_cols=[column])
+    pos = with_row_positions(df, keys, order_k, n_ranges, sum_cols=[column], hot_rows=hot_rows)
     local = _window(keys + ["_seg"], order_k).rowsBetween(Window.unboundedPreceding,
                                                           Window.currentRow)
     out = pos.withColumn(name, (F.col(f"_soff_{column}") + F.sum(money(column)).over(local))
@@ -367,13 +421,13 @@ def ntile_of(rn: Column, n_rows: Column, buckets: int) -> Column:
 
 
 def with_ntile(df: DataFrame, keys, order, buckets: int, name: str,
-               strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+               strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-13: NTILE(n) over a (possibly global) order."""
     keys = _keys(keys)
     order_k = parse_order(order)
     if strategy == "literal":
         return df.withColumn(name, F.ntile(buckets).over(_window(keys, order_k)))
-    pos = with_row_positions(df, keys, order_k, n_ranges)
+    pos = with_row_positions(df, keys, order_k, n_ranges, hot_rows=hot_rows)
     out = pos.withColumn(name, ntile_of(F.col("_rn"), F.col("_n"), buckets))
     return _drop_internal(out)
 
@@ -389,6 +443,7 @@ def _halo(pos: DataFrame, offs: DataFrame, keys: list[str], k: int, direction: s
     equi-join on the boundary, so no pairs are formed beyond k per row.
     """
     local_pos = F.col("_rn") - F.col("_off")                 # 1-based inside the range
+    pos = pos.filter(F.col("_hot"))                        # only split keys have neighbours
     if direction == "back":
         cand = pos.filter(local_pos > F.col("_cnt") - k)
         targets = F.array(*[F.col("_rn") + j for j in range(k)])
@@ -408,15 +463,16 @@ def _halo(pos: DataFrame, offs: DataFrame, keys: list[str], k: int, direction: s
 
 
 def _with_halo(df: DataFrame, keys: list[str], order_k: list[OrderKey], k_back: int,
-               k_ahead: int, carry: list[str], n_ranges: int) -> DataFrame:
+               k_ahead: int, carry: list[str], n_ranges: int,
+               hot_rows: int | None = None) -> DataFrame:
     """Rows (``_halo`` false) plus halo rows (``_halo`` true) per range, with ``_rn``."""
-    pos, offs = positions(df, keys, order_k, n_ranges)
+    pos, offs = positions(df, keys, order_k, n_ranges, hot_rows=hot_rows)
     base = pos.select(*keys, "_seg", "_rn", *carry, F.lit(False).alias("_halo"),
                       *[c for c in df.columns if c not in keys and c not in carry])
     parts = [base]
     extra = [c for c in df.columns if c not in keys and c not in carry]
     for direction, k in (("back", k_back), ("ahead", k_ahead)):
-        if k > 0:
+        if k > 0 and offs is not None:
             h = _halo(pos, offs, keys, k, direction, carry)
             h = h.select(*keys, "_seg", "_rn", *carry, F.lit(True).alias("_halo"),
                          *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in extra])
@@ -429,7 +485,7 @@ def _with_halo(df: DataFrame, keys: list[str], order_k: list[OrderKey], k_back:
 
 def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None = None,
                   lead_name: str | None = None, offset: int = 1, diff_name: str | None = None,
-                  strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+                  strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-7 / 8 / 21: LAG / LEAD by ``offset`` and ``c - LAG(c)``."""
     keys = _keys(keys)
     order_k = parse_order(order)
@@ -445,7 +501,7 @@ def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None
         return df.withColumns(cols)
     need_back = offset if (lag_name or diff_name) else 0
     need_ahead = offset if lead_name else 0
-    rows = _with_halo(df, keys, order_k, need_back, need_ahead, [column], n_ranges)
+    rows = _with_halo(df, keys, order_k, need_back, need_ahead, [column], n_ranges, hot_rows)
     w = _window(keys + ["_seg"]).orderBy("_rn")
     cols = {}
     if lag_name or diff_name:
@@ -461,7 +517,7 @@ def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None
 
 
 def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, name: str,
-                    strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES) -> DataFrame:
+                    strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-10: ``AVG(c) OVER (ORDER BY .. ROWS BETWEEN n PRECEDING AND CURRENT ROW)``.
 
     The frame sum is an exact decimal; the average is sum / rows as DOUBLE.
@@ -472,7 +528,7 @@ def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, nam
         fr = _window(keys, order_k).rowsBetween(-preceding, Window.currentRow)
         return df.withColumn(name, F.sum(money(column)).over(fr).cast("double")
                              / F.count(column).over(fr))
-    rows = _with_halo(df, keys, order_k, preceding, 0, [column], n_ranges)
+    rows = _with_halo(df, keys, order_k, preceding, 0, [column], n_ranges, hot_rows)
     fr = _window(keys + ["_seg"]).orderBy("_rn").rowsBetween(-preceding, Window.currentRow)
     out = rows.withColumn(name, F.sum(money(column)).over(fr).cast("double")
                           / F.count(column).over(fr))

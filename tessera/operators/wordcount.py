@@ -29,7 +29,10 @@ def words(c, lower: bool = False) -> Column:
 def word_count(df: DataFrame, c: str, lower: bool = False, min_len: int = 1,
                word_name: str = "word", count_name: str = "count") -> DataFrame:
     """AGG-10: case-sensitive by default; ``lower`` and ``min_len`` variants."""
-    w = df.select(F.explode(words(c, lower)).alias(word_name))
+    col = F.lower(F.col(c)) if lower else F.col(c)
+    # explode then a plain filter: stays in whole-stage codegen (no lambda)
+    w = (df.select(F.explode(F.split(col, WORD_DELIMITERS)).alias(word_name))
+         .filter(F.col(word_name) != ""))
     if min_len > 1:
         w = w.filter(F.length(word_name) >= min_len)
     return w.groupBy(word_name).agg(F.count(F.lit(1)).alias(count_name))

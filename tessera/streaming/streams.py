@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
-from tessera.operators.wordcount import stream_tokens, words
+from tessera.operators.wordcount import WORD_DELIMITERS, stream_tokens
 from tessera.session import work_path
 
 # The message envelope of the social-post feed.
@@ -149,7 +149,9 @@ def per_batch_word_count(stream: DataFrame, text: str, sink_path: str, keys: Seq
     checkpoint = checkpoint or work_path(spark, "batch_wc_ckpt")
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(*keys, F.explode(words(text, lower)).alias("word"))
+        col = F.lower(F.col(text)) if lower else F.col(text)
+        (batch.select(*keys, F.explode(F.split(col, WORD_DELIMITERS)).alias("word"))
+         .filter(F.col("word") != "")
          .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count"))
          .withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("append").format(fmt).save(sink_path))

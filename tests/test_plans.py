@@ -61,9 +61,11 @@ def test_share_of_total_has_no_single_partition_window(spark):
 
 @pytest.mark.parametrize("name", ["win_running_total", "win_moving_avg", "win_ntile",
                                   "win_grand_total"])
-def test_global_windows_are_not_single_task(spark, name):
-    """No Window operator runs over an exchange into a single partition."""
+def test_global_windows_are_not_single_task(spark, name, monkeypatch):
+    """Above the one-task bound, no Window runs over the whole table in one partition."""
     import __spark_entry__ as entry
+    from tessera.operators import windows as W
+    monkeypatch.setattr(W, "DEFAULT_HOT_ROWS", 1000)
     df = entry.queries()[name](spark, SF_SMALL)
     import re
     text = plan_facts(df).text
@@ -73,6 +75,14 @@ def test_global_windows_are_not_single_task(spark, name):
         assert "_cnt" in line or "_sum_" in line or "_dcnt" in line, line
 
 
+def test_small_global_window_stays_plain(spark):
+    """Below the bound (proven by a limited count) the plain window is used: one shuffle."""
+    import __spark_entry__ as entry
+    df = entry.queries()["win_running_total"](spark, SF_SMALL)
+    f = plan_facts(df)
+    assert f.broadcast_joins == 0 and f.text.count("Window [") == 1
+
+
 def test_no_python_in_registered_queries(spark):
     import __spark_entry__ as entry
     skip = ("stream_", "medallion_", "dq_", "update", "delete", "upsert", "insert", "partitioned",

@@ -55,21 +55,31 @@ CASES = {
 }
 
 
+@pytest.fixture(params=[None, 40], ids=["no-hot-keys", "all-keys-split"])
+def hot(request, monkeypatch):
+    """Run each case with the default threshold and with a threshold so low that
+    every key is split into ranges (exercising offsets and halos on keyed windows)."""
+    if request.param is not None:
+        monkeypatch.setattr(W, "DEFAULT_HOT_ROWS", request.param)
+    return request.param
+
+
 @pytest.mark.parametrize("case", sorted(CASES))
-def test_segmented_equals_literal(orders, case):
+def test_segmented_equals_literal(orders, case, hot):
     fn, cols = CASES[case]
     assert same(fn(orders, "literal"), fn(orders, "segmented"), cols)
 
 
 @pytest.mark.parametrize("case", ["rank", "running_key", "lag_lead", "moving_avg", "ntile_key"])
-def test_one_hot_key(orders, case):
-    """Every row under one key (the skew case): still exact."""
+def test_one_hot_key(orders, case, monkeypatch):
+    """Every row under one key (the skew case): the key is split, still exact."""
+    monkeypatch.setattr(W, "DEFAULT_HOT_ROWS", 100)
     fn, cols = CASES[case]
     hot = orders.withColumns({"o_orderpriority": F.lit("HOT"), "o_custkey": F.lit(1).cast("long")})
     assert same(fn(hot, "literal"), fn(hot, "segmented"), cols)
 
 
-def test_nulls_in_order_column(spark, orders):
+def test_nulls_in_order_column(spark, orders, hot):
     nulled = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 == 0, None)
                                .otherwise(F.col("o_totalprice")))
     for s_fn in (lambda s: W.with_rank_columns(nulled, "o_orderpriority", ["-o_totalprice", "o_orderkey"],
