@@ -10,14 +10,18 @@ Two families:
 
 * Ordinal windows (row_number, rank, dense_rank, running sums, NTILE, LAG/LEAD,
   moving frames).  A stock ``Window`` sends every row of a partition key - or
-  of the whole table when there is none - to one task.  Here every key is cut
-  into ranges of its first ORDER BY column (global quantile cut points, one
-  small broadcast row), per-range counts and sums are aggregated (one row per
-  key and range), prefix offsets are taken over that small table, and the
-  window is evaluated per (key, range) with the offset added.  Frames that look
-  back or ahead (LAG, LEAD, ``ROWS k PRECEDING``) receive a halo: the last /
-  first k rows of neighbouring ranges, found by equi-joins on global row
-  numbers, never by pairing rows.
+  of the whole table when there is none - to one task.  Here a key is split
+  only when it is hot (more than ``hot_rows`` rows; with no key, when the table
+  is): a limited count decides, so small inputs keep the plain one-shuffle
+  window.  A hot key is cut into ranges of its first ORDER BY column - coarse
+  quantile cut points plus equal-width sub-ranges, so the number of ranges
+  grows with the data and a range holds about ``hot_rows`` rows - per-range
+  counts and sums are aggregated (one row per hot key and range, a bounded
+  table that is broadcast), prefix offsets are taken over that small table,
+  and the window is evaluated per (key, range) with the offset added.  Frames
+  that look back or ahead (LAG, LEAD, ``ROWS k PRECEDING``) receive a halo:
+  the last / first k rows of neighbouring ranges, found by equi-joins on
+  global row numbers, never by pairing rows.
 
 Every function takes ``strategy="segmented"`` (default) or ``"literal"`` (the
 stock ``Window`` form, kept for small inputs and as the reference in tests).
@@ -37,7 +41,10 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 
 from tessera.functions.numeric import money
 
-DEFAULT_RANGES = 64
+# Coarse quantile ranges per split; each is sub-divided so a range holds about
+# ``hot_rows`` rows (the number of ranges grows with the data).
+MAX_COARSE_RANGES = 256
+DEFAULT_RANGES = None
 # A key with more rows than this is cut into ranges; fewer stay in one task.
 DEFAULT_HOT_ROWS = 2_000_000
 
@@ -139,26 +146,63 @@ def _bucket_expr(s: Column, cuts: Sequence[float]) -> Column:
     return build(0, len(cuts))
 
 
-def cut_points(df: DataFrame, s: Column, n_ranges: int, relative_error: float = 0.001) -> list[float]:
-    """``n_ranges - 1`` approximate quantiles of ``s`` (one small aggregate row).
+@dataclass(frozen=True)
+class RangePlan:
+    """Fixed cut points of a sort value: coarse quantile cuts, each coarse range
+    split into ``fine`` equal-width sub-ranges.  ``lo``/``hi`` are the extremes."""
+    cuts: tuple
+    lo: float
+    hi: float
+    fine: int
+
+    @property
+    def ranges(self) -> int:
+        return (len(self.cuts) + 1) * self.fine
+
 
+def plan_ranges(df: DataFrame, sv: Column, rows_per_range: int, coarse: int | None = None,
+                relative_error: float = 0.001) -> RangePlan | None:
+    """One aggregate pass: quantile cuts, min, max and count of ``sv``.
+
+    The number of ranges grows with the data: about ``count / rows_per_range``,
+    as ``coarse`` quantile ranges times ``fine`` equal-width sub-ranges.
     Repeated values collapse (a value held by many rows cannot be split by value).
     """
-    probs = [i / n_ranges for i in range(1, n_ranges)]
+    coarse = coarse or MAX_COARSE_RANGES
+    probs = [i / coarse for i in range(1, coarse)]
     acc = int(max(1, round(1.0 / relative_error)))
-    row = df.select(s.alias("_sv")).agg(F.percentile_approx("_sv", probs, acc).alias("c")).first()
-    cuts = row["c"] if row is not None and row["c"] is not None else []
-    return sorted(set(float(c) for c in cuts))
+    row = df.select(sv.alias("_sv")).agg(
+        F.percentile_approx("_sv", probs, acc).alias("c"), F.min("_sv").alias("lo"),
+        F.max("_sv").alias("hi"), F.count("_sv").alias("n")).first()
+    if row is None or row["n"] == 0:
+        return None
+    cuts = tuple(sorted(set(float(c) for c in (row["c"] or []))))
+    fine = max(1, -(-int(row["n"]) // (rows_per_range * (len(cuts) + 1))))
+    return RangePlan(cuts, float(row["lo"]), float(row["hi"]), fine)
 
 
-def range_id(sv: Column, ascending: bool, cuts: Sequence[float]) -> Column:
-    """A stable range id from fixed cut points of the sort value ``sv`` (a column
-    of its own, so the comparison tree reads it instead of recomputing it); equal
-    values always share a range; nulls get the first or last range, as they sort."""
-    if not cuts:
+def range_id(sv: Column, ascending: bool, plan: RangePlan | None) -> Column:
+    """A stable range id from a fixed ``RangePlan`` of the sort value ``sv`` (a
+    column of its own, so the comparison tree reads it instead of recomputing it).
+
+    Non-decreasing in ``sv``; equal values share a range; nulls get the first or
+    last range, as they sort.  Coarse range: O(log n) literal comparisons;
+    fine sub-range: O(1) arithmetic.
+    """
+    if plan is None:
         return F.lit(0)
-    null_seg = -1 if ascending else len(cuts) + 1
-    return F.when(sv.isNull(), F.lit(null_seg)).otherwise(_bucket_expr(sv, cuts))
+    coarse = _bucket_expr(sv, plan.cuts) if plan.cuts else F.lit(0)
+    rid = coarse
+    if plan.fine > 1:
+        edges = F.array(*[F.lit(v) for v in (plan.lo, *plan.cuts, plan.hi)])
+        left = F.element_at(edges, coarse + 1)
+        right = F.element_at(edges, coarse + 2)
+        width = (right - left) / F.lit(float(plan.fine))
+        sub = F.when(width > 0, F.least(F.greatest(F.floor((sv - left) / width), F.lit(0)),
+                                        F.lit(plan.fine - 1))).otherwise(F.lit(0))
+        rid = coarse * F.lit(plan.fine) + sub.cast("int")
+    null_seg = -1 if ascending else plan.ranges + 1
+    return F.when(sv.isNull(), F.lit(null_seg)).otherwise(rid.cast("int"))
 
 
 def _segment_offsets(df: DataFrame, keys: list[str], sum_cols: Sequence[str] = (),
@@ -196,7 +240,7 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     return counts.filter(F.col("_kn") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
 
 
-def positions(df: DataFrame, keys, order, n_ranges: int = DEFAULT_RANGES,
+def positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
               sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
               hot_rows: int | None = None):
     """Rows with ``_seg`` (range), ``_rn`` (row_number within the key over the
@@ -237,10 +281,10 @@ def positions(df: DataFrame, keys, order, n_ranges: int = DEFAULT_RANGES,
         flagged = df.withColumn("_hot", F.lit(True))
     s = _sortable(df, order[0])
     flagged = flagged.withColumn("_sv", s if s is not None else F.lit(None).cast("double"))
-    cuts = cut_points(flagged.filter(F.col("_hot")), F.col("_sv"), n_ranges) if (
-        s is not None and n_ranges > 1) else []
+    plan = plan_ranges(flagged.filter(F.col("_hot")), F.col("_sv"), hot_rows, n_ranges) if (
+        s is not None) else None
     ranged = flagged.withColumn("_seg", F.when(F.col("_hot"), range_id(
-        F.col("_sv"), order[0].ascending, cuts)).otherwise(F.lit(0))).drop("_sv")
+        F.col("_sv"), order[0].ascending, plan)).otherwise(F.lit(0))).drop("_sv")
     offs = _segment_offsets(ranged.filter(F.col("_hot")), keys, sum_cols, dense_cols)
     joined = join_back(ranged, offs, keys + ["_seg"], broadcast=True)
     fill = {"_off": F.coalesce(F.col("_off"), F.lit(0).cast("long"))}
@@ -254,7 +298,7 @@ def positions(df: DataFrame, keys, order, n_ranges: int = DEFAULT_RANGES,
     return out, offs
 
 
-def with_row_positions(df: DataFrame, keys, order, n_ranges: int = DEFAULT_RANGES,
+def with_row_positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
                        sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
                        hot_rows: int | None = None) -> DataFrame:
     return positions(df, keys, order, n_ranges, sum_cols, dense_cols, hot_rows)[0]
@@ -356,7 +400,7 @@ def _drop_internal(df: DataFrame) -> DataFrame:
 def with_rank_columns(df: DataFrame, keys, order, row_number: str | None = None,
                       rank: str | None = None, dense_rank: str | None = None,
                       rank_order=None, strategy: str = "segmented",
-                      n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
+                      n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-4 / 5 / 12 / 19: ROW_NUMBER over ``order``; RANK / DENSE_RANK over
     ``rank_order`` (defaults to ``order``; usually the order without its
     tie-breaker).  ``rank_order`` must be a prefix of ``order``."""
@@ -390,7 +434,7 @@ def with_rank_columns(df: DataFrame, keys, order, row_number: str | None = None,
 
 
 def with_running_sum(df: DataFrame, keys, order, column: str, name: str,
-                     strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
+                     strategy: str = "segmented", n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-3 / WIN-14: ``SUM(c) OVER (... ROWS UNBOUNDED PRECEDING)``, exact, as DOUBLE."""
     keys = _keys(keys)
     order_k = parse_order(order)
@@ -421,7 +465,7 @@ def ntile_of(rn: Column, n_rows: Column, buckets: int) -> Column:
 
 
 def with_ntile(df: DataFrame, keys, order, buckets: int, name: str,
-               strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
+               strategy: str = "segmented", n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-13: NTILE(n) over a (possibly global) order."""
     keys = _keys(keys)
     order_k = parse_order(order)
@@ -485,7 +529,7 @@ def _with_halo(df: DataFrame, keys: list[str], order_k: list[OrderKey], k_back:
 
 def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None = None,
                   lead_name: str | None = None, offset: int = 1, diff_name: str | None = None,
-                  strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
+                  strategy: str = "segmented", n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-7 / 8 / 21: LAG / LEAD by ``offset`` and ``c - LAG(c)``."""
     keys = _keys(keys)
     order_k = parse_order(order)
@@ -517,7 +561,7 @@ def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None
 
 
 def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, name: str,
-                    strategy: str = "segmented", n_ranges: int = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
+                    strategy: str = "segmented", n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
     """WIN-10: ``AVG(c) OVER (ORDER BY .. ROWS BETWEEN n PRECEDING AND CURRENT ROW)``.
 
     The frame sum is an exact decimal; the average is sum / rows as DOUBLE.

@@ -105,3 +105,12 @@ def test_top_n_uses_group_limit(orders):
     top = W.top_n_per_group(orders, "o_orderpriority", ["-o_totalprice", "o_orderkey"], 2)
     assert plan_facts(top).window_group_limits >= 1
     assert top.count() == 10
+
+
+def test_ranges_grow_with_data_and_stay_bounded(orders):
+    """With a bound of 50 rows per range, 1,500 orders spread over many small ranges."""
+    pos, offs = W.positions(orders, [], ["o_orderdate", "o_orderkey"], n_ranges=8, hot_rows=50)
+    sizes = [r["count"] for r in pos.groupBy("_seg").count().collect()]
+    assert len(sizes) >= 1500 // 200          # coarse 8 × fine sub-ranges
+    assert max(sizes) <= 200                  # about the bound (dates tie, quantiles are approximate)
+    assert offs.count() == len(sizes)
