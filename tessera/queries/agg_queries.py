@@ -289,3 +289,59 @@ def url_parts(spark, sf):
     host = T.url_host("url")
     return p.select("page_id", host.alias("host"), T.provider_type(host).alias("provider_type"),
                     F.col("url").startswith("https://").alias("is_secure"))
+
+
+# ----------------------------------------------------------------------------- SQL API, dedup, top-k
+
+@query("sql_trip_summary", """
+SELECT n.n_name AS city, COUNT(*) AS trips,
+       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_fare,
+       CAST((SUM(CAST(l.l_quantity AS BIGINT)) * 200 + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100 AS avg_quantity
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
+GROUP BY n.n_name ORDER BY total_fare DESC, city""")
+def sql_trip_summary(spark, sf):
+    """AGG-2..4 through the SQL API: several aggregates per group, ordered by one
+    (the average rounded half-up in integer arithmetic, exact)."""
+    return spark.sql("""
+        SELECT n.n_name AS city, COUNT(*) AS trips,
+               CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_fare,
+               CAST((SUM(CAST(l.l_quantity AS BIGINT)) * 200 + COUNT(*)) div (2 * COUNT(*)) AS DOUBLE) / 100
+                 AS avg_quantity
+        FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
+        JOIN {nation} n ON s.s_nationkey = n.n_nationkey
+        GROUP BY n.n_name ORDER BY total_fare DESC, city""",
+                     lineitem=read_table(spark, sf, "lineitem"),
+                     supplier=read_table(spark, sf, "supplier"),
+                     nation=read_table(spark, sf, "nation"))
+
+
+@query("dedup_removed", """
+SELECT o_orderkey, o_custkey, o_orderdate FROM (
+  SELECT o_orderkey, o_custkey, o_orderdate,
+         ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn > 1""")
+def dedup_removed(spark, sf):
+    """DED-2 / DED-3: keep the latest order per customer; return the removed copies."""
+    from tessera.operators.dedup import latest_per_key, removed_duplicates
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    kept = latest_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"])
+    return removed_duplicates(o, kept, ["o_custkey", "o_orderkey"])
+
+
+@query("dedup_keys", "SELECT DISTINCT o_custkey FROM orders")
+def dedup_keys(spark, sf):
+    """DED-1: one arbitrary survivor per key (only the key is deterministic)."""
+    from tessera.operators.dedup import drop_duplicates
+    return drop_duplicates(read_table(spark, sf, "orders"), "o_custkey").select("o_custkey")
+
+
+@query("topk_customers", f"""
+SELECT o_custkey, {sql_exact_sum("o_totalprice")} AS total_spent FROM orders
+GROUP BY o_custkey ORDER BY total_spent DESC, o_custkey LIMIT 3""")
+def topk_customers(spark, sf):
+    """SRT-5: top-3 customers by total, ties broken by key."""
+    from tessera.operators.dedup import top_k
+    o = read_table(spark, sf, "orders")
+    g = o.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("t"))
+    return top_k(g, ["-t"], 3, tie_breaker=["o_custkey"]).select(
+        "o_custkey", F.col("t").cast("double").alias("total_spent"))
