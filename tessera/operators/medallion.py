@@ -39,9 +39,15 @@ SILVER_RULES = (
 MISSING_COUNTRY = "Missing country"
 
 
-def customer_bronze(spark: SparkSession, source_path: str, bronze_path: str) -> str:
-    """BRZ: raw CSV (header, inferred types) + provenance columns → CSV layer."""
-    raw, _ = read_delimited(spark, source_path, header=True, infer=True)
+def customer_bronze(spark: SparkSession, source_path: str, bronze_path: str,
+                    infer: bool = False) -> str:
+    """BRZ: raw CSV + provenance columns → CSV layer.
+
+    Bronze keeps the raw text (no type inference, which would cost a full extra
+    pass over the input); Silver casts every column it uses explicitly.
+    ``infer=True`` reproduces the notebook's inferred read.
+    """
+    raw, _ = read_delimited(spark, source_path, header=True, infer=infer)
     write_layer(with_provenance(raw), bronze_path, "csv")
     return bronze_path
 
@@ -51,6 +57,8 @@ def prepare_silver(bronze: DataFrame) -> DataFrame:
     (four formats, first success), phones reduced to digits and ``+``, derived columns."""
     df = standardize_columns(bronze)
     email = F.lower(F.trim("email"))
+    if "index" in df.columns:
+        df = df.withColumn("index", F.col("index").cast("long"))
     out = df.withColumns({
         "customer_id": F.trim(F.col("customer_id").cast("string")),
         "first_name": F.initcap(F.trim("first_name")),
@@ -114,11 +122,11 @@ def split_silver(validated: DataFrame) -> SilverResult:
 def customer_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                     rejected_path: str, duplicates_path: str | None = None,
                     validated_path: str | None = None) -> SilverResult:
-    """SLV: read the Bronze CSV (types inferred again, as the notebook does), validate
-    once and write the validated rows; the valid, rejected and duplicate layers
-    are then split from that written table, so the CSV is parsed once and the
-    lineage of each output starts at storage."""
-    bronze, _ = read_delimited(spark, bronze_path, header=True, infer=True)
+    """SLV: read the Bronze CSV as text (every used column is cast explicitly, so no
+    inference pass), validate once and write the validated rows; the valid,
+    rejected and duplicate layers are then split from that written table, so the
+    CSV is parsed once and the lineage of each output starts at storage."""
+    bronze, _ = read_delimited(spark, bronze_path, header=True, infer=False)
     validated = apply_rules(prepare_silver(bronze), silver_rules())
     validated_path = validated_path or work_path(spark, "silver_validated")
     write_layer(validated, validated_path)
