@@ -498,7 +498,9 @@ def _halo(pos: DataFrame, offs: DataFrame, keys: list[str], k: int, direction: s
         bound = (F.col("_off") + F.col("_cnt"))               # last row of the range
     cand = cand.select(*keys, "_rn", *carry, F.explode(targets).alias("_bound"))
     bounds = offs.select(*keys, "_seg", bound.alias("_bound"))
-    halo = join_back(cand, bounds, keys + ["_bound"]).filter(F.col("_seg").isNotNull())
+    # one boundary row per range of a hot key: bounded, broadcast
+    halo = join_back(cand, bounds, keys + ["_bound"], broadcast=True).filter(
+        F.col("_seg").isNotNull())
     if direction == "back":
         halo = halo.filter(F.col("_rn") > F.col("_bound") - k)
     else:
