@@ -287,3 +287,58 @@ def win_salary_neighbours(spark, sf):
     return W.with_lag_lead(df, "department_id", ["-salary", "employee_id"], "salary",
                            "previous_higher_salary", "next_lower_salary").orderBy(
         "department_id", F.desc("salary"), "employee_id")
+
+
+# ----------------------------------------------------------------------------- split (hot-key) forms
+# The same queries with a low hot-key threshold, so the range-split path (offsets,
+# halos, per-range table) is what runs and is checked against the oracle.  On a
+# cluster the default threshold sends only genuinely hot keys down this path.
+
+SPLIT_ROWS = 1000
+
+
+def _oracle(name):
+    from tessera.queries.registry import ORACLES
+    return ORACLES[name]
+
+
+@query("win_running_total_split", _oracle("win_running_total"))
+def win_running_total_split(spark, sf):
+    df = sales_orders(spark, sf).select("order_id", "order_date", "order_amount")
+    return W.with_running_sum(df, [], ["order_date", "order_id"], "order_amount", "running_total",
+                              hot_rows=SPLIT_ROWS)
+
+
+@query("win_rank_compare_split", _oracle("win_rank_compare"))
+def win_rank_compare_split(spark, sf):
+    df = sales_orders(spark, sf).select("order_id", "region", "salesperson", "order_amount")
+    return W.with_rank_columns(df, "region", ["-order_amount", "order_id"],
+                               row_number="row_number_value", rank="rank_value",
+                               dense_rank="dense_rank_value", rank_order=["-order_amount"],
+                               hot_rows=SPLIT_ROWS)
+
+
+@query("win_ntile_split", _oracle("win_ntile"))
+def win_ntile_split(spark, sf):
+    df = sales_orders(spark, sf).select("order_id", "region", "salesperson", "order_amount")
+    return W.with_ntile(df, [], ["-order_amount", "order_id"], 4, "sales_bucket",
+                        hot_rows=SPLIT_ROWS)
+
+
+@query("win_moving_avg_split", _oracle("win_moving_avg"))
+def win_moving_avg_split(spark, sf):
+    df = sales_orders(spark, sf).select("order_id", "order_date", "order_amount")
+    return W.with_moving_avg(df, [], ["order_date", "order_id"], "order_amount", 2,
+                             "moving_avg_last_3_orders", hot_rows=SPLIT_ROWS)
+
+
+@query("win_region_neighbours_split", f"""WITH {SO}
+SELECT order_id, region, order_amount,
+  LAG(order_amount) OVER (PARTITION BY region ORDER BY order_amount DESC, order_id) AS previous_amount,
+  LEAD(order_amount) OVER (PARTITION BY region ORDER BY order_amount DESC, order_id) AS next_amount
+FROM sales_orders""")
+def win_region_neighbours_split(spark, sf):
+    """LAG / LEAD inside five hot region keys (each split into ranges, halos carried)."""
+    df = sales_orders(spark, sf).select("order_id", "region", "order_amount")
+    return W.with_lag_lead(df, "region", ["-order_amount", "order_id"], "order_amount",
+                           "previous_amount", "next_amount", hot_rows=SPLIT_ROWS)
