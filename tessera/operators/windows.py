@@ -19,9 +19,12 @@ Two families:
   counts and sums are aggregated (one row per hot key and range, a bounded
   table that is broadcast), prefix offsets are taken over that small table,
   and the window is evaluated per (key, range) with the offset added.  Frames
-  that look back or ahead (LAG, LEAD, ``ROWS k PRECEDING``) receive a halo:
-  the last / first k rows of neighbouring ranges, found by equi-joins on
-  global row numbers, never by pairing rows.
+  that look back or ahead (LAG, LEAD, ``ROWS k PRECEDING``) are evaluated in
+  the same per-range window; only the first / last k rows of each range are
+  patched, from a small edge table (top-k per range) matched by equi-joins on
+  global row numbers - never by pairing rows - and attached by broadcast.
+  Orders for these must be total (end with a unique column), as for any
+  deterministic LAG.
 
 Every function takes ``strategy="segmented"`` (default) or ``"literal"`` (the
 stock ``Window`` form, kept for small inputs and as the reference in tests).
@@ -40,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from tessera.functions.numeric import money
+from tessera.session import checkpoint_root
 
 # Coarse quantile ranges per split; each is sub-divided so a range holds about
 # ``hot_rows`` rows (the number of ranges grows with the data).
@@ -243,6 +247,14 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
 def positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
               sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
               hot_rows: int | None = None):
+    """See ``_split_positions``; returns (rows, per-range table or None)."""
+    pos, offs, _ = _split_positions(df, keys, order, n_ranges, sum_cols, dense_cols, hot_rows)
+    return pos, offs
+
+
+def _split_positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
+                     sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
+                     hot_rows: int | None = None):
     """Rows with ``_seg`` (range), ``_rn`` (row_number within the key over the
     whole order), ``_n`` (key size), ``_cnt`` (rows in the range) and offsets;
     plus the per-range table of the split keys.
@@ -258,7 +270,10 @@ def positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
     local = _window(keys + ["_seg"], order)
     whole_local = _window(keys + ["_seg"])
     if keys:
-        hot = hot_keys(df, keys, hot_rows)
+        # bounded (at most rows / hot_rows keys) and used by several branches:
+        # computed once and kept in the shared checkpoint folder
+        checkpoint_root(df.sparkSession)
+        hot = hot_keys(df, keys, hot_rows).checkpoint()
         has_hot = hot.limit(1).count() > 0
     else:
         # reads at most hot_rows + 1 rows: decides whether one task may hold the table
@@ -273,7 +288,7 @@ def positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
         out = df.withColumns(fill)
         out = out.withColumns({"_cnt": F.count(F.lit(1)).over(whole_local),
                                "_rn": F.row_number().over(local).cast("long")})
-        return out.withColumn("_n", F.col("_cnt")), None
+        return out.withColumn("_n", F.col("_cnt")), None, None
     if keys:
         flagged = join_back(df, hot, keys, broadcast=True).withColumn(
             "_hot", F.coalesce(F.col("_hot"), F.lit(False)))
@@ -285,7 +300,10 @@ def positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
         s is not None) else None
     ranged = flagged.withColumn("_seg", F.when(F.col("_hot"), range_id(
         F.col("_sv"), order[0].ascending, plan)).otherwise(F.lit(0))).drop("_sv")
-    offs = _segment_offsets(ranged.filter(F.col("_hot")), keys, sum_cols, dense_cols)
+    # one row per range of a hot key; read by the main window and by the edge
+    # patches, so it is materialised once (reliable checkpoint, shared folder)
+    checkpoint_root(df.sparkSession)
+    offs = _segment_offsets(ranged.filter(F.col("_hot")), keys, sum_cols, dense_cols).checkpoint()
     joined = join_back(ranged, offs, keys + ["_seg"], broadcast=True)
     fill = {"_off": F.coalesce(F.col("_off"), F.lit(0).cast("long"))}
     for c in sum_cols:
@@ -295,7 +313,7 @@ def positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
     fill["_cnt"] = F.coalesce(F.col("_cnt"), F.count(F.lit(1)).over(whole_local))
     out = joined.withColumns(fill).withColumn("_n", F.coalesce(F.col("_hn"), F.col("_cnt")))
     out = out.withColumn("_rn", F.col("_off") + F.row_number().over(local)).drop("_hn")
-    return out, offs
+    return out, offs, ranged
 
 
 def with_row_positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
@@ -476,57 +494,45 @@ def with_ntile(df: DataFrame, keys, order, buckets: int, name: str,
     return _drop_internal(out)
 
 
-def _halo(pos: DataFrame, offs: DataFrame, keys: list[str], k: int, direction: str,
-          carry: list[str]) -> DataFrame:
-    """Rows of neighbouring ranges that a frame of ``k`` rows back (or ahead) needs.
+def _reverse(order: list[OrderKey]) -> list[OrderKey]:
+    # Spark's default null placement flips with the direction, so this is the exact reverse
+    return [OrderKey(o.name, not o.ascending) for o in order]
+
+
+def _edges(ranged: DataFrame, offs: DataFrame, keys: list[str], order: list[OrderKey], k: int,
+           carry: Sequence[str]):
+    """The first k and last k rows of every range of a hot key, with global row numbers.
 
-    ``pos`` carries ``_seg``, ``_rn``, ``_off``, ``_cnt``.  A range starting at
-    global row ``_off + 1`` needs rows ``_off - k + 1 .. _off`` (back); these
-    can only be among the last k rows of earlier ranges.  Each candidate row r
-    is offered to the ranges whose boundary is r, r+1, .., r+k-1 by an
-    equi-join on the boundary, so no pairs are formed beyond k per row.
+    Two top-k per range (planned with a partial ``WindowGroupLimit``, so at most
+    k rows per range leave each map task) joined to the bounded per-range table.
+    At most 2k rows per range: a bounded table.
     """
-    local_pos = F.col("_rn") - F.col("_off")                 # 1-based inside the range
-    pos = pos.filter(F.col("_hot"))                        # only split keys have neighbours
-    if direction == "back":
-        cand = pos.filter(local_pos > F.col("_cnt") - k)
-        targets = F.array(*[F.col("_rn") + j for j in range(k)])
-        bound = (F.col("_off"))                               # boundary = last row before range
-    else:
-        cand = pos.filter(local_pos <= k)
-        targets = F.array(*[F.col("_rn") - j for j in range(1, k + 1)])
-        bound = (F.col("_off") + F.col("_cnt"))               # last row of the range
-    cand = cand.select(*keys, "_rn", *carry, F.explode(targets).alias("_bound"))
-    bounds = offs.select(*keys, "_seg", bound.alias("_bound"))
-    # one boundary row per range of a hot key: bounded, broadcast
-    halo = join_back(cand, bounds, keys + ["_bound"], broadcast=True).filter(
-        F.col("_seg").isNotNull())
-    if direction == "back":
-        halo = halo.filter(F.col("_rn") > F.col("_bound") - k)
-    else:
-        halo = halo.filter(F.col("_rn") <= F.col("_bound") + k)
-    return halo.drop("_bound")
-
-
-def _with_halo(df: DataFrame, keys: list[str], order_k: list[OrderKey], k_back: int,
-               k_ahead: int, carry: list[str], n_ranges: int,
-               hot_rows: int | None = None) -> DataFrame:
-    """Rows (``_halo`` false) plus halo rows (``_halo`` true) per range, with ``_rn``."""
-    pos, offs = positions(df, keys, order_k, n_ranges, hot_rows=hot_rows)
-    base = pos.select(*keys, "_seg", "_rn", *carry, F.lit(False).alias("_halo"),
-                      *[c for c in df.columns if c not in keys and c not in carry])
-    parts = [base]
-    extra = [c for c in df.columns if c not in keys and c not in carry]
-    for direction, k in (("back", k_back), ("ahead", k_ahead)):
-        if k > 0 and offs is not None:
-            h = _halo(pos, offs, keys, k, direction, carry)
-            h = h.select(*keys, "_seg", "_rn", *carry, F.lit(True).alias("_halo"),
-                         *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in extra])
-            parts.append(h)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    hot = ranged.filter(F.col("_hot")).select(*keys, "_seg", *{o.name for o in order}, *carry)
+    meta = offs.select(*keys, "_seg", "_off", "_cnt")
+    head = (hot.withColumn("_p", F.row_number().over(_window(keys + ["_seg"], order)))
+            .filter(F.col("_p") <= k))
+    head = join_back(head, meta, keys + ["_seg"], broadcast=True).select(
+        *keys, "_seg", "_off", (F.col("_off") + F.col("_p")).alias("_rn"), *carry)
+    tail = (hot.withColumn("_p", F.row_number().over(_window(keys + ["_seg"], _reverse(order))))
+            .filter(F.col("_p") <= k))
+    tail = join_back(tail, meta, keys + ["_seg"], broadcast=True).select(
+        *keys, "_seg", "_off", (F.col("_off") + F.col("_cnt") - F.col("_p") + 1).alias("_rn"),
+        *carry)
+    return head, tail
+
+
+def _pick(needers: DataFrame, sources: DataFrame, keys: list[str], shift: int, column: str,
+          name: str) -> DataFrame:
+    """For each needer row, ``column`` of the source row ``shift`` rows away (equi-join
+    on the target row number; both sides are edge rows, small)."""
+    want = needers.select(*keys, "_rn", (F.col("_rn") + F.lit(shift)).alias("_t"))
+    have = sources.select(*keys, F.col("_rn").alias("_t"), F.col(column).alias(name))
+    return join_back(want, have, keys + ["_t"]).select(*keys, "_rn", name)
+
+
+def _attach(pos: DataFrame, fix: DataFrame, keys: list[str]) -> DataFrame:
+    """Bounded fix-up table (edge rows only) attached to every row by broadcast."""
+    return join_back(pos, fix, keys + ["_rn"], broadcast=True)
 
 
 def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None = None,
@@ -545,21 +551,43 @@ def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None
         if diff_name:
             cols[diff_name] = F.col(column) - F.lag(column, offset).over(w)
         return df.withColumns(cols)
-    need_back = offset if (lag_name or diff_name) else 0
-    need_ahead = offset if lead_name else 0
-    rows = _with_halo(df, keys, order_k, need_back, need_ahead, [column], n_ranges, hot_rows)
-    w = _window(keys + ["_seg"]).orderBy("_rn")
+    pos, offs, ranged = _split_positions(df, keys, order_k, n_ranges, hot_rows=hot_rows)
+    local = _window(keys + ["_seg"], order_k)
+    lpos = F.col("_rn") - F.col("_off")                     # position inside the range
+    out = pos
+    want_lag = bool(lag_name or diff_name)
+    if want_lag:
+        out = out.withColumn("_lag", F.lag(column, offset).over(local))
+    if lead_name:
+        out = out.withColumn("_lead", F.lead(column, offset).over(local))
+    if offs is not None:
+        # rows near a range edge take their neighbour from the edge of the next range
+        head, tail = _edges(ranged, offs, keys, order_k, offset, [column])
+        fixes = []
+        if want_lag:
+            fixes.append(_pick(head, tail, keys, -offset, column, "_fix_lag"))
+        if lead_name:
+            fixes.append(_pick(tail, head, keys, offset, column, "_fix_lead"))
+        fix = fixes[0]
+        for f in fixes[1:]:
+            fix = fix.join(f, keys + ["_rn"], "full") if keys else fix.join(f, ["_rn"], "full")
+        out = _attach(out, fix, keys)
+        if want_lag:
+            out = out.withColumn("_lag", F.when(F.col("_hot") & (lpos <= offset),
+                                                F.col("_fix_lag")).otherwise(F.col("_lag")))
+        if lead_name:
+            out = out.withColumn("_lead", F.when(
+                F.col("_hot") & (lpos > F.col("_cnt") - offset), F.col("_fix_lead"))
+                .otherwise(F.col("_lead")))
     cols = {}
-    if lag_name or diff_name:
-        prev = F.lag(column, offset).over(w)
-        if lag_name:
-            cols[lag_name] = prev
-        if diff_name:
-            cols[diff_name] = F.col(column) - prev
+    if lag_name:
+        cols[lag_name] = F.col("_lag")
+    if diff_name:
+        cols[diff_name] = F.col(column) - F.col("_lag")
     if lead_name:
-        cols[lead_name] = F.lead(column, offset).over(w)
-    out = rows.withColumns(cols).filter(~F.col("_halo"))
-    return out.drop("_halo", "_seg", "_rn")
+        cols[lead_name] = F.col("_lead")
+    out = out.withColumns(cols)
+    return out.select(*df.columns, *cols.keys())
 
 
 def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, name: str,
@@ -574,11 +602,28 @@ def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, nam
         fr = _window(keys, order_k).rowsBetween(-preceding, Window.currentRow)
         return df.withColumn(name, F.sum(money(column)).over(fr).cast("double")
                              / F.count(column).over(fr))
-    rows = _with_halo(df, keys, order_k, preceding, 0, [column], n_ranges, hot_rows)
-    fr = _window(keys + ["_seg"]).orderBy("_rn").rowsBetween(-preceding, Window.currentRow)
-    out = rows.withColumn(name, F.sum(money(column)).over(fr).cast("double")
-                          / F.count(column).over(fr))
-    return out.filter(~F.col("_halo")).drop("_halo", "_seg", "_rn")
+    pos, offs, ranged = _split_positions(df, keys, order_k, n_ranges, hot_rows=hot_rows)
+    fr = _window(keys + ["_seg"], order_k).rowsBetween(-preceding, Window.currentRow)
+    out = pos.withColumns({"_msum": F.sum(money(column)).over(fr),
+                           "_mcnt": F.count(column).over(fr)})
+    if offs is not None and preceding > 0:
+        # the first rows of a range also need the last rows of earlier ranges: each
+        # tail row is offered to the next ``preceding`` row numbers (equi-join),
+        # and only offers from outside the needer's own range are kept
+        head, tail = _edges(ranged, offs, keys, order_k, preceding, [column])
+        offers = tail.select(*keys, F.col("_rn").alias("_src"), F.col(column).alias("_v"),
+                             F.explode(F.sequence(F.col("_rn") + 1,
+                                                  F.col("_rn") + preceding)).alias("_t"))
+        want = head.select(*keys, "_rn", "_off", F.col("_rn").alias("_t"))
+        got = join_back(want, offers, keys + ["_t"]).filter(
+            F.col("_src").isNotNull() & (F.col("_src") <= F.col("_off")))
+        fix = got.groupBy(*keys, "_rn").agg(F.sum(money("_v")).alias("_xsum"),
+                                             F.count("_v").alias("_xcnt"))
+        out = _attach(out, fix, keys).withColumns({
+            "_msum": F.col("_msum") + F.coalesce(F.col("_xsum"), F.lit(0)),
+            "_mcnt": F.col("_mcnt") + F.coalesce(F.col("_xcnt"), F.lit(0))})
+    out = out.withColumn(name, F.col("_msum").cast("double") / F.col("_mcnt"))
+    return out.select(*df.columns, name)
 
 
 def top_n_per_group(df: DataFrame, keys, order, n: int, rn_name: str = "rn") -> DataFrame:
