@@ -44,12 +44,10 @@ def conditional_sums(df: DataFrame, keys, value: Column, cases: dict[str, Column
 def share_of_total(grouped: DataFrame, count_col: str, name: str, scale: int = 2) -> DataFrame:
     """AGG-8 / WIN-22: ``ROUND(n * 100.0 / SUM(n) OVER (), scale)`` over grouped rows.
 
-    The total is a one-row aggregate broadcast to the groups; the rounding is exact.
+    The total is a scalar subquery (one value, computed once); the rounding is exact.
     """
-    total = grouped.agg(F.sum(count_col).alias("_total"))
-    return (grouped.crossJoin(F.broadcast(total))
-            .withColumn(name, percent(F.col(count_col), F.col("_total"), scale))
-            .drop("_total"))
+    total = grouped.agg(F.sum(count_col)).scalar()
+    return grouped.withColumn(name, percent(F.col(count_col), total, scale))
 
 
 def kpis(df: DataFrame, distinct_cols: dict[str, str], range_cols: dict[str, tuple[str, str]],

@@ -103,8 +103,10 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
 def with_config(df: DataFrame, config: DataFrame) -> DataFrame:
     """JON-10 / SRC-8: attach a one-row configuration to every row.
 
-    The configuration must be exactly one row (checked), so broadcasting it is bounded.
+    The configuration must be exactly one row (checked); its fields are attached
+    as one scalar subquery, computed once.
     """
     if config.limit(2).count() != 1:
         raise ValueError("configuration must have exactly one row")
-    return df.crossJoin(F.broadcast(config))
+    from tessera.operators.windows import with_scalars
+    return with_scalars(df, config)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import parse_date_multi
 from tessera.functions.names import standardize_columns
-from tessera.functions.numeric import percent
 from tessera.functions.text import EMAIL_PATTERN, clean_phone, email_domain, not_blank
 from tessera.operators.aggregate import share_of_total
 from tessera.operators.dedup import latest_per_key, removed_duplicates
@@ -187,6 +186,4 @@ def customer_gold(spark: SparkSession, silver_path: str, gold_base: str) -> dict
 def rejection_summary(rejected: DataFrame) -> DataFrame:
     """Rejected rows per first failing reason, with their share."""
     g = rejected.groupBy(F.col(REASON).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
-    total = g.agg(F.sum("records").alias("_t"))
-    return (g.crossJoin(F.broadcast(total))
-            .withColumn("percentage", percent(F.col("records"), F.col("_t"))).drop("_t"))
+    return share_of_total(g, "records", "percentage")

@@ -50,17 +50,15 @@ def reconcile(input_df: DataFrame, valid: DataFrame, rejected: DataFrame,
               duplicates: DataFrame | None = None) -> DataFrame:
     """DQ-6: one row of counts and whether input = valid + rejected + duplicates.
 
-    Each count is its own aggregate (one pass over each frame); the four
-    one-row results are combined with cross joins of single rows.
+    Each count is its own aggregate (one pass over each frame), attached to the
+    first as scalar subqueries.
     """
-    def cnt(df, name):
-        return df.agg(F.count(F.lit(1)).alias(name))
-    out = cnt(input_df, "input_records").crossJoin(cnt(valid, "valid_records")).crossJoin(
-        cnt(rejected, "rejected_records"))
-    if duplicates is not None:
-        out = out.crossJoin(cnt(duplicates, "duplicate_records"))
-    else:
-        out = out.withColumn("duplicate_records", F.lit(0).cast("long"))
+    def cnt(df):
+        return df.agg(F.count(F.lit(1))).scalar()
+    out = input_df.agg(F.count(F.lit(1)).alias("input_records")).withColumns({
+        "valid_records": cnt(valid), "rejected_records": cnt(rejected),
+        "duplicate_records": cnt(duplicates) if duplicates is not None
+        else F.lit(0).cast("long")})
     return out.withColumn("balanced", F.col("input_records") == F.col("valid_records")
                           + F.col("rejected_records") + F.col("duplicate_records"))
 

@@ -105,7 +105,8 @@ def join_back(df: DataFrame, grouped: DataFrame, keys: list[str],
     keys ``grouped`` is a single row and is broadcast.
     """
     if not keys:
-        return df.crossJoin(F.broadcast(grouped))
+        # one row: attached as a scalar subquery (computed once, used as a value)
+        return with_scalars(df, grouped)
     renamed = grouped
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__r_{k}")
@@ -119,6 +120,13 @@ def join_back(df: DataFrame, grouped: DataFrame, keys: list[str],
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach every column of a one-row frame to ``df`` through a single scalar
+    subquery (more than one row is a run-time error, as in SQL)."""
+    packed = one_row.select(F.struct(*[F.col(c) for c in one_row.columns]).alias("_s")).scalar()
+    return df.withColumns({c: packed.getField(c) for c in one_row.columns})
+
+
 def _sortable(df: DataFrame, key: OrderKey) -> Column:
     """A DOUBLE that is non-decreasing in the sort order of ``key``."""
     dt = df.schema[key.name].dataType

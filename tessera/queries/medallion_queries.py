@@ -235,8 +235,10 @@ def dq_checks(spark, sf):
     is_date = dict(silver.dtypes)["subscription_date"] == "date"
     u = check(silver, {"unique_customer_id": unique_check("customer_id")})
     s = check(report, {"percentages_sum_to_100":
-                       F.abs(F.sum("customer_percentage") - F.lit(100.0)) <= F.lit(0.5)})
-    return u.crossJoin(s).withColumn("subscription_date_is_date", F.lit(is_date))
+                       F.abs(F.sum("customer_percentage") - F.lit(100.0)) <= F.lit(0.5)}).select(
+        "percentages_sum_to_100")
+    return u.withColumns({"percentages_sum_to_100": s.scalar(),
+                          "subscription_date_is_date": F.lit(is_date)})
 
 
 @query("dq_null_policy", f"""WITH {SILVER_SQL}
