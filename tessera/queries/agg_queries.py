@@ -345,3 +345,27 @@ def topk_customers(spark, sf):
     g = o.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("t"))
     return top_k(g, ["-t"], 3, tie_breaker=["o_custkey"]).select(
         "o_custkey", F.col("t").cast("double").alias("total_spent"))
+
+
+@query("dedup_latest", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1""")
+def dedup_latest(spark, sf):
+    """WIN-16 / DED-2: the latest order per customer (partial/final ``max_by``)."""
+    from tessera.operators.dedup import latest_per_key
+    o = read_table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate",
+                                               "o_totalprice")
+    return latest_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"])
+
+
+@query("error_lines_by_source", """
+SELECT source, COUNT(*) AS lines FROM (
+  SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents)
+WHERE contains(line, 'License') GROUP BY source""")
+def error_lines_by_source(spark, sf):
+    """FLT-5 / AGG-12: matching lines counted per document source."""
+    d = read_table(spark, sf, "documents")
+    ln = d.select("source", F.explode(F.split("text", "\n")).alias("line"))
+    return (ln.filter(F.col("line").contains("License")).groupBy("source")
+            .agg(F.count(F.lit(1)).alias("lines")))

@@ -262,3 +262,22 @@ def dq_null_policy(spark, sf):
                           F.count_if(F.col("_is_valid_record") == F.lit(False)).alias("rejected_records"))
                     .withColumn("null_policy", F.lit(policy)))
     return rows[0].unionByName(rows[1]).select("null_policy", "valid_records", "rejected_records")
+
+
+@query("dq_split", f"""WITH {SILVER_SQL}
+SELECT customer_id, first_name, last_name, country, city, company, email, email_domain,
+       subscription_date FROM silver""")
+def dq_split(spark, sf):
+    """DQ-4 / DED-2: the Silver rows themselves (valid, latest per customer), read back."""
+    p = run_medallion(spark, sf)
+    return spark.read.parquet(p["silver"]).select(
+        "customer_id", "first_name", "last_name", "country", "city", "company", "email",
+        "email_domain", "subscription_date")
+
+
+@query("dq_reasons", f"""WITH {SILVER_SQL}
+SELECT CAST(idx AS BIGINT) AS index, reason FROM validated WHERE reason IS NOT NULL""")
+def dq_reasons(spark, sf):
+    """DQ-2: every rejected row with its first failing reason (rejected rows keep ``index``)."""
+    p = run_medallion(spark, sf)
+    return spark.read.parquet(p["rejected"]).select("index", F.col(REASON).alias("reason"))

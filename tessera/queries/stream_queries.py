@@ -167,3 +167,25 @@ def stream_parity(spark, sf):
     out = work_path(spark, "stream_out")
     ST.run_to_end(ST.start(tagged, out, "append"))
     return spark.read.parquet(out).groupBy("parity").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("stream_kafka_shape", f"""WITH {_POSTS_SQL}
+SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST(user_id AS VARCHAR) AS author_id,
+       created_at, lang FROM posts WHERE lang = 'en' AND created_at IS NOT NULL""")
+def stream_kafka_shape(spark, sf):
+    """STM-3 / STM-14 / JSN-1: message values parsed and flattened on a stream, English
+    posts with a valid time appended to files (the envelope transform works on any
+    stream with a ``value`` column)."""
+    posts = _posts(spark, sf)
+    env = posts.select("created_at", F.to_json(F.struct(F.struct(
+        F.col("post_id").alias("id"), "text", "author_id",
+        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
+        "lang").alias("data"))).alias("value"))
+    src = replay_files(env, "created_at", 4, fmt="parquet")
+    s = spark.readStream.schema("created_at TIMESTAMP_NTZ, value STRING").option(
+        "maxFilesPerTrigger", 1).parquet(src)
+    parsed = ST.english_posts(ST.parse_envelope(s.select("value")))
+    out = work_path(spark, "stream_out")
+    ST.run_to_end(ST.start(parsed, out, "append"))
+    return spark.read.parquet(out).withColumn(
+        "created_at", F.col("created_at").cast("timestamp_ntz"))
