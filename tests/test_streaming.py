@@ -48,3 +48,22 @@ def test_envelope_parse_is_tolerant(spark):
     parsed = ST.parse_envelope(df)
     assert parsed.count() == 3
     assert ST.english_posts(parsed).count() == 1
+
+
+def test_rate_source_parity_with_processing_time_trigger(spark):
+    """STM-1 / STM-10: a rate stream tagged EVEN / ODD, processing-time trigger, append."""
+    import time
+    rate = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+    out, ckpt = work_path(spark, "rate_out"), work_path(spark, "rate_ckpt")
+    q = ST.start(ST.tag_parity(rate, "value", "event_type"), out, "append",
+                 trigger="1 second", checkpoint=ckpt)
+    try:
+        time.sleep(4)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.read.parquet(out)
+    assert got.count() > 0
+    wrong = got.filter(((F.col("value") % 2 == 0) & (F.col("event_type") != "EVEN"))
+                       | ((F.col("value") % 2 == 1) & (F.col("event_type") != "ODD")))
+    assert wrong.count() == 0
