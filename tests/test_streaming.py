@@ -58,8 +58,7 @@ def test_rate_source_parity_with_processing_time_trigger(spark):
     q = ST.start(ST.tag_parity(rate, "value", "event_type"), out, "append",
                  trigger="1 second", checkpoint=ckpt)
     try:
-        time.sleep(4)
-        q.processAllAvailable()
+        time.sleep(6)          # an endless source: let a few 1-second batches commit
     finally:
         q.stop()
     got = spark.read.parquet(out)
