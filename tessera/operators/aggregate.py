@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import percent
 from tessera.operators.joins import salt_of
+from tessera.session import checkpoint_root
 
 
 def keyed_sum(df: DataFrame, keys, value: str, name: str, where: Column | None = None,
@@ -41,11 +42,18 @@ def conditional_sums(df: DataFrame, keys, value: Column, cases: dict[str, Column
         F.sum(F.when(cond, value)).alias(n) for n, cond in cases.items()])
 
 
-def share_of_total(grouped: DataFrame, count_col: str, name: str, scale: int = 2) -> DataFrame:
+def share_of_total(grouped: DataFrame, count_col: str, name: str, scale: int = 2,
+                   materialize: bool = True) -> DataFrame:
     """AGG-8 / WIN-22: ``ROUND(n * 100.0 / SUM(n) OVER (), scale)`` over grouped rows.
 
-    The total is a scalar subquery (one value, computed once); the rounding is exact.
+    The grouped rows (one per group) are materialised once with ``checkpoint()``
+    in the shared checkpoint folder, so the pipeline that produced them is not
+    run a second time for the total; the total is then a scalar subquery over
+    the materialised rows.  The rounding is exact.
     """
+    if materialize:
+        checkpoint_root(grouped.sparkSession)
+        grouped = grouped.checkpoint()
     total = grouped.agg(F.sum(count_col)).scalar()
     return grouped.withColumn(name, percent(F.col(count_col), total, scale))
 
