@@ -1,4 +1,4 @@
-"""Bronze → Silver → Gold for a customer feed (BRZ / SLV / GLD, MED).
+"""Bronze → Silver → Gold for a customer feed.
 
 Layers talk to each other through storage only: each step reads the previous
 layer's files and writes its own, so a failed step is re-run from the layer
@@ -40,7 +40,7 @@ MISSING_COUNTRY = "Missing country"
 
 def customer_bronze(spark: SparkSession, source_path: str, bronze_path: str,
                     infer: bool = False) -> str:
-    """BRZ: raw CSV + provenance columns → CSV layer.
+    """Bronze: raw CSV + provenance columns → CSV layer.
 
     Bronze keeps the raw text (no type inference, which would cost a full extra
     pass over the input); Silver casts every column it uses explicitly.
@@ -52,7 +52,7 @@ def customer_bronze(spark: SparkSession, source_path: str, bronze_path: str,
 
 
 def prepare_silver(bronze: DataFrame) -> DataFrame:
-    """SLV cleansing: names standardised, text trimmed and re-cased, dates parsed
+    """Silver cleansing: names standardised, text trimmed and re-cased, dates parsed
     (four formats, first success), phones reduced to digits and ``+``, derived columns."""
     df = standardize_columns(bronze)
     email = F.lower(F.trim("email"))
@@ -121,7 +121,7 @@ def split_silver(validated: DataFrame) -> SilverResult:
 def customer_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                     rejected_path: str, duplicates_path: str | None = None,
                     validated_path: str | None = None) -> SilverResult:
-    """SLV: read the Bronze CSV as text (every used column is cast explicitly, so no
+    """Silver: read the Bronze CSV as text (every used column is cast explicitly, so no
     inference pass), validate once and write the validated rows; the valid,
     rejected and duplicate layers are then split from that written table, so the
     CSV is parsed once and the lineage of each output starts at storage."""
@@ -178,7 +178,7 @@ def gold_reports(silver: DataFrame) -> dict[str, DataFrame]:
 
 
 def customer_gold(spark: SparkSession, silver_path: str, gold_base: str) -> dict[str, str]:
-    """GLD: reports from the Silver layer, each written with an audit timestamp."""
+    """Gold: reports from the Silver layer, each written with an audit timestamp."""
     silver = spark.read.parquet(silver_path)
     return write_reports(gold_reports(silver), gold_base)
 

@@ -1,4 +1,4 @@
-"""Medallion flow and data-quality queries (BRZ/SLV/GLD, DQ-1..7, PRJ-4, SNK-1/3).
+"""Medallion flow and data-quality queries (DQ-1..7, PRJ-4, SNK-1/3).
 
 The raw customer feed is derived from the driver tables by Spark: one record
 per order carrying its customer (so a customer id repeats), with messy text,
