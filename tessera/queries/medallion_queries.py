@@ -143,7 +143,7 @@ silver AS (SELECT *, split_part(email, '@', 2) AS email_domain FROM ranked WHERE
          MAX(subscription_date) AS latest_subscription_date FROM silver GROUP BY country)
 SELECT *, {sql_percent("total_customers", "SUM(total_customers) OVER ()")} AS customer_percentage FROM g""")
 def medallion_country_report(spark, sf):
-    """GLD country report after the full Bronze → Silver → Gold flow (read back)."""
+    """Gold country report after the full Bronze → Silver → Gold flow (read back)."""
     return _gold(spark, sf, "customer_country_report")
 
 
