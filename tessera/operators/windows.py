@@ -298,7 +298,7 @@ def _split_positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_
                                "_rn": F.row_number().over(local).cast("long")})
         return out.withColumn("_n", F.col("_cnt")), None, None
     if keys:
-        flagged = join_back(df, hot, keys, broadcast=True).withColumn(
+        flagged = join_back(df, hot, keys, broadcast=_small(hot)).withColumn(
             "_hot", F.coalesce(F.col("_hot"), F.lit(False)))
     else:
         flagged = df.withColumn("_hot", F.lit(True))
@@ -312,7 +312,9 @@ def _split_positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_
     # patches, so it is materialised once (reliable checkpoint, shared folder)
     checkpoint_root(df.sparkSession)
     offs = _segment_offsets(ranged.filter(F.col("_hot")), keys, sum_cols, dense_cols).checkpoint()
-    joined = join_back(ranged, offs, keys + ["_seg"], broadcast=True)
+    # broadcast only within the checked bound; otherwise a shuffle join on the
+    # fine-grained (key, range) key, which a hot key cannot skew
+    joined = join_back(ranged, offs, keys + ["_seg"], broadcast=_small(offs))
     fill = {"_off": F.coalesce(F.col("_off"), F.lit(0).cast("long"))}
     for c in sum_cols:
         fill[f"_soff_{c}"] = F.coalesce(F.col(f"_soff_{c}"), F.lit(0).cast("decimal(28,2)"))
@@ -519,11 +521,12 @@ def _edges(ranged: DataFrame, offs: DataFrame, keys: list[str], order: list[Orde
     meta = offs.select(*keys, "_seg", "_off", "_cnt")
     head = (hot.withColumn("_p", F.row_number().over(_window(keys + ["_seg"], order)))
             .filter(F.col("_p") <= k))
-    head = join_back(head, meta, keys + ["_seg"], broadcast=True).select(
+    small = _small(offs)
+    head = join_back(head, meta, keys + ["_seg"], broadcast=small).select(
         *keys, "_seg", "_off", (F.col("_off") + F.col("_p")).alias("_rn"), *carry)
     tail = (hot.withColumn("_p", F.row_number().over(_window(keys + ["_seg"], _reverse(order))))
             .filter(F.col("_p") <= k))
-    tail = join_back(tail, meta, keys + ["_seg"], broadcast=True).select(
+    tail = join_back(tail, meta, keys + ["_seg"], broadcast=small).select(
         *keys, "_seg", "_off", (F.col("_off") + F.col("_cnt") - F.col("_p") + 1).alias("_rn"),
         *carry)
     return head, tail
@@ -538,9 +541,17 @@ def _pick(needers: DataFrame, sources: DataFrame, keys: list[str], shift: int, c
     return join_back(want, have, keys + ["_t"]).select(*keys, "_rn", name)
 
 
-def _attach(pos: DataFrame, fix: DataFrame, keys: list[str]) -> DataFrame:
-    """Bounded fix-up table (edge rows only) attached to every row by broadcast."""
-    return join_back(pos, fix, keys + ["_rn"], broadcast=True)
+def _small(offs: DataFrame, rows_per_range: int = 1) -> bool:
+    """Whether a table of (per-range rows × ``rows_per_range``) is within the
+    broadcast bound; ``offs`` is checkpointed, so counting it reads little."""
+    from tessera.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
+    return offs.count() * rows_per_range <= DEFAULT_MAX_BROADCAST_ROWS
+
+
+def _attach(pos: DataFrame, fix: DataFrame, keys: list[str], broadcast: bool = True) -> DataFrame:
+    """Fix-up table (edge rows only, at most 2k per range) attached to every row:
+    by broadcast within the bound, else by a shuffle join on (key, row number)."""
+    return join_back(pos, fix, keys + ["_rn"], broadcast=broadcast)
 
 
 def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None = None,
@@ -579,7 +590,7 @@ def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None
         fix = fixes[0]
         for f in fixes[1:]:
             fix = fix.join(f, keys + ["_rn"], "full") if keys else fix.join(f, ["_rn"], "full")
-        out = _attach(out, fix, keys)
+        out = _attach(out, fix, keys, broadcast=_small(offs, 2 * offset))
         if want_lag:
             out = out.withColumn("_lag", F.when(F.col("_hot") & (lpos <= offset),
                                                 F.col("_fix_lag")).otherwise(F.col("_lag")))
@@ -627,7 +638,7 @@ def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, nam
             F.col("_src").isNotNull() & (F.col("_src") <= F.col("_off")))
         fix = got.groupBy(*keys, "_rn").agg(F.sum(money("_v")).alias("_xsum"),
                                              F.count("_v").alias("_xcnt"))
-        out = _attach(out, fix, keys).withColumns({
+        out = _attach(out, fix, keys, broadcast=_small(offs, preceding)).withColumns({
             "_msum": F.col("_msum") + F.coalesce(F.col("_xsum"), F.lit(0)),
             "_mcnt": F.col("_mcnt") + F.coalesce(F.col("_xcnt"), F.lit(0))})
     out = out.withColumn(name, F.col("_msum").cast("double") / F.col("_mcnt"))

@@ -114,3 +114,14 @@ def test_ranges_grow_with_data_and_stay_bounded(orders):
     assert len(sizes) >= 1500 // 200          # coarse 8 × fine sub-ranges
     assert max(sizes) <= 200                  # about the bound (dates tie, quantiles are approximate)
     assert offs.count() == len(sizes)
+
+
+@pytest.mark.parametrize("case", ["lag_lead", "moving_avg", "rank"])
+def test_split_without_broadcast(orders, case, monkeypatch):
+    """When the per-range table exceeds the broadcast bound, shuffle joins are used
+    instead; results are unchanged."""
+    from tessera.operators import joins as J
+    monkeypatch.setattr(W, "DEFAULT_HOT_ROWS", 100)
+    monkeypatch.setattr(J, "DEFAULT_MAX_BROADCAST_ROWS", 1)
+    fn, cols = CASES[case]
+    assert same(fn(orders, "literal"), fn(orders, "segmented"), cols)
