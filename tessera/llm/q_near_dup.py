@@ -17,7 +17,7 @@ s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
            WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
            ELSE list_transform(range(1, len(words) - 3),
-                               i -> array_to_string(words[i:i + 4], ' ')) END) AS sh FROM w),
+                               lambda i: array_to_string(words[i:i + 4], ' ')) END) AS sh FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
       FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),

@@ -1,6 +1,7 @@
 """Importing this module registers the queries of the training-data operators."""
 
-from tessera.llm import q_language, q_near_dup  # noqa: F401
+from tessera.llm import (q_decontaminate, q_language, q_mixing, q_near_dup,  # noqa: F401
+                         q_sharding)
 from tessera.llm.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
