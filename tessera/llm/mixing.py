@@ -132,12 +132,13 @@ def repeat(docs: DataFrame, taken: DataFrame, key: str = "doc_id", text: str = "
     Rows that agree in key and text are one entry; their times are dealt out among them, so
     the mix keeps its size.
     """
-    plan = taken.groupBy(F.col("id").alias("_id"), F.col("tie").alias("_tie")).agg(
-        F.sum("times").alias("_total"), F.count(F.lit(1)).alias("_rows"))
-    joined = docs.withColumn("_own", text_tie(text)).join(
-        plan, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_tie")))
-    same = Window.partitionBy("_id", "_tie").orderBy(*[F.col(c) for c in docs.columns if c != text])
-    more = F.row_number().over(same) <= F.col("_total") % F.col("_rows")
-    times = F.floor(F.col("_total") / F.col("_rows")) + F.when(more, 1).otherwise(0)
-    return (joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    plan = taken.groupBy(F.col("id").alias("__mix_id"), F.col("tie").alias("__mix_tie")).agg(
+        F.sum("times").alias("__mix_total"), F.count(F.lit(1)).alias("__mix_rows"))
+    joined = docs.withColumn("__mix_own", text_tie(text)).join(
+        plan, F.col(key).eqNullSafe(F.col("__mix_id")) & (F.col("__mix_own") == F.col("__mix_tie")))
+    same = Window.partitionBy("__mix_id", "__mix_tie").orderBy(*[F.col(c) for c in docs.columns if c != text])
+    more = F.row_number().over(same) <= F.col("__mix_total") % F.col("__mix_rows")
+    times = F.floor(F.col("__mix_total") / F.col("__mix_rows")) + F.when(more, 1).otherwise(0)
+    return (joined.withColumn("__mix_times", times.cast("int"))
+            .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), F.col("__mix_times"))))
             .select(*docs.columns))
