@@ -2,7 +2,7 @@
 
 from tessera.llm import (q_chat, q_decontaminate, q_fingerprint,  # noqa: F401
                          q_language, q_licences,
-                         q_mixing, q_near_dup, q_sharding, q_tokens)
+                         q_mixing, q_near_dup, q_sharding, q_suffix_dedup, q_tokens)
 from tessera.llm.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
