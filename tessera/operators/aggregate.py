@@ -77,9 +77,11 @@ def trend(df: DataFrame, date_col: str, fmt: str, name: str, measures: dict[str,
 
 def composite_count(df: DataFrame, keys: Sequence[str], name: str = "key", sep: str = "_",
                     count_name: str = "count") -> DataFrame:
-    """AGG-11: count per composite key rendered as ``a_b``."""
-    return (df.groupBy(F.concat_ws(sep, *[F.col(k) for k in keys]).alias(name))
-            .agg(F.count(F.lit(1)).alias(count_name)))
+    """AGG-11: count per composite key, rendered as ``a_b`` after the grouping, so keys whose
+    texts coincide stay apart.  Nulls are rendered as nothing between the separators."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return counted.select(F.concat_ws(sep, *parts).alias(name), F.col("_n").alias(count_name))
 
 
 def salted_sum(df: DataFrame, keys, value: Column, name: str, salts: int,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.windows import parse_order
@@ -13,31 +14,26 @@ from tessera.operators.windows import parse_order
 def latest_per_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
     """WIN-16 / DED-2: the row with the greatest ``order`` per key.
 
-    Written as ``max_by(row, ordering)``: a partial/final aggregate, so each map
-    task keeps one candidate per key and a hot key is never gathered in one
-    task.  ``order`` should end with a unique column for a deterministic result.
-    Descending entries (``-col``) flip that column for the ``max``.
+    ``row_number() = 1`` over the reversed order.  Spark plans it with a partial
+    ``WindowGroupLimit``: one candidate per key leaves each map task, so a hot key is never
+    gathered in one task.  Descending entries (``-col``) prefer the smallest value; nulls
+    lose either way.  ``order`` should end with a unique column for a deterministic result.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order_k = parse_order(order)
-    rest = [c for c in df.columns if c not in keys]
-    ordering = []
-    for o in order_k:
-        c = F.col(o.name)
-        if not o.ascending:
-            c = -c
-        ordering.append(c)
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*ordering)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    first = [F.col(o.name).desc_nulls_last() if o.ascending else F.col(o.name).asc_nulls_last()
+             for o in parse_order(order)]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*first))
+    return df.withColumn("_place", place).filter(F.col("_place") == 1).select(*df.columns)
 
 
 def removed_duplicates(df: DataFrame, kept: DataFrame, identity: Sequence[str]) -> DataFrame:
-    """DED-3: rows not kept, matched on columns that identify a row (a left anti join).
+    """DED-3: rows not kept, matched null-safely on columns that identify a row.
 
     ``identity`` should include a unique column so the join key is never hot.
     """
-    return df.join(kept.select(*identity), list(identity), "left_anti")
+    names = [f"_k_{c}" for c in identity]
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(identity, names)])
+    return df.join(kept.select(*identity).toDF(*names), same, "left_anti")
 
 
 def drop_duplicates(df: DataFrame, keys) -> DataFrame:

@@ -1,9 +1,8 @@
 """Dimensional joins with explicit strategies (JON-1..10).
 
-Broadcasting is only done behind a proven bound: ``checked_broadcast`` counts
-at most ``max_rows + 1`` rows of the candidate side (a limited scan of a
-dimension) and broadcasts only when the side is within the bound; otherwise
-the join is left to a shuffle join that AQE may still convert at run time.
+``auto`` leaves the choice to the planner: it broadcasts a side whose size in bytes is known
+to be under ``spark.sql.autoBroadcastJoinThreshold``, and AQE changes a shuffle join to a
+broadcast one when a side turns out small.  Nothing is counted while a join is planned.
 """
 
 from __future__ import annotations
@@ -13,17 +12,17 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size of ``df`` in bytes, from file sizes and statistics; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if its row count is within ``max_rows``, else ``df`` unchanged."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if its planned size is within ``max_bytes``, else ``df`` unchanged."""
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
 def _on(on) -> list[str] | Column:
@@ -31,26 +30,24 @@ def _on(on) -> list[str] | Column:
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             strategy: str = "auto", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+             strategy: str = "auto", max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Fact ⋈ dimension.
 
-    ``auto``: broadcast the dimension when it passes the row bound, else shuffle.
-    ``broadcast``: always broadcast (caller vouches for the size).
+    ``auto``: the planner and AQE choose by bytes.
+    ``broadcast``: broadcast the dimension if its planned size is within ``max_bytes``.
     ``merge``: sort-merge join (both sides shuffled on the key).
     ``shuffle_hash``: shuffled hash join.
-    ``bucket``: both sides are bucketed tables on the key; a plain join, and
-    the planner uses the bucketing so no exchange appears.
+    ``bucket``: both sides are tables bucketed on the key; a sort-merge join that uses the
+    buckets, so no exchange appears.
     """
     on = _on(on)
-    if strategy == "auto":
-        dim = checked_broadcast(dim, max_rows)
-    elif strategy == "broadcast":
-        dim = F.broadcast(dim)
-    elif strategy == "merge":
+    if strategy == "broadcast":
+        dim = checked_broadcast(dim, max_bytes)
+    elif strategy in ("merge", "bucket"):
         dim = dim.hint("merge")
     elif strategy == "shuffle_hash":
         dim = dim.hint("shuffle_hash")
-    elif strategy != "bucket":
+    elif strategy != "auto":
         raise ValueError(f"unknown strategy {strategy}")
     return fact.join(dim, on, how)
 
@@ -81,14 +78,28 @@ def salt_of(cols: Sequence[str], salts: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)).cast("int")
 
 
+#: Joins in which every row of the small side may be repeated without changing the result.
+SALTED_KINDS = ("inner", "left", "leftouter", "left_outer", "left_semi", "left_anti")
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int,
-                salt_cols: Sequence[str], how: str = "inner") -> DataFrame:
-    """JON-6: split hot keys of ``big`` over ``salts`` sub-keys; ``small`` is
-    replicated once per salt (its size grows by ``salts``, not by the data)."""
+                salt_cols: Sequence[str], how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
+    """JON-6: split the hot keys of ``big`` over ``salts`` sub-keys.
+
+    Keys with more than ``hot_rows`` rows are found by one partial/final count (at most
+    rows / hot_rows of them).  Only these are salted, and only their rows of ``small`` are
+    repeated.  Joins that return unmatched rows of ``small`` are refused.
+    """
+    if how not in SALTED_KINDS:
+        raise ValueError(f"a salted join cannot be {how}: it would repeat rows of the small side")
     on = list(on)
-    b = big.withColumn("_salt", salt_of(salt_cols, salts))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, on + ["_salt"], how).drop("_salt")
+    hot = (big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+           .select(*on, F.lit(salts).alias("_salts")))
+    one = F.coalesce(F.col("_salts"), F.lit(1))
+    b = big.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), one).cast("int"))
+    s = small.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1)))
+    joined = b.drop("_salts").join(s.drop("_salts").hint("merge"), on + ["_salt"], how)
+    return joined.drop("_salt")
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
@@ -106,7 +117,7 @@ def with_config(df: DataFrame, config: DataFrame) -> DataFrame:
     The configuration must be exactly one row (checked); its fields are attached
     as one scalar subquery, computed once.
     """
-    if config.limit(2).count() != 1:
+    if len(config.take(2)) != 1:
         raise ValueError("configuration must have exactly one row")
     from tessera.operators.windows import with_scalars
     return with_scalars(df, config)

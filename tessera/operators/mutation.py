@@ -1,24 +1,27 @@
 """Row changes on plain (non-transactional) tables, copy-on-write (MUT-1..8).
 
-A change never overwrites the files it reads.  Unpartitioned tables: the new
-version is written to a fresh folder under the shared checkpoint folder and the
-catalog entry is pointed at it (``ALTER TABLE .. SET LOCATION``), a single
-metadata swap; the old folder stays until it is cleaned up, so a failed job
-leaves the table as it was.  Partitioned tables: only partitions holding a
-changed row are rewritten: they are staged to a fresh folder, then the staged
-copy replaces them with a dynamic partition overwrite (re-runnable from the
-stage if interrupted).
+A change never overwrites the files it reads, and keeps the table's format, bucketing and
+codec.  Unpartitioned tables: the new version is written beside the table's folder and the
+catalog entry is pointed at it (``ALTER TABLE .. SET LOCATION``), a single metadata swap;
+a failed job leaves the table as it was.  Partitioned tables: only the partitions that
+rows leave or enter are read and rewritten.  They are staged in a table of the same layout,
+then replaced with a dynamic partition overwrite; partitions that a change empties are
+cleared one by one.  The stage is dropped when all is in place.
+
+Partitions are told apart null-safely, so rows in the null partition change as well.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.dedup import latest_per_key
-from tessera.session import work_path
 
 
 def _cond(cond) -> Column:
@@ -31,63 +34,161 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _swap(spark: SparkSession, table: str, new_df: DataFrame, affected: DataFrame | None) -> None:
-    cols = spark.table(table).columns
-    parts = partition_columns(spark, table)
-    stage = work_path(spark, f"stage_{table}")
-    if parts:
-        new_df = new_df.join(affected, parts, "left_semi")
-        new_df.select(*cols).write.partitionBy(*parts).parquet(stage)
-        staged = spark.read.parquet(stage).select(*cols)
-        old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            staged.write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
-    else:
-        new_df.select(*cols).write.parquet(stage)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{stage}'")
+def table_layout(spark: SparkSession, table: str) -> dict:
+    """Provider, location, codec, bucket count, bucket and sort columns of a table."""
+    info = {r["col_name"].strip(): (r["data_type"] or "").strip()
+            for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    columns = lambda text: re.findall(r"`((?:[^`]|``)+)`", text or "")
+    codec = re.search(r"compression=([A-Za-z0-9_]+)", info.get("Storage Properties", ""))
+    return {"provider": info.get("Provider", "parquet"), "location": info["Location"],
+            "buckets": int(info.get("Num Buckets", 0) or 0),
+            "bucket_columns": columns(info.get("Bucket Columns")),
+            "sort_columns": columns(info.get("Sort Columns")),
+            "codec": codec.group(1) if codec else None}
+
+
+def _write_like(layout: dict, df: DataFrame, name: str, partitions: Sequence[str], path: str | None) -> None:
+    """Save ``df`` as a table of the given layout; without a path the catalog owns the files."""
+    w = df.write.format(layout["provider"])
+    if layout["codec"]:
+        w = w.option("compression", layout["codec"])
+    if path:
+        w = w.option("path", path)
+    if partitions:
+        w = w.partitionBy(*partitions)
+    if layout["buckets"]:
+        w = w.bucketBy(layout["buckets"], *layout["bucket_columns"])
+        if layout["sort_columns"]:
+            w = w.sortBy(*layout["sort_columns"])
+    w.saveAsTable(name)
+
+
+def _in_partitions(partitions: Sequence[str], values: Sequence[tuple]) -> Column:
+    """Filter on literal partition values, so the scan reads only these partitions."""
+    one = lambda row: reduce(
+        Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partitions, row)])
+    if len(partitions) == 1:
+        known = [v for v, in values if v is not None]
+        cond = F.col(partitions[0]).isin(known) if known else F.lit(False)
+        if len(known) < len(values):
+            cond = cond | F.col(partitions[0]).isNull()
+        return F.coalesce(cond, F.lit(False))
+    return reduce(Column.__or__, map(one, values), F.lit(False))
+
+
+def _partition_values(df: DataFrame, partitions: Sequence[str]) -> set[tuple]:
+    """Distinct partition values: at most one small row per partition of the table."""
+    return {tuple(r) for r in df.select(*partitions).distinct().collect()}
+
+
+def _swap(spark: SparkSession, table: str, new: DataFrame, touched: set[tuple] | None) -> None:
+    """Make ``new`` the content of the table, or of its ``touched`` partitions."""
+    names = spark.table(table).columns
+    layout = table_layout(spark, table)
+    stage = f"stage_{uuid.uuid4().hex[:12]}"
+    if touched is None:
+        path = f"{layout['location'].rstrip('/')}__{stage}"
+        _write_like(layout, new.select(*names), stage, (), path)
+        spark.sql(f"DROP TABLE {stage}")  # an external entry: the files stay
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    elif touched:
+        partitions = partition_columns(spark, table)
+        _write_like(layout, new.select(*names), stage, partitions, None)
+        filled = _partition_values(spark.table(stage), partitions)
+        if filled:
+            _overwrite(spark, spark.table(stage).select(*names), table, "dynamic")
+        for row in touched - filled:
+            _clear_partition(spark, table, stage, partitions, row)
+        spark.sql(f"DROP TABLE {stage}")
     spark.catalog.refreshTable(table)
 
 
+def _overwrite(spark: SparkSession, df: DataFrame, table: str, mode: str) -> None:
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def _clear_partition(spark: SparkSession, table: str, like: str, partitions: Sequence[str],
+                     row: tuple) -> None:
+    """A static overwrite without rows removes the partition's files and its catalog entry."""
+    def literal(value) -> str:
+        if value is None:
+            return "null"
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    spec = ", ".join(f"`{c}` = {literal(v)}" for c, v in zip(partitions, row))
+    rest = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in partitions)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) "
+                  f"SELECT {rest} FROM {like} WHERE false")
+        # the overwrite does not take the null partition out of the catalog
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
 def update_where(spark: SparkSession, table: str, cond, assignments: dict[str, Column | str]) -> None:
     """MUT-2: ``UPDATE table SET c = expr WHERE cond``; results are cast back to the column type
-    (e.g. ``DECIMAL(12,2) * 1.10`` returns to ``DECIMAL(12,2)``)."""
+    (e.g. ``DECIMAL(12,2) * 1.10`` returns to ``DECIMAL(12,2)``).  Assigning a partition
+    column moves the rows."""
     df = spark.table(table)
     c = _cond(cond)
-    new = df.withColumns({
-        name: F.when(c, (F.expr(e) if isinstance(e, str) else e).cast(df.schema[name].dataType))
-               .otherwise(F.col(name))
-        for name, e in assignments.items()})
-    parts = partition_columns(spark, table)
-    affected = df.filter(c).select(*parts).distinct() if parts else None
-    _swap(spark, table, new, affected)
+
+    def changed(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({
+            name: F.when(c, (F.expr(e) if isinstance(e, str) else e).cast(df.schema[name].dataType))
+                   .otherwise(F.col(name))
+            for name, e in assignments.items()})
+
+    partitions = partition_columns(spark, table)
+    if not partitions:
+        return _swap(spark, table, changed(df), None)
+    hit = df.filter(c)
+    touched = _partition_values(hit, partitions)
+    if set(partitions) & set(assignments):
+        touched |= _partition_values(changed(hit), partitions)
+    _swap(spark, table, changed(df.filter(_in_partitions(partitions, sorted(touched, key=repr)))), touched)
 
 
 def delete_where(spark: SparkSession, table: str, cond) -> None:
     """MUT-3: ``DELETE FROM table WHERE cond`` (rows where cond is NULL stay)."""
     df = spark.table(table)
     c = _cond(cond)
-    parts = partition_columns(spark, table)
-    affected = df.filter(c).select(*parts).distinct() if parts else None
-    _swap(spark, table, df.filter(~c), affected)
+    partitions = partition_columns(spark, table)
+    if not partitions:
+        return _swap(spark, table, df.filter(~c), None)
+    touched = _partition_values(df.filter(c), partitions)
+    rows = df.filter(_in_partitions(partitions, sorted(touched, key=repr)))
+    _swap(spark, table, rows.filter(~c), touched)
 
 
 def upsert(spark: SparkSession, table: str, changes: DataFrame, keys: Sequence[str],
            order: Sequence[str] | None = None) -> None:
     """MUT-5: MERGE: rows of ``changes`` replace rows with the same key, new keys are
-    inserted.  Several changes for one key: the greatest ``order`` wins."""
+    inserted.  Keys are compared null-safely.  Several changes for one key: the greatest
+    ``order`` wins; without ``order`` they are an error."""
     df = spark.table(table)
+    keys = list(keys)
     ch = changes.select(*df.columns)
     if order:
-        ch = latest_per_key(ch, list(keys), list(order))
-    new = df.join(ch.select(*keys), list(keys), "left_anti").unionByName(ch)
-    parts = partition_columns(spark, table)
-    affected = None
-    if parts:
-        affected = ch.select(*parts).distinct()
-    _swap(spark, table, new, affected)
+        ch = latest_per_key(ch, keys, list(order))
+    elif not ch.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"several changes for one key of {table}; pass an order to choose")
+    wanted = ch.select(*[F.col(k).alias(f"_m_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
+    partitions = partition_columns(spark, table)
+    if not partitions:
+        return _swap(spark, table, df.join(wanted, same, "left_anti").unionByName(ch), None)
+    touched = (_partition_values(df.join(wanted, same, "left_semi"), partitions)
+               | _partition_values(ch, partitions))
+    rows = df.filter(_in_partitions(partitions, sorted(touched, key=repr)))
+    _swap(spark, table, rows.join(wanted, same, "left_anti").unionByName(ch), touched)
 
 
 def insert_rows(df: DataFrame, table: str) -> None:
@@ -97,18 +198,14 @@ def insert_rows(df: DataFrame, table: str) -> None:
 
 
 def truncate(spark: SparkSession, table: str) -> None:
-    """MUT-4: ``TRUNCATE TABLE``; tables over external folders (refused by the SQL
-    command) get an empty version swapped in the same copy-on-write way."""
-    parts = partition_columns(spark, table)
-    if parts:
-        for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
-            spec = ", ".join(f"{k}='{v}'" for k, v in
-                             (kv.split("=", 1) for kv in row[0].split("/")))
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    """MUT-4: ``TRUNCATE TABLE``, also over external folders (refused by the SQL command).
+    A partitioned table is emptied by one static overwrite, which drops all partitions."""
+    df = spark.createDataFrame([], spark.table(table).schema)
+    if partition_columns(spark, table):
+        _overwrite(spark, df, table, "static")
         spark.catalog.refreshTable(table)
         return
-    df = spark.table(table)
-    _swap(spark, table, df.limit(0), None)
+    _swap(spark, table, df, None)
 
 
 def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> DataFrame:
@@ -124,7 +221,4 @@ def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> Dat
         pivot = d.groupBy().pivot("info_name", ["min", "max", "num_nulls", "distinct_count"]) \
                  .agg(F.first("info_value"))
         frames.append(pivot.withColumn("column", F.lit(c)))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select("column", "min", "max", "num_nulls", "distinct_count")
+    return reduce(DataFrame.unionByName, frames).select("column", "min", "max", "num_nulls", "distinct_count")

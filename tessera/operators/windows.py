@@ -6,31 +6,29 @@ Two families:
   ``AVG() OVER ()``, ``FIRST_VALUE`` / ``LAST_VALUE`` over the whole partition):
   a partial/final ``groupBy`` followed by a join back on the key.  The grouped
   side has one row per key, so a hot key costs nothing extra; with no key the
-  grouped side is exactly one row and is broadcast.
+  grouped side is exactly one row, attached as a scalar subquery.
 
 * Ordinal windows (row_number, rank, dense_rank, running sums, NTILE, LAG/LEAD,
   moving frames).  A stock ``Window`` sends every row of a partition key - or
-  of the whole table when there is none - to one task.  Here a key is split
-  only when it is hot (more than ``hot_rows`` rows; with no key, when the table
-  is): a limited count decides, so small inputs keep the plain one-shuffle
-  window.  A hot key is cut into ranges of its first ORDER BY column - coarse
-  quantile cut points plus equal-width sub-ranges, so the number of ranges
-  grows with the data and a range holds about ``hot_rows`` rows - per-range
-  counts and sums are aggregated (one row per hot key and range, a bounded
-  table that is broadcast), prefix offsets are taken over that small table,
-  and the window is evaluated per (key, range) with the offset added.  Frames
-  that look back or ahead (LAG, LEAD, ``ROWS k PRECEDING``) are evaluated in
-  the same per-range window; only the first / last k rows of each range are
-  patched, from a small edge table (top-k per range) matched by equi-joins on
-  global row numbers - never by pairing rows - and attached by broadcast.
-  Orders for these must be total (end with a unique column), as for any
-  deterministic LAG.
+  of the whole table when there is none - to one task.  Here one partial/final
+  count tells whether a key (or the table) has more than ``hot_rows`` rows; if
+  none has, the plain window is used.  Otherwise the rows are dealt into ranges
+  of (keys, all order columns) by Spark's range partitioner, which sorts any type,
+  nulls and NaN as the window does, and splits ties of the first order columns by
+  the later ones.  Ranges are materialised once, so counts and rows agree on them.
+  Only keys that lie in several ranges need offsets: at most two rows per range.
+  Prefix counts and sums are taken over that small table and added to the window
+  per (key, range).  Frames that look back or ahead (LAG, LEAD, ``ROWS k
+  PRECEDING``) patch the first / last k rows of each range from a table of edge
+  rows, matched by equi-joins on row numbers - never by pairing rows.  Orders
+  must be total (end with a unique column), as for any deterministic LAG; rows
+  that tie in every order column stay in one range.
+
+Sums are taken at the column's own type; ``scale`` makes them exact decimal sums of
+that many digits, returned as DOUBLE (for money held as DOUBLE).
 
 Every function takes ``strategy="segmented"`` (default) or ``"literal"`` (the
 stock ``Window`` form, kept for small inputs and as the reference in tests).
-Order specs are lists of column names, with a leading ``-`` for descending,
-e.g. ``["-o_totalprice", "o_orderkey"]``.  Nulls sort as in Spark: first when
-ascending, last when descending.
 """
 
 from __future__ import annotations
@@ -40,19 +38,23 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
-
 from tessera.functions.numeric import money
 from tessera.session import checkpoint_root
 
-# Coarse quantile ranges per split; each is sub-divided so a range holds about
-# ``hot_rows`` rows (the number of ranges grows with the data).
-MAX_COARSE_RANGES = 256
-DEFAULT_RANGES = None
 # A key with more rows than this is cut into ranges; fewer stay in one task.
 DEFAULT_HOT_ROWS = 2_000_000
 
 
+def amount(column: str, scale: int | None) -> Column:
+    """The summed value: the column itself, or as DECIMAL with ``scale`` digits."""
+    return F.col(column) if scale is None else money(column, scale)
+
+
+def as_result(total: Column, scale: int | None) -> Column:
+    """Exact decimal sums are returned as DOUBLE."""
+    return total if scale is None else total.cast("double")
+
+
 # --------------------------------------------------------------------------- helpers
 
 @dataclass(frozen=True)
@@ -97,12 +99,11 @@ def _window(keys: list[str], order: list[OrderKey] | None = None):
     return w
 
 
-def join_back(df: DataFrame, grouped: DataFrame, keys: list[str],
-              broadcast: bool = False) -> DataFrame:
+def join_back(df: DataFrame, grouped: DataFrame, keys: list[str]) -> DataFrame:
     """Attach per-key columns of ``grouped`` (one row per key) to ``df``.
 
     Null keys match null keys (the grouping put them in one group).  Without
-    keys ``grouped`` is a single row and is broadcast.
+    keys ``grouped`` is a single row.
     """
     if not keys:
         # one row: attached as a scalar subquery (computed once, used as a value)
@@ -110,8 +111,6 @@ def join_back(df: DataFrame, grouped: DataFrame, keys: list[str],
     renamed = grouped
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__r_{k}")
-    if broadcast:
-        renamed = F.broadcast(renamed)
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(renamed[f"__r_{k}"])
@@ -127,209 +126,119 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns({c: packed.getField(c) for c in one_row.columns})
 
 
-def _sortable(df: DataFrame, key: OrderKey) -> Column:
-    """A DOUBLE that is non-decreasing in the sort order of ``key``."""
-    dt = df.schema[key.name].dataType
-    c = F.col(key.name)
-    if isinstance(dt, NumericType):
-        v = c.cast("double")
-    elif isinstance(dt, DateType):
-        v = F.unix_date(c).cast("double")
-    elif isinstance(dt, TimestampNTZType):
-        # time-zone free: whole seconds of the wall clock (ties are harmless)
-        v = (F.unix_date(c.cast("date")).cast("double") * 86400.0
-             + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
-    elif isinstance(dt, TimestampType):
-        v = F.unix_micros(c).cast("double")
-    else:
-        return None
-    return v if key.ascending else -v
-
-
-def _bucket_expr(s: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points strictly below ``s``: a balanced comparison tree over
-    literal cut points, O(log n) comparisons, inside whole-stage codegen."""
-    def build(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2          # compare with cut index mid (0-based)
-        return F.when(F.lit(float(cuts[mid])) < s, build(mid + 1, hi)).otherwise(build(lo, mid))
-    return build(0, len(cuts))
-
+def _hot_total(df: DataFrame, keys: list[str], hot_rows: int) -> int | None:
+    """Rows of ``df`` if some key (or the table) has more than ``hot_rows``, else None.
 
-@dataclass(frozen=True)
-class RangePlan:
-    """Fixed cut points of a sort value: coarse quantile cuts, each coarse range
-    split into ``fine`` equal-width sub-ranges.  ``lo``/``hi`` are the extremes."""
-    cuts: tuple
-    lo: float
-    hi: float
-    fine: int
-
-    @property
-    def ranges(self) -> int:
-        return (len(self.cuts) + 1) * self.fine
-
-
-def plan_ranges(df: DataFrame, sv: Column, rows_per_range: int, coarse: int | None = None,
-                relative_error: float = 0.001) -> RangePlan | None:
-    """One aggregate pass: quantile cuts, min, max and count of ``sv``.
-
-    The number of ranges grows with the data: about ``count / rows_per_range``,
-    as ``coarse`` quantile ranges times ``fine`` equal-width sub-ranges.
-    Repeated values collapse (a value held by many rows cannot be split by value).
-    """
-    coarse = coarse or MAX_COARSE_RANGES
-    probs = [i / coarse for i in range(1, coarse)]
-    acc = int(max(1, round(1.0 / relative_error)))
-    row = df.select(sv.alias("_sv")).agg(
-        F.percentile_approx("_sv", probs, acc).alias("c"), F.min("_sv").alias("lo"),
-        F.max("_sv").alias("hi"), F.count("_sv").alias("n")).first()
-    if row is None or row["n"] == 0:
-        return None
-    cuts = tuple(sorted(set(float(c) for c in (row["c"] or []))))
-    fine = max(1, -(-int(row["n"]) // (rows_per_range * (len(cuts) + 1))))
-    return RangePlan(cuts, float(row["lo"]), float(row["hi"]), fine)
-
-
-def range_id(sv: Column, ascending: bool, plan: RangePlan | None) -> Column:
-    """A stable range id from a fixed ``RangePlan`` of the sort value ``sv`` (a
-    column of its own, so the comparison tree reads it instead of recomputing it).
-
-    Non-decreasing in ``sv``; equal values share a range; nulls get the first or
-    last range, as they sort.  Coarse range: O(log n) literal comparisons;
-    fine sub-range: O(1) arithmetic.
-    """
-    if plan is None:
-        return F.lit(0)
-    coarse = _bucket_expr(sv, plan.cuts) if plan.cuts else F.lit(0)
-    rid = coarse
-    if plan.fine > 1:
-        edges = F.array(*[F.lit(v) for v in (plan.lo, *plan.cuts, plan.hi)])
-        left = F.element_at(edges, coarse + 1)
-        right = F.element_at(edges, coarse + 2)
-        width = (right - left) / F.lit(float(plan.fine))
-        sub = F.when(width > 0, F.least(F.greatest(F.floor((sv - left) / width), F.lit(0)),
-                                        F.lit(plan.fine - 1))).otherwise(F.lit(0))
-        rid = coarse * F.lit(plan.fine) + sub.cast("int")
-    null_seg = -1 if ascending else plan.ranges + 1
-    return F.when(sv.isNull(), F.lit(null_seg)).otherwise(rid.cast("int"))
-
-
-def _segment_offsets(df: DataFrame, keys: list[str], sum_cols: Sequence[str] = (),
-                     dense_cols: Sequence[str] = ()) -> DataFrame:
-    """Per (key, range) of the split keys: count and offsets of the preceding ranges.
-
-    One row per non-empty range of a split key: at most (hot keys) × (ranges + 2).
+    A partial/final count; without keys one number per task meets in the last one.
     """
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
-    for c in sum_cols:
-        aggs.append(F.sum(money(c)).alias(f"_sum_{c}"))
-    if dense_cols:
-        # a struct is never null, so a null sort value counts as one distinct value,
-        # as it does for DENSE_RANK
-        aggs.append(F.countDistinct(F.struct(*[F.col(c) for c in dense_cols])).alias("_dcnt"))
-    seg = df.groupBy(*keys, "_seg").agg(*aggs)
-    before = _window(keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    whole = _window(keys)
-    cols = [F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long").alias("_off"),
-            F.sum("_cnt").over(whole).cast("long").alias("_hn")]
-    for c in sum_cols:
-        cols.append(F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_soff_{c}"))
-    if dense_cols:
-        cols.append(F.coalesce(F.sum("_dcnt").over(before), F.lit(0)).cast("long").alias("_doff"))
-    return seg.select(*keys, "_seg", "_cnt", *cols)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    row = counts.agg(F.max("n").alias("most"), F.sum("n").alias("total")).first()
+    return row["total"] if (row["most"] or 0) > hot_rows else None
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys holding more than ``hot_rows`` rows, flagged ``_hot``.
+def _range_table(ranged: DataFrame, keys: list[str], sums: dict[str, Column],
+                 rank_cols: Sequence[str], order: list[OrderKey]) -> DataFrame:
+    """Per (key, range) of keys that lie in several ranges: sizes and what precedes.
 
-    A partial/final count per key; at most rows / hot_rows keys can pass, so the
-    result has a proven size bound and is broadcast.
+    ``_off`` rows, ``_soff_c`` sums and ``_doff`` distinct rank values come before;
+    ``_tie`` is the position at which the rank value that reaches over from the range
+    before began (null if none does).  At most two rows per range.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
-    return counts.filter(F.col("_kn") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
-
-
-def positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
-              sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
-              hot_rows: int | None = None):
-    """See ``_split_positions``; returns (rows, per-range table or None)."""
-    pos, offs, _ = _split_positions(df, keys, order, n_ranges, sum_cols, dense_cols, hot_rows)
-    return pos, offs
-
-
-def _split_positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
-                     sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
-                     hot_rows: int | None = None):
-    """Rows with ``_seg`` (range), ``_rn`` (row_number within the key over the
-    whole order), ``_n`` (key size), ``_cnt`` (rows in the range) and offsets;
-    plus the per-range table of the split keys.
-
-    Keys with more than ``hot_rows`` rows (and the whole table when there is no
-    key) are cut into ranges of the first order column; every other key is one
-    range.  The window then runs per (key, range): no task holds more than one
-    range of a hot key, and ordinary keys cost a single shuffle.
+    aggs = [F.count(F.lit(1)).alias("_cnt"), *[e.alias(f"_sum_{c}") for c, e in sums.items()]]
+    if rank_cols:
+        value = F.struct(*[F.col(c) for c in rank_cols])
+        place = F.col("_place")
+        aggs += [F.countDistinct(value).alias("_dcnt"),
+                 F.min_by(value, place).alias("_first"), F.max_by(value, place).alias("_last")]
+        # the range's first and last rows by a row number within it
+        ranged = ranged.withColumn("_place", F.row_number().over(_window(keys + ["_seg"], order)))
+    seg = ranged.groupBy(*keys, "_seg").agg(*aggs)
+    whole = _window(keys)
+    ordered = whole.orderBy("_seg")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    cols = {"_off": F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("long"),
+            "_hn": F.sum("_cnt").over(whole).cast("long"),
+            "_segs": F.count(F.lit(1)).over(whole)}
+    for c in sums:
+        cols[f"_soff_{c}"] = F.sum(f"_sum_{c}").over(before)
+    out = seg.withColumns(cols)
+    if rank_cols:
+        reaches = F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(ordered)), F.lit(False)) & (
+            F.lag("_cnt").over(ordered).isNotNull())
+        out = out.withColumn("_reach", reaches)
+    return out.filter("_segs > 1").drop("_segs")
+
+
+def _tie_columns(offs: DataFrame, ranged: DataFrame, keys: list[str], rank_cols: Sequence[str],
+                 order: list[OrderKey]) -> DataFrame:
+    """Adds ``_doff`` and ``_tie`` to the range table.
+
+    A rank value that ends a range begins either in this range, at the position of its first
+    row, or (if the range holds nothing else and the value reaches over) where it began before.
     """
-    keys = _keys(keys)
-    order = parse_order(order)
+    ends = offs.select(*keys, "_seg", F.col("_last").alias("_value"))
+    value = F.struct(*[F.col(c) for c in rank_cols])
+    tail = join_back(ranged.withColumn("_v", value), ends, keys + ["_seg"])
+    tail = (tail.filter(F.col("_v").eqNullSafe(F.col("_value")) & F.col("_value").isNotNull())
+            .groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_tail")))
+    out = join_back(offs, tail, keys + ["_seg"])
+    ordered = _window(keys).orderBy("_seg")
+    carried = F.col("_reach") & (F.col("_dcnt") == 1)
+    start = F.when(~carried, F.col("_off") + F.col("_cnt") - F.col("_tail") + 1)
+    out = out.withColumn("_start", start).withColumns({
+        "_doff": (F.sum("_dcnt").over(ordered) - F.col("_dcnt")
+                  - F.sum(F.col("_reach").cast("int")).over(ordered)).cast("long"),
+        "_tie": F.when(F.col("_reach"), F.last("_start", ignorenulls=True).over(
+            ordered.rowsBetween(Window.unboundedPreceding, -1)))})
+    return out.drop("_start", "_tail", "_reach", "_dcnt", "_last")
+
+
+def _split_positions(df: DataFrame, keys, order, sums: dict[str, Column] | None = None,
+                     rank_cols: Sequence[str] = (), hot_rows: int | None = None):
+    """Rows with ``_seg`` (range), ``_rn`` (row_number within the key over the whole
+    order), ``_n`` (key size), ``_cnt`` (rows in the range), ``_hot`` (the key lies in
+    several ranges) and offsets; plus the range table and the ranged rows, which are
+    None if nothing had to be split."""
+    keys, order, sums = _keys(keys), parse_order(order), sums or {}
     hot_rows = DEFAULT_HOT_ROWS if hot_rows is None else hot_rows
     local = _window(keys + ["_seg"], order)
     whole_local = _window(keys + ["_seg"])
-    if keys:
-        # bounded (at most rows / hot_rows keys) and used by several branches:
-        # computed once and kept in the shared checkpoint folder
-        checkpoint_root(df.sparkSession)
-        hot = hot_keys(df, keys, hot_rows).checkpoint()
-        has_hot = hot.limit(1).count() > 0
-    else:
-        # reads at most hot_rows + 1 rows: decides whether one task may hold the table
-        has_hot = df.limit(hot_rows + 1).count() > hot_rows
-    if not has_hot:
+    total = _hot_total(df, keys, hot_rows)
+    if total is None:
         # every key (or the whole table) fits one task: the plain window, one shuffle
-        fill = {"_seg": F.lit(0), "_hot": F.lit(False), "_off": F.lit(0).cast("long")}
-        for c in sum_cols:
-            fill[f"_soff_{c}"] = F.lit(0).cast("decimal(28,2)")
-        if dense_cols:
-            fill["_doff"] = F.lit(0).cast("long")
-        out = df.withColumns(fill)
+        out = df.withColumns({"_seg": F.lit(0), "_hot": F.lit(False), "_off": F.lit(0).cast("long"),
+                              **{f"_soff_{c}": F.lit(None).cast("double") for c in sums}})
+        if rank_cols:
+            out = out.withColumns({"_doff": F.lit(0).cast("long"), "_tie": F.lit(None).cast("long"),
+                                   "_first": F.lit(None).cast("string")})
         out = out.withColumns({"_cnt": F.count(F.lit(1)).over(whole_local),
                                "_rn": F.row_number().over(local).cast("long")})
         return out.withColumn("_n", F.col("_cnt")), None, None
-    if keys:
-        flagged = join_back(df, hot, keys, broadcast=_small(hot)).withColumn(
-            "_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-    else:
-        flagged = df.withColumn("_hot", F.lit(True))
-    s = _sortable(df, order[0])
-    flagged = flagged.withColumn("_sv", s if s is not None else F.lit(None).cast("double"))
-    plan = plan_ranges(flagged.filter(F.col("_hot")), F.col("_sv"), hot_rows, n_ranges) if (
-        s is not None) else None
-    ranged = flagged.withColumn("_seg", F.when(F.col("_hot"), range_id(
-        F.col("_sv"), order[0].ascending, plan)).otherwise(F.lit(0))).drop("_sv")
-    # one row per range of a hot key; read by the main window and by the edge
-    # patches, so it is materialised once (reliable checkpoint, shared folder)
     checkpoint_root(df.sparkSession)
-    offs = _segment_offsets(ranged.filter(F.col("_hot")), keys, sum_cols, dense_cols).checkpoint()
-    # broadcast only within the checked bound; otherwise a shuffle join on the
-    # fine-grained (key, range) key, which a hot key cannot skew
-    joined = join_back(ranged, offs, keys + ["_seg"], broadcast=_small(offs))
-    fill = {"_off": F.coalesce(F.col("_off"), F.lit(0).cast("long"))}
-    for c in sum_cols:
-        fill[f"_soff_{c}"] = F.coalesce(F.col(f"_soff_{c}"), F.lit(0).cast("decimal(28,2)"))
-    if dense_cols:
-        fill["_doff"] = F.coalesce(F.col("_doff"), F.lit(0).cast("long"))
-    fill["_cnt"] = F.coalesce(F.col("_cnt"), F.count(F.lit(1)).over(whole_local))
-    out = joined.withColumns(fill).withColumn("_n", F.coalesce(F.col("_hn"), F.col("_cnt")))
-    out = out.withColumn("_rn", F.col("_off") + F.row_number().over(local)).drop("_hn")
+    ranges = -(-2 * total // hot_rows)
+    ranged = (df.repartitionByRange(ranges, *[F.col(k) for k in keys], *[o.column for o in order])
+              .withColumn("_seg", F.spark_partition_id()).checkpoint())
+    offs = _range_table(ranged, keys, sums, rank_cols, order)
+    if rank_cols:
+        offs = _tie_columns(offs.checkpoint(), ranged, keys, rank_cols, order)
+    offs = offs.checkpoint()
+    out = join_back(ranged, offs.withColumn("_hot", F.lit(True)).withColumnRenamed("_cnt", "_rcnt"),
+                    keys + ["_seg"])
+    out = out.withColumns({
+        "_hot": F.coalesce(F.col("_hot"), F.lit(False)),
+        "_off": F.coalesce(F.col("_off"), F.lit(0).cast("long")),
+        "_cnt": F.coalesce(F.col("_rcnt"), F.count(F.lit(1)).over(whole_local))}).drop("_rcnt")
+    if rank_cols:
+        out = out.withColumn("_doff", F.coalesce(F.col("_doff"), F.lit(0).cast("long")))
+    out = out.withColumns({"_n": F.coalesce(F.col("_hn"), F.col("_cnt")),
+                           "_rn": F.col("_off") + F.row_number().over(local)}).drop("_hn")
     return out, offs, ranged
 
 
-def with_row_positions(df: DataFrame, keys, order, n_ranges: int | None = DEFAULT_RANGES,
-                       sum_cols: Sequence[str] = (), dense_cols: Sequence[str] = (),
-                       hot_rows: int | None = None) -> DataFrame:
-    return positions(df, keys, order, n_ranges, sum_cols, dense_cols, hot_rows)[0]
+def positions(df: DataFrame, keys, order, hot_rows: int | None = None):
+    """Rows with their positions, and the range table (None if nothing was split)."""
+    rows, offs, _ = _split_positions(df, keys, order, hot_rows=hot_rows)
+    return rows, offs
 
 
 # --------------------------------------------------------------------------- per-group aggregates
@@ -346,29 +255,29 @@ def with_group_aggregates(df: DataFrame, keys, aggs: dict[str, Column],
 
 
 def with_total(df: DataFrame, column: str, name: str = "grand_total",
-               strategy: str = "segmented") -> DataFrame:
-    """WIN-1: ``SUM(c) OVER ()`` (exact decimal money sum, as DOUBLE)."""
-    return with_partition_total(df, [], column, name, strategy)
+               strategy: str = "segmented", scale: int | None = None) -> DataFrame:
+    """WIN-1: ``SUM(c) OVER ()``."""
+    return with_partition_total(df, [], column, name, strategy, scale)
 
 
 def with_partition_total(df: DataFrame, keys, column: str, name: str,
-                         strategy: str = "segmented") -> DataFrame:
+                         strategy: str = "segmented", scale: int | None = None) -> DataFrame:
     """WIN-2: ``SUM(c) OVER (PARTITION BY keys)``."""
+    total = F.sum(amount(column, scale))
     if strategy == "literal":
-        return df.withColumn(name, F.sum(money(column)).over(_window(_keys(keys))).cast("double"))
-    return with_group_aggregates(df, keys, {name: F.sum(money(column)).cast("double")}, strategy)
+        return df.withColumn(name, as_result(total.over(_window(_keys(keys))), scale))
+    return with_group_aggregates(df, keys, {name: as_result(total, scale)}, strategy)
 
 
 def with_partition_avg(df: DataFrame, keys, column: str, name: str, diff_name: str | None = None,
-                       strategy: str = "segmented") -> DataFrame:
+                       strategy: str = "segmented", scale: int | None = None) -> DataFrame:
     """WIN-15 / WIN-20: average per partition and the difference from it."""
+    total, n = F.sum(amount(column, scale)), F.count(column)
     if strategy == "literal":
         w = _window(_keys(keys))
-        out = df.withColumn(name, F.sum(money(column)).over(w).cast("double")
-                            / F.count(column).over(w))
+        out = df.withColumn(name, total.over(w).cast("double") / n.over(w))
     else:
-        avg = F.sum(money(column)).cast("double") / F.count(column)
-        out = with_group_aggregates(df, keys, {name: avg}, strategy)
+        out = with_group_aggregates(df, keys, {name: total.cast("double") / n}, strategy)
     if diff_name:
         out = out.withColumn(diff_name, F.col(column) - F.col(name))
     return out
@@ -380,7 +289,8 @@ def with_first_last(df: DataFrame, keys, order, column: str, first_name: str | N
 
     With an ORDER BY the default frame starts at the partition start, so the
     first value is the partition's first row; LAST_VALUE over the full frame is
-    the partition's last row.  Both are ``min_by`` / ``max_by`` aggregates.
+    the partition's last row.  With orders of one direction both are ``min_by`` /
+    ``max_by`` aggregates; mixed directions take the first and last row by number.
     """
     keys = _keys(keys)
     order = parse_order(order)
@@ -393,32 +303,38 @@ def with_first_last(df: DataFrame, keys, order, column: str, first_name: str | N
         if last_name:
             cols[last_name] = F.last(column).over(full)
         return df.withColumns(cols)
-    if not all(o.ascending for o in order):
-        raise NotImplementedError("first/last by a descending order: use strategy='literal'")
+    if len({o.ascending for o in order}) > 1:
+        firsts = top_n_per_group(df, keys, order, 1, "_p").select(*keys, F.col(column).alias("_fv"))
+        lasts = top_n_per_group(df, keys, _reverse(order), 1, "_p").select(*keys, F.col(column).alias("_lv"))
+        out = join_back(join_back(df, firsts, keys), lasts, keys)
+        wanted = [F.col(v).alias(n) for v, n in (("_fv", first_name), ("_lv", last_name)) if n]
+        return out.select(*df.columns, *wanted)
     ordering = F.struct(*[F.col(o.name) for o in order])
+    first, last = (F.min_by, F.max_by) if order[0].ascending else (F.max_by, F.min_by)
     aggs = {}
     if first_name:
-        aggs[first_name] = F.min_by(F.col(column), ordering)
+        aggs[first_name] = first(F.col(column), ordering)
     if last_name:
-        aggs[last_name] = F.max_by(F.col(column), ordering)
+        aggs[last_name] = last(F.col(column), ordering)
     return with_group_aggregates(df, keys, aggs)
 
 
 def with_percent_of_partition(df: DataFrame, keys, column: str, name: str, scale: int = 2,
-                              strategy: str = "segmented") -> DataFrame:
-    """WIN-11: ``ROUND(c * 100.0 / SUM(c) OVER (PARTITION BY keys), scale)``, exact."""
+                              strategy: str = "segmented", digits: int = 2) -> DataFrame:
+    """WIN-11: ``ROUND(c * 100.0 / SUM(c) OVER (PARTITION BY keys), scale)``, exact for
+    amounts of up to ``digits`` decimal digits."""
     from tessera.functions.numeric import cents, percent
     keys = _keys(keys)
-    total = F.sum(cents(column))
+    total = F.sum(cents(column, digits))
     if strategy == "literal":
-        return df.withColumn(name, percent(cents(column), total.over(_window(keys)), scale))
+        return df.withColumn(name, percent(cents(column, digits), total.over(_window(keys)), scale))
     out = with_group_aggregates(df, keys, {"_ptotal": total})
-    return out.withColumn(name, percent(cents(column), F.col("_ptotal"), scale)).drop("_ptotal")
+    return out.withColumn(name, percent(cents(column, digits), F.col("_ptotal"), scale)).drop("_ptotal")
 
 
 # --------------------------------------------------------------------------- ordinal windows
 
-_INTERNAL = {"_seg", "_cnt", "_off", "_n", "_rn", "_doff", "_hot", "_hn"}
+_INTERNAL = {"_seg", "_cnt", "_off", "_n", "_rn", "_doff", "_hot", "_hn", "_tie", "_first"}
 
 
 def _drop_internal(df: DataFrame) -> DataFrame:
@@ -427,8 +343,7 @@ def _drop_internal(df: DataFrame) -> DataFrame:
 
 def with_rank_columns(df: DataFrame, keys, order, row_number: str | None = None,
                       rank: str | None = None, dense_rank: str | None = None,
-                      rank_order=None, strategy: str = "segmented",
-                      n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
+                      rank_order=None, strategy: str = "segmented", hot_rows: int | None = None) -> DataFrame:
     """WIN-4 / 5 / 12 / 19: ROW_NUMBER over ``order``; RANK / DENSE_RANK over
     ``rank_order`` (defaults to ``order``; usually the order without its
     tie-breaker).  ``rank_order`` must be a prefix of ``order``."""
@@ -446,15 +361,19 @@ def with_rank_columns(df: DataFrame, keys, order, row_number: str | None = None,
         if dense_rank:
             cols[dense_rank] = F.dense_rank().over(_window(keys, rank_k))
         return df.withColumns(cols)
-    dense_cols = [o.name for o in rank_k] if dense_rank else []
-    pos = with_row_positions(df, keys, order_k, n_ranges, dense_cols=dense_cols,
-                             hot_rows=hot_rows)
+    rank_cols = [o.name for o in rank_k] if rank or dense_rank else []
+    pos, offs, _ = _split_positions(df, keys, order_k, rank_cols=rank_cols, hot_rows=hot_rows)
     local_rank = _window(keys + ["_seg"], rank_k)
     cols = {}
     if row_number:
         cols[row_number] = F.col("_rn").cast("int")
     if rank:
-        cols[rank] = (F.col("_off") + F.rank().over(local_rank)).cast("int")
+        place = F.col("_off") + F.rank().over(local_rank)
+        if offs is not None:
+            # a value that reaches over from the range before keeps the place where it began
+            reaches = F.col("_tie").isNotNull() & F.struct(*rank_cols).eqNullSafe(F.col("_first"))
+            place = F.when(reaches, F.col("_tie")).otherwise(place)
+        cols[rank] = place.cast("int")
     if dense_rank:
         cols[dense_rank] = (F.col("_doff") + F.dense_rank().over(local_rank)).cast("int")
     out = pos.withColumns(cols)
@@ -462,19 +381,24 @@ def with_rank_columns(df: DataFrame, keys, order, row_number: str | None = None,
 
 
 def with_running_sum(df: DataFrame, keys, order, column: str, name: str,
-                     strategy: str = "segmented", n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
-    """WIN-3 / WIN-14: ``SUM(c) OVER (... ROWS UNBOUNDED PRECEDING)``, exact, as DOUBLE."""
+                     strategy: str = "segmented", hot_rows: int | None = None,
+                     scale: int | None = None) -> DataFrame:
+    """WIN-3 / WIN-14: ``SUM(c) OVER (... ROWS UNBOUNDED PRECEDING)``; null until the first
+    value that is not."""
     keys = _keys(keys)
     order_k = parse_order(order)
-    frame = _window(keys, order_k).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum(amount(column, scale))
+    back = (Window.unboundedPreceding, Window.currentRow)
     if strategy == "literal":
-        return df.withColumn(name, F.sum(money(column)).over(frame).cast("double"))
-    pos = with_row_positions(df, keys, order_k, n_ranges, sum_cols=[column], hot_rows=hot_rows)
-    local = _window(keys + ["_seg"], order_k).rowsBetween(Window.unboundedPreceding,
-                                                          Window.currentRow)
-    out = pos.withColumn(name, (F.col(f"_soff_{column}") + F.sum(money(column)).over(local))
-                         .cast("double"))
-    return _drop_internal(out)
+        return df.withColumn(name, as_result(total.over(_window(keys, order_k).rowsBetween(*back)), scale))
+    pos, offs, _ = _split_positions(df, keys, order_k, sums={column: total}, hot_rows=hot_rows)
+    here = total.over(_window(keys + ["_seg"], order_k).rowsBetween(*back))
+    if offs is not None:
+        here, before = F.col("_here"), F.col(f"_soff_{column}")
+        pos = pos.withColumn("_here", total.over(_window(keys + ["_seg"], order_k).rowsBetween(*back)))
+        here = F.coalesce(before + here, before, here)
+    out = pos.withColumn(name, as_result(here, scale))
+    return _drop_internal(out).drop("_here")
 
 
 def ntile_of(rn: Column, n_rows: Column, buckets: int) -> Column:
@@ -493,13 +417,13 @@ def ntile_of(rn: Column, n_rows: Column, buckets: int) -> Column:
 
 
 def with_ntile(df: DataFrame, keys, order, buckets: int, name: str,
-               strategy: str = "segmented", n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
+               strategy: str = "segmented", hot_rows: int | None = None) -> DataFrame:
     """WIN-13: NTILE(n) over a (possibly global) order."""
     keys = _keys(keys)
     order_k = parse_order(order)
     if strategy == "literal":
         return df.withColumn(name, F.ntile(buckets).over(_window(keys, order_k)))
-    pos = with_row_positions(df, keys, order_k, n_ranges, hot_rows=hot_rows)
+    pos = _split_positions(df, keys, order_k, hot_rows=hot_rows)[0]
     out = pos.withColumn(name, ntile_of(F.col("_rn"), F.col("_n"), buckets))
     return _drop_internal(out)
 
@@ -514,21 +438,18 @@ def _edges(ranged: DataFrame, offs: DataFrame, keys: list[str], order: list[Orde
     """The first k and last k rows of every range of a hot key, with global row numbers.
 
     Two top-k per range (planned with a partial ``WindowGroupLimit``, so at most
-    k rows per range leave each map task) joined to the bounded per-range table.
-    At most 2k rows per range: a bounded table.
+    k rows per range leave each map task).  At most 2k rows per range: a bounded table.
     """
-    hot = ranged.filter(F.col("_hot")).select(*keys, "_seg", *{o.name for o in order}, *carry)
     meta = offs.select(*keys, "_seg", "_off", "_cnt")
+    needed = dict.fromkeys([*keys, "_seg", *[o.name for o in order], *carry])
+    hot = join_back(ranged.select(*needed), meta, keys + ["_seg"]).filter(F.col("_off").isNotNull())
     head = (hot.withColumn("_p", F.row_number().over(_window(keys + ["_seg"], order)))
             .filter(F.col("_p") <= k))
-    small = _small(offs)
-    head = join_back(head, meta, keys + ["_seg"], broadcast=small).select(
-        *keys, "_seg", "_off", (F.col("_off") + F.col("_p")).alias("_rn"), *carry)
+    head = head.select(*keys, "_seg", "_off", (F.col("_off") + F.col("_p")).alias("_rn"), *carry)
     tail = (hot.withColumn("_p", F.row_number().over(_window(keys + ["_seg"], _reverse(order))))
             .filter(F.col("_p") <= k))
-    tail = join_back(tail, meta, keys + ["_seg"], broadcast=small).select(
-        *keys, "_seg", "_off", (F.col("_off") + F.col("_cnt") - F.col("_p") + 1).alias("_rn"),
-        *carry)
+    tail = tail.select(*keys, "_seg", "_off",
+                       (F.col("_off") + F.col("_cnt") - F.col("_p") + 1).alias("_rn"), *carry)
     return head, tail
 
 
@@ -541,22 +462,14 @@ def _pick(needers: DataFrame, sources: DataFrame, keys: list[str], shift: int, c
     return join_back(want, have, keys + ["_t"]).select(*keys, "_rn", name)
 
 
-def _small(offs: DataFrame, rows_per_range: int = 1) -> bool:
-    """Whether a table of (per-range rows × ``rows_per_range``) is within the
-    broadcast bound; ``offs`` is checkpointed, so counting it reads little."""
-    from tessera.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
-    return offs.count() * rows_per_range <= DEFAULT_MAX_BROADCAST_ROWS
-
-
-def _attach(pos: DataFrame, fix: DataFrame, keys: list[str], broadcast: bool = True) -> DataFrame:
-    """Fix-up table (edge rows only, at most 2k per range) attached to every row:
-    by broadcast within the bound, else by a shuffle join on (key, row number)."""
-    return join_back(pos, fix, keys + ["_rn"], broadcast=broadcast)
+def _attach(pos: DataFrame, fix: DataFrame, keys: list[str]) -> DataFrame:
+    """Fix-up table (edge rows only, at most 2k per range) attached to every row."""
+    return join_back(pos, fix, keys + ["_rn"])
 
 
 def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None = None,
                   lead_name: str | None = None, offset: int = 1, diff_name: str | None = None,
-                  strategy: str = "segmented", n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
+                  strategy: str = "segmented", hot_rows: int | None = None) -> DataFrame:
     """WIN-7 / 8 / 21: LAG / LEAD by ``offset`` and ``c - LAG(c)``."""
     keys = _keys(keys)
     order_k = parse_order(order)
@@ -570,7 +483,7 @@ def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None
         if diff_name:
             cols[diff_name] = F.col(column) - F.lag(column, offset).over(w)
         return df.withColumns(cols)
-    pos, offs, ranged = _split_positions(df, keys, order_k, n_ranges, hot_rows=hot_rows)
+    pos, offs, ranged = _split_positions(df, keys, order_k, hot_rows=hot_rows)
     local = _window(keys + ["_seg"], order_k)
     lpos = F.col("_rn") - F.col("_off")                     # position inside the range
     out = pos
@@ -590,7 +503,7 @@ def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None
         fix = fixes[0]
         for f in fixes[1:]:
             fix = fix.join(f, keys + ["_rn"], "full") if keys else fix.join(f, ["_rn"], "full")
-        out = _attach(out, fix, keys, broadcast=_small(offs, 2 * offset))
+        out = _attach(out, fix, keys)
         if want_lag:
             out = out.withColumn("_lag", F.when(F.col("_hot") & (lpos <= offset),
                                                 F.col("_fix_lag")).otherwise(F.col("_lag")))
@@ -610,21 +523,19 @@ def with_lag_lead(df: DataFrame, keys, order, column: str, lag_name: str | None
 
 
 def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, name: str,
-                    strategy: str = "segmented", n_ranges: int | None = DEFAULT_RANGES, hot_rows: int | None = None) -> DataFrame:
-    """WIN-10: ``AVG(c) OVER (ORDER BY .. ROWS BETWEEN n PRECEDING AND CURRENT ROW)``.
-
-    The frame sum is an exact decimal; the average is sum / rows as DOUBLE.
-    """
+                    strategy: str = "segmented", hot_rows: int | None = None,
+                    scale: int | None = None) -> DataFrame:
+    """WIN-10: ``AVG(c) OVER (ORDER BY .. ROWS BETWEEN n PRECEDING AND CURRENT ROW)``: the
+    frame's sum by its count of values, null if it has none."""
     keys = _keys(keys)
     order_k = parse_order(order)
+    total, n = F.sum(amount(column, scale)), F.count(column)
     if strategy == "literal":
         fr = _window(keys, order_k).rowsBetween(-preceding, Window.currentRow)
-        return df.withColumn(name, F.sum(money(column)).over(fr).cast("double")
-                             / F.count(column).over(fr))
-    pos, offs, ranged = _split_positions(df, keys, order_k, n_ranges, hot_rows=hot_rows)
+        return df.withColumn(name, total.over(fr).cast("double") / n.over(fr))
+    pos, offs, ranged = _split_positions(df, keys, order_k, hot_rows=hot_rows)
     fr = _window(keys + ["_seg"], order_k).rowsBetween(-preceding, Window.currentRow)
-    out = pos.withColumns({"_msum": F.sum(money(column)).over(fr),
-                           "_mcnt": F.count(column).over(fr)})
+    out = pos.withColumns({"_msum": total.over(fr), "_mcnt": n.over(fr)})
     if offs is not None and preceding > 0:
         # the first rows of a range also need the last rows of earlier ranges: each
         # tail row is offered to the next ``preceding`` row numbers (equi-join),
@@ -636,12 +547,12 @@ def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, nam
         want = head.select(*keys, "_rn", "_off", F.col("_rn").alias("_t"))
         got = join_back(want, offers, keys + ["_t"]).filter(
             F.col("_src").isNotNull() & (F.col("_src") <= F.col("_off")))
-        fix = got.groupBy(*keys, "_rn").agg(F.sum(money("_v")).alias("_xsum"),
-                                             F.count("_v").alias("_xcnt"))
-        out = _attach(out, fix, keys, broadcast=_small(offs, preceding)).withColumns({
-            "_msum": F.col("_msum") + F.coalesce(F.col("_xsum"), F.lit(0)),
+        fix = got.groupBy(*keys, "_rn").agg(F.sum(amount("_v", scale)).alias("_xsum"),
+                                            F.count("_v").alias("_xcnt"))
+        out = _attach(out, fix, keys).withColumns({
+            "_msum": F.coalesce(F.col("_msum") + F.col("_xsum"), F.col("_msum"), F.col("_xsum")),
             "_mcnt": F.col("_mcnt") + F.coalesce(F.col("_xcnt"), F.lit(0))})
-    out = out.withColumn(name, F.col("_msum").cast("double") / F.col("_mcnt"))
+    out = out.withColumn(name, F.when(F.col("_mcnt") > 0, F.col("_msum").cast("double") / F.col("_mcnt")))
     return out.select(*df.columns, name)
 
 

@@ -23,35 +23,34 @@ def same(a, b, cols):
 CASES = {
     "rank": (lambda df, s: W.with_rank_columns(df, ["o_orderpriority"], ["-o_totalprice", "o_orderkey"],
                                                "rn", "rk", "drk", rank_order=["-o_totalprice"],
-                                               strategy=s, n_ranges=8), ["o_orderkey", "rn", "rk", "drk"]),
+                                               strategy=s), ["o_orderkey", "rn", "rk", "drk"]),
     "rank_ties": (lambda df, s: W.with_rank_columns(df, ["o_orderstatus"], ["o_orderdate", "o_orderkey"],
                                                     None, "rk", "drk", rank_order=["o_orderdate"],
-                                                    strategy=s, n_ranges=8), ["o_orderkey", "rk", "drk"]),
+                                                    strategy=s), ["o_orderkey", "rk", "drk"]),
     "running_global": (lambda df, s: W.with_running_sum(df, [], ["o_orderdate", "o_orderkey"], "o_totalprice",
-                                                        "rt", strategy=s, n_ranges=8), ["o_orderkey", "rt"]),
+                                                        "rt", strategy=s, scale=2), ["o_orderkey", "rt"]),
     "running_key": (lambda df, s: W.with_running_sum(df, "o_custkey", ["o_orderdate", "o_orderkey"],
-                                                     "o_totalprice", "rt", strategy=s, n_ranges=8),
+                                                     "o_totalprice", "rt", strategy=s, scale=2),
                     ["o_orderkey", "rt"]),
-    "ntile": (lambda df, s: W.with_ntile(df, [], ["-o_totalprice", "o_orderkey"], 4, "nt", strategy=s,
-                                         n_ranges=8), ["o_orderkey", "nt"]),
+    "ntile": (lambda df, s: W.with_ntile(df, [], ["-o_totalprice", "o_orderkey"], 4, "nt", strategy=s), ["o_orderkey", "nt"]),
     "ntile_key": (lambda df, s: W.with_ntile(df, "o_orderpriority", ["-o_totalprice", "o_orderkey"], 7, "nt",
-                                             strategy=s, n_ranges=8), ["o_orderkey", "nt"]),
+                                             strategy=s), ["o_orderkey", "nt"]),
     "lag_lead": (lambda df, s: W.with_lag_lead(df, "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice",
-                                               "lg", "ld", diff_name="d", strategy=s, n_ranges=8),
+                                               "lg", "ld", diff_name="d", strategy=s),
                  ["o_orderkey", "lg", "ld", "d"]),
     "lag_lead_global_3": (lambda df, s: W.with_lag_lead(df, [], ["o_orderdate", "o_orderkey"], "o_totalprice",
-                                                        "lg", "ld", offset=3, strategy=s, n_ranges=32),
+                                                        "lg", "ld", offset=3, strategy=s),
                           ["o_orderkey", "lg", "ld"]),
     "moving_avg": (lambda df, s: W.with_moving_avg(df, [], ["o_orderdate", "o_orderkey"], "o_totalprice", 2,
-                                                   "ma", strategy=s, n_ranges=32), ["o_orderkey", "ma"]),
+                                                   "ma", strategy=s, scale=2), ["o_orderkey", "ma"]),
     "first_last": (lambda df, s: W.with_first_last(df, "o_custkey", ["o_orderdate", "o_orderkey"],
                                                    "o_orderstatus", "f", "l", strategy=s),
                    ["o_orderkey", "f", "l"]),
     "percent": (lambda df, s: W.with_percent_of_partition(df, "o_orderpriority", "o_totalprice", "p",
                                                           strategy=s), ["o_orderkey", "p"]),
-    "avg": (lambda df, s: W.with_partition_avg(df, "o_orderstatus", "o_totalprice", "a", "d", strategy=s),
+    "avg": (lambda df, s: W.with_partition_avg(df, "o_orderstatus", "o_totalprice", "a", "d", strategy=s, scale=2),
             ["o_orderkey", "a", "d"]),
-    "total": (lambda df, s: W.with_total(df, "o_totalprice", "t", strategy=s), ["o_orderkey", "t"]),
+    "total": (lambda df, s: W.with_total(df, "o_totalprice", "t", strategy=s, scale=2), ["o_orderkey", "t"]),
 }
 
 
@@ -84,17 +83,17 @@ def test_nulls_in_order_column(spark, orders, hot):
                                .otherwise(F.col("o_totalprice")))
     for s_fn in (lambda s: W.with_rank_columns(nulled, "o_orderpriority", ["-o_totalprice", "o_orderkey"],
                                                "rn", "rk", "drk", rank_order=["-o_totalprice"],
-                                               strategy=s, n_ranges=8),
+                                               strategy=s),
                  lambda s: W.with_rank_columns(nulled, [], ["o_totalprice", "o_orderkey"], "rn", "rk",
-                                               "drk", rank_order=["o_totalprice"], strategy=s, n_ranges=8)):
+                                               "drk", rank_order=["o_totalprice"], strategy=s)):
         assert same(s_fn("literal"), s_fn("segmented"), ["o_orderkey", "rn", "rk", "drk"])
 
 
 def test_ntile_sizes_and_running_total_end(orders):
-    nt = W.with_ntile(orders, [], ["-o_totalprice", "o_orderkey"], 4, "nt", n_ranges=8)
+    nt = W.with_ntile(orders, [], ["-o_totalprice", "o_orderkey"], 4, "nt")
     sizes = sorted(r["count"] for r in nt.groupBy("nt").count().collect())
     assert sizes[-1] - sizes[0] <= 1 and sum(sizes) == orders.count()
-    rt = W.with_running_sum(orders, [], ["o_orderdate", "o_orderkey"], "o_totalprice", "rt", n_ranges=8)
+    rt = W.with_running_sum(orders, [], ["o_orderdate", "o_orderkey"], "o_totalprice", "rt", scale=2)
     last = rt.orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).first().rt
     total = orders.agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")).first()[0]
     assert last == total
@@ -107,21 +106,24 @@ def test_top_n_uses_group_limit(orders):
     assert top.count() == 10
 
 
-def test_ranges_grow_with_data_and_stay_bounded(orders):
-    """With a bound of 50 rows per range, 1,500 orders spread over many small ranges."""
-    pos, offs = W.positions(orders, [], ["o_orderdate", "o_orderkey"], n_ranges=8, hot_rows=50)
+@pytest.mark.parametrize("order", [["o_orderdate", "o_orderkey"], ["tied", "o_orderkey"], ["o_orderpriority", "o_orderkey"],
+                                   ["-flag", "-o_orderkey"]])
+def test_no_range_exceeds_twice_the_bound(orders, order):
+    """One tied date, a text order and a boolean order are split by the later columns."""
+    df = orders.withColumns({"tied": F.lit("2020-01-01").cast("date"), "flag": F.col("o_orderkey") % 2 == 0})
+    pos, offs = W.positions(df, [], order, hot_rows=100)
     sizes = [r["count"] for r in pos.groupBy("_seg").count().collect()]
-    assert len(sizes) >= 1500 // 200          # coarse 8 × fine sub-ranges
-    assert max(sizes) <= 200                  # about the bound (dates tie, quantiles are approximate)
+    assert sum(sizes) == 1500 and max(sizes) <= 200 and len(sizes) >= 15
     assert offs.count() == len(sizes)
 
 
-@pytest.mark.parametrize("case", ["lag_lead", "moving_avg", "rank"])
-def test_split_without_broadcast(orders, case, monkeypatch):
-    """When the per-range table exceeds the broadcast bound, shuffle joins are used
-    instead; results are unchanged."""
-    from tessera.operators import joins as J
-    monkeypatch.setattr(W, "DEFAULT_HOT_ROWS", 100)
-    monkeypatch.setattr(J, "DEFAULT_MAX_BROADCAST_ROWS", 1)
-    fn, cols = CASES[case]
-    assert same(fn(orders, "literal"), fn(orders, "segmented"), cols)
+def test_range_table_holds_only_keys_in_several_ranges(orders):
+    _, offs = W.positions(orders, "o_custkey", ["o_orderdate", "o_orderkey"], hot_rows=5)
+    ranges = -(-2 * 1500 // 5)
+    assert 0 < offs.count() <= 2 * ranges
+
+
+def test_sums_keep_every_digit(spark):
+    df = spark.createDataFrame([(1, "1.005"), (2, "2.004")], "id int, t string").select(
+        "id", F.col("t").cast("decimal(18,3)").alias("v"))
+    assert {str(r["s"]) for r in W.with_total(df, "v", "s").collect()} == {"3.009"}
