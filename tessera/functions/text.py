@@ -43,10 +43,6 @@ def email_domain(c) -> Column:
     return F.try_element_at(F.split(_col(c), "@"), F.lit(2))
 
 
-def is_valid_email(c) -> Column:
-    return _col(c).rlike(EMAIL_PATTERN)
-
-
 def provider_type(c, public_domains: Sequence[str] = PUBLIC_MAIL_DOMAINS) -> Column:
     """STR-13: ``Public`` for well-known mail providers, otherwise ``Business``."""
     return F.when(F.lower(_col(c)).isin(*public_domains), F.lit("Public")).otherwise(
@@ -63,24 +59,12 @@ def url_host(c) -> Column:
     return F.lower(F.regexp_extract(_col(c), URL_HOST_PATTERN, 1))
 
 
-def first_token(c, sep: str, position: int) -> Column:
-    """AGG-12: the n-th ``sep``-separated token (1-based); null when absent."""
-    return F.try_element_at(F.split(_col(c), sep), F.lit(position))
-
-
-def coalesce_blank(c, default) -> Column:
-    """NUL-1: ``coalesce`` that also treats blank strings as missing."""
-    c = _col(c)
-    return F.coalesce(F.when(not_blank(c), c), F.lit(default) if not isinstance(default, Column)
-                      else default)
-
-
 def retail_clean(df: DataFrame, id_col: str, name_col: str, email_col: str, code_col: str,
                  items_col: str, store_col: str, id_width: int = 5) -> DataFrame:
     """STR-12: the eight-column retail clean-up plus one row per item.
 
-    Transaction type: ``ORDER`` for ``ORD-`` codes, ``RETURN`` for ``RET-``,
-    otherwise ``UNKNOWN``.  Year = the 4 digits after the prefix; city code = the
+    Transaction type: ``ORDER`` for codes that start with ``ORD``, ``RETURN`` for ``RET``,
+    otherwise ``UNKNOWN``.  Year = the 4 digits after the prefix and its dash; city code = the
     middle token of the store code; the id is left-padded with zeros.
     """
     code = F.col(code_col)
@@ -89,24 +73,9 @@ def retail_clean(df: DataFrame, id_col: str, name_col: str, email_col: str, code
         F.initcap(F.trim(F.col(name_col))).alias("CustomerName"),
         F.lower(F.trim(F.col(email_col))).alias("Email"),
         email_domain(F.lower(F.trim(F.col(email_col)))).alias("EmailDomain"),
-        F.when(code.startswith("ORD-"), "ORDER").when(code.startswith("RET-"), "RETURN")
+        F.when(code.startswith("ORD"), "ORDER").when(code.startswith("RET"), "RETURN")
          .otherwise("UNKNOWN").alias("TransactionType"),
         F.regexp_extract(code, r"^[A-Z]+-(\d{4})-", 1).alias("OrderYear"),
         F.try_element_at(F.split(F.col(store_col), "-"), F.lit(2)).alias("CityCode"),
         F.lpad(F.col(id_col).cast("string"), id_width, "0").alias("PaddedId"),
         F.explode(F.split(F.col(items_col), r"\s*,\s*")).alias("Item"))
-
-
-def tokens(c, lower: bool = False, strip_punct: bool = False) -> Column:
-    """Whitespace tokens of a text column as an array (empty tokens removed).
-
-    ``strip_punct`` replaces everything but letters, digits and spaces with a
-    space first (the stream tokeniser's rule), ``lower`` lower-cases.
-    """
-    c = _col(c)
-    if strip_punct:
-        c = F.regexp_replace(c, r"[^\p{L}\p{N}\s]", " ")
-    if lower:
-        c = F.lower(c)
-    parts = F.split(F.trim(c), r"\s+")
-    return F.filter(parts, lambda t: t != "")

@@ -3,93 +3,86 @@
 Layers talk to each other through storage only: each step reads the previous
 layer's files and writes its own, so a failed step is re-run from the layer
 below and lineage never spans the whole flow.
+
+Silver is declared: ``COLUMNS`` says of what kind each column is, ``KINDS`` how a kind is
+cleaned, ``RULES`` what a valid record needs.  Gold reports are built from the shared
+operators ``kpis``, ``trend`` and ``share_of_total``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import parse_date_multi
 from tessera.functions.names import standardize_columns
 from tessera.functions.text import EMAIL_PATTERN, clean_phone, email_domain, not_blank
-from tessera.operators.aggregate import share_of_total
+from tessera.operators.aggregate import kpis, share_of_total, trend
 from tessera.operators.dedup import latest_per_key, removed_duplicates
 from tessera.operators.quality import REASON, REASONS, VALID, apply_rules, split_valid
-from tessera.sinks.layout import write_layer, write_reports
 from tessera.session import work_path
+from tessera.sinks.layout import write_layer, write_reports
 from tessera.sources.files import read_delimited, with_provenance
 
-
-def _present(c: str):
-    return F.col(c).isNotNull() & (F.length(c) > 0)
-
-
-# The Silver rules and their rejection reasons, in the order they are checked.
-SILVER_RULES = (
-    ("Missing customer ID", "customer_id"),
-    ("Missing first name", "first_name"),
-    ("Missing last name", "last_name"),
-    ("Invalid email", None),
-    ("Invalid subscription date", "subscription_date"),
-)
-MISSING_COUNTRY = "Missing country"
+#: How the text of each kind of column is cleaned.
+KINDS: dict[str, Callable[[Column], Column]] = {
+    "text": F.trim,
+    "cased": lambda c: F.initcap(F.trim(c)),
+    "email": lambda c: F.lower(F.trim(c)),
+    "phone": clean_phone,
+    "date": parse_date_multi,
+    "number": lambda c: c.try_cast("long"),
+}
+
+#: The feed's columns after name standardisation.  Optional ones are null where absent.
+COLUMNS = {"customer_id": "text", "email": "email", "subscription_date": "date", "company": "text",
+           **dict.fromkeys(("first_name", "last_name", "city", "country"), "cased"),
+           **dict.fromkeys(("phone_1", "phone_2"), "phone"), "index": "number"}
+OPTIONAL = ("phone_2", "index")
+
+# The rejection reasons, in the order in which they are checked.
+RULES: dict[str, Callable[[], Column]] = {
+    "Missing customer ID": lambda: F.length("customer_id") > 0,
+    "Missing first name": lambda: F.length("first_name") > 0,
+    "Missing last name": lambda: F.length("last_name") > 0,
+    "Invalid email": lambda: F.col("email").rlike(EMAIL_PATTERN),
+    "Invalid subscription date": lambda: F.col("subscription_date").isNotNull(),
+    "Missing country": lambda: not_blank("country"),
+}
+#: Only the e-mail rule may answer neither yes nor no (on a null); the others are plain.
+_NULLABLE_RULES = ("Invalid email",)
 
 
 def customer_bronze(spark: SparkSession, source_path: str, bronze_path: str,
-                    infer: bool = False) -> str:
+                    rejects_path: str | None = None) -> str:
     """Bronze: raw CSV + provenance columns → CSV layer.
 
-    Bronze keeps the raw text (no type inference, which would cost a full extra
-    pass over the input); Silver casts every column it uses explicitly.
-    ``infer=True`` reproduces the notebook's inferred read.
+    The text is kept as it is (no inference pass); lines that do not have the header's
+    columns go to ``rejects_path`` with their raw text instead of being padded or cut.
     """
-    raw, _ = read_delimited(spark, source_path, header=True, infer=infer)
-    write_layer(with_provenance(raw), bronze_path, "csv")
+    good, bad = read_delimited(spark, source_path, header=True)
+    write_layer(with_provenance(good), bronze_path, "csv")
+    write_layer(bad, rejects_path or f"{bronze_path.rstrip('/')}_rejects", "json")
     return bronze_path
 
 
-def prepare_silver(bronze: DataFrame) -> DataFrame:
-    """Silver cleansing: names standardised, text trimmed and re-cased, dates parsed
-    (four formats, first success), phones reduced to digits and ``+``, derived columns."""
+def cleaned(bronze: DataFrame) -> DataFrame:
+    """Every declared column cleaned by its kind, others as they are, in one projection."""
     df = standardize_columns(bronze)
-    email = F.lower(F.trim("email"))
-    if "index" in df.columns:
-        df = df.withColumn("index", F.col("index").cast("long"))
-    out = df.withColumns({
-        "customer_id": F.trim(F.col("customer_id").cast("string")),
-        "first_name": F.initcap(F.trim("first_name")),
-        "last_name": F.initcap(F.trim("last_name")),
-        "company": F.trim("company"),
-        "city": F.initcap(F.trim("city")),
-        "country": F.initcap(F.trim("country")),
-        "email": email,
-        "subscription_date": parse_date_multi(F.col("subscription_date").cast("string")),
-        "phone_1": clean_phone(F.col("phone_1").cast("string")),
-        "phone_2": clean_phone(F.col("phone_2").cast("string")) if "phone_2" in df.columns
-        else F.lit(None).cast("string"),
-    })
-    return out.withColumns({
-        "customer_full_name": F.concat_ws(" ", "first_name", "last_name"),
-        "email_domain": email_domain("email"),
-        "subscription_year": F.year("subscription_date"),
-        "subscription_month": F.month("subscription_date"),
-        "_is_email_valid": F.col("email").rlike(EMAIL_PATTERN),
-        "_silver_processed_timestamp": F.current_timestamp(),
-    })
-
-
-def silver_rules(require_country: bool = True):
-    rules = []
-    for reason, col in SILVER_RULES:
-        rules.append((reason, F.col("_is_email_valid") if col is None
-                      else (_present(col) if col != "subscription_date"
-                            else F.col(col).isNotNull())))
-    if require_country:
-        rules.append((MISSING_COUNTRY, not_blank("country")))
-    return rules
+    missing = [c for c in COLUMNS if c not in df.columns]
+    if set(missing) - set(OPTIONAL):
+        raise ValueError(f"the feed lacks {sorted(set(missing) - set(OPTIONAL))}")
+    tidy = {c: KINDS[kind](F.col(c).cast("string")) for c, kind in COLUMNS.items() if c not in missing}
+    empty = {c: F.lit(None).cast("long" if COLUMNS[c] == "number" else "string") for c in missing}
+    return df.withColumns(tidy | empty).withColumn("email_domain", email_domain("email"))
+
+
+def silver_rules(require_country: bool = True) -> list[tuple[str, Column]]:
+    return [(reason, rule() if reason in _NULLABLE_RULES else F.coalesce(rule(), F.lit(False)))
+            for reason, rule in RULES.items() if require_country or reason != "Missing country"]
 
 
 @dataclass
@@ -100,87 +93,65 @@ class SilverResult:
     validated: DataFrame
 
 
-def build_silver(bronze: DataFrame, null_policy: str = "reject",
-                 require_country: bool = True) -> SilverResult:
-    """Validate, split, and keep the latest valid row per customer id
-    (by subscription date, then index) instead of an arbitrary survivor."""
-    prepared = prepare_silver(bronze)
-    validated = apply_rules(prepared, silver_rules(require_country), null_policy)
-    return split_silver(validated)
-
-
 def split_silver(validated: DataFrame) -> SilverResult:
     """Valid rows de-duplicated per customer (latest kept), rejected rows, removed copies."""
     valid, rejected = split_valid(validated)
-    valid = valid.drop("_is_email_valid", VALID, REASON, REASONS)
+    valid = valid.drop(VALID, REASON, REASONS)
     kept = latest_per_key(valid, "customer_id", ["subscription_date", "index"])
-    dups = removed_duplicates(valid, kept, ["customer_id", "index"])
-    return SilverResult(kept.drop("index"), rejected, dups, validated)
+    copies = removed_duplicates(valid, kept, ["customer_id", "index"])
+    return SilverResult(kept.drop("index"), rejected, copies, validated)
 
 
 def customer_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                     rejected_path: str, duplicates_path: str | None = None,
                     validated_path: str | None = None) -> SilverResult:
-    """Silver: read the Bronze CSV as text (every used column is cast explicitly, so no
-    inference pass), validate once and write the validated rows; the valid,
-    rejected and duplicate layers are then split from that written table, so the
+    """Silver: read the Bronze CSV as text, validate once and write the validated rows; the
+    valid, rejected and duplicate layers are then split from that written table, so the
     CSV is parsed once and the lineage of each output starts at storage."""
-    bronze, _ = read_delimited(spark, bronze_path, header=True, infer=False)
-    validated = apply_rules(prepare_silver(bronze), silver_rules())
+    bronze, _ = read_delimited(spark, bronze_path, header=True)
+    validated = apply_rules(cleaned(bronze), silver_rules())
     validated_path = validated_path or work_path(spark, "silver_validated")
     write_layer(validated, validated_path)
     res = split_silver(spark.read.parquet(validated_path))
-    write_layer(res.valid, silver_path)
+    write_layer(res.valid.withColumn("_silver_written", F.current_timestamp()), silver_path)
     write_layer(res.rejected, rejected_path)
     if duplicates_path:
         write_layer(res.duplicates, duplicates_path)
     return res
 
 
-def country_report(silver: DataFrame) -> DataFrame:
-    g = silver.groupBy("country").agg(
-        F.countDistinct("customer_id").alias("total_customers"),
-        F.countDistinct("city").alias("total_cities"),
-        F.countDistinct("company").alias("total_companies"),
-        F.min("subscription_date").alias("first_subscription_date"),
-        F.max("subscription_date").alias("latest_subscription_date"))
-    return share_of_total(g, "total_customers", "customer_percentage")
-
-
-def kpi_report(silver: DataFrame) -> DataFrame:
-    return silver.agg(
-        F.countDistinct("customer_id").alias("total_customers"),
-        F.countDistinct("country").alias("total_countries"),
-        F.countDistinct("city").alias("total_cities"),
-        F.countDistinct("company").alias("total_companies"),
-        F.min("subscription_date").alias("first_subscription_date"),
-        F.max("subscription_date").alias("latest_subscription_date"))
+#: What the reports count, and the dates whose range they give.
+MEASURED = {"customers": "customer_id", "countries": "country", "cities": "city", "companies": "company"}
+JOINED = {"subscription_date": ("joined_first", "joined_last")}
 
 
-def monthly_report(silver: DataFrame) -> DataFrame:
-    return (silver.groupBy(F.date_format("subscription_date", "yyyy-MM").alias("subscription_month"))
-            .agg(F.countDistinct("customer_id").alias("new_customers"),
-                 F.countDistinct("country").alias("countries_represented"),
-                 F.countDistinct("company").alias("companies_represented")))
+def _distinct(*names: str) -> dict[str, Column]:
+    return {n: F.countDistinct(MEASURED[n]) for n in names}
 
 
-def email_domain_report(silver: DataFrame) -> DataFrame:
-    g = (silver.filter(not_blank("email_domain")).groupBy("email_domain")
-         .agg(F.countDistinct("customer_id").alias("total_customers")))
-    return share_of_total(g, "total_customers", "customer_percentage")
+def _by(silver: DataFrame, key: str, *names: str, dates: bool = False) -> DataFrame:
+    """Distinct counts per key with the share of all customers."""
+    measures = _distinct("customers", *names)
+    if dates:
+        measures |= {"joined_first": F.min("subscription_date"), "joined_last": F.max("subscription_date")}
+    grouped = silver.groupBy(key).agg(*[m.alias(n) for n, m in measures.items()])
+    return share_of_total(grouped, "customers", "customers_pct")
 
 
-def gold_reports(silver: DataFrame) -> dict[str, DataFrame]:
-    return {"customer_kpi": kpi_report(silver),
-            "customer_country_report": country_report(silver),
-            "customer_monthly_report": monthly_report(silver),
-            "customer_email_domain_report": email_domain_report(silver)}
+#: Gold: report name and how it is made of the Silver rows.
+REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "totals": lambda s: kpis(s, MEASURED, JOINED),
+    "by_country": lambda s: _by(s, "country", "cities", "companies", dates=True),
+    "by_month": lambda s: trend(s, "subscription_date", "yyyy-MM", "joined_month",
+                                _distinct("customers", "countries", "companies")),
+    "by_domain": lambda s: _by(s.filter(not_blank("email_domain")), "email_domain"),
+}
 
 
 def customer_gold(spark: SparkSession, silver_path: str, gold_base: str) -> dict[str, str]:
     """Gold: reports from the Silver layer, each written with an audit timestamp."""
     silver = spark.read.parquet(silver_path)
-    return write_reports(gold_reports(silver), gold_base)
+    return write_reports({name: make(silver) for name, make in REPORTS.items()}, gold_base)
 
 
 def rejection_summary(rejected: DataFrame) -> DataFrame:

@@ -293,26 +293,17 @@ def url_parts(spark, sf):
 
 # ----------------------------------------------------------------------------- SQL API, dedup, top-k
 
-@query("sql_trip_summary", """
-SELECT n.n_name AS city, COUNT(*) AS trips,
-       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_fare,
-       CAST((SUM(CAST(l.l_quantity AS BIGINT)) * 200 + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100 AS avg_quantity
-FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
-GROUP BY n.n_name ORDER BY total_fare DESC, city""")
+_MODES = """
+SELECT p.p_brand, l.l_returnflag, COUNT(*) AS lines, MAX(l.l_quantity) AS largest,
+  CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM {lineitem} l INNER JOIN {part} p ON p.p_partkey = l.l_partkey
+WHERE l.l_quantity > 10 GROUP BY p.p_brand, l.l_returnflag"""
+
+
+@query("sql_trip_summary", _MODES.format(lineitem="lineitem", part="part"))
 def sql_trip_summary(spark, sf):
-    """AGG-2..4 through the SQL API: several aggregates per group, ordered by one
-    (the average rounded half-up in integer arithmetic, exact)."""
-    return spark.sql("""
-        SELECT n.n_name AS city, COUNT(*) AS trips,
-               CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_fare,
-               CAST((SUM(CAST(l.l_quantity AS BIGINT)) * 200 + COUNT(*)) div (2 * COUNT(*)) AS DOUBLE) / 100
-                 AS avg_quantity
-        FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
-        JOIN {nation} n ON s.s_nationkey = n.n_nationkey
-        GROUP BY n.n_name ORDER BY total_fare DESC, city""",
-                     lineitem=read_table(spark, sf, "lineitem"),
-                     supplier=read_table(spark, sf, "supplier"),
-                     nation=read_table(spark, sf, "nation"))
+    """AGG-2..4 through the SQL API: several aggregates per group of two keys."""
+    return spark.sql(_MODES, **{t: read_table(spark, sf, t) for t in ("lineitem", "part")})
 
 
 @query("dedup_removed", """

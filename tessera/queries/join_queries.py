@@ -58,22 +58,23 @@ WHERE p_size <= 25 GROUP BY p_brand"""
 
 @query("broadcast_join", BRAND_SQL)
 def broadcast_join(spark, sf):
-    """JON-2: the part dimension broadcast after its size is checked."""
+    """JON-2: the part dimension broadcast if its planned size in bytes is within the bound."""
     li = read_table(spark, sf, "lineitem").select("l_partkey", revenue().alias("rev"))
     p = read_table(spark, sf, "part").filter(F.col("p_size") <= 25).select("p_partkey", "p_brand")
-    j = J.join_dim(li, p, li.l_partkey == p.p_partkey, strategy="auto")
+    j = J.join_dim(li, p, li.l_partkey == p.p_partkey, strategy="broadcast")
     return j.groupBy("p_brand").agg(F.count(F.lit(1)).alias("lines"),
                                     F.sum("rev").cast("double").alias("revenue"))
 
 
 @query("salted_join", BRAND_SQL)
 def salted_join(spark, sf):
-    """JON-6: the same join with the fact's keys split over 8 salts (for hot part keys)."""
+    """JON-6: the same join with the fact's keys split over 8 salts (only keys with more than 20 lines here)."""
     li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
                                                   revenue().alias("rev"))
     p = read_table(spark, sf, "part").filter(F.col("p_size") <= 25).select(
         F.col("p_partkey").alias("l_partkey"), "p_brand")
-    j = J.salted_join(li, p, ["l_partkey"], 8, ["l_orderkey", "l_linenumber"])
+    j = J.salted_join(li, p, ["l_partkey"], 8, ["l_orderkey", "l_linenumber"],
+                      hot_rows=20)
     return j.groupBy("p_brand").agg(F.count(F.lit(1)).alias("lines"),
                                     F.sum("rev").cast("double").alias("revenue"))
 

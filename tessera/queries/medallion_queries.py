@@ -65,29 +65,20 @@ def raw_customer_feed(spark, sf):
          .alias("Website"))
 
 
-_RUNS: dict = {}
-
-
-def run_medallion(spark, sf) -> dict[str, str]:
-    """Write the feed and the three layers once per session and scale; return paths."""
-    key = (id(spark), sf)
-    if key in _RUNS:
-        return _RUNS[key]
+def run_medallion(spark, sf, gold: bool = False) -> dict[str, str]:
+    """Write the feed and the layers a query needs; return their paths."""
     base = work_path(spark, "medallion")
-    paths = {"source": f"{base}/source", "bronze": f"{base}/bronze", "silver": f"{base}/silver",
-             "rejected": f"{base}/rejected", "duplicates": f"{base}/duplicates",
-             "gold": f"{base}/gold"}
+    paths = {name: f"{base}/{name}" for name in ("source", "bronze", "silver", "rejected", "duplicates", "gold")}
     write_layer(raw_customer_feed(spark, sf), paths["source"], "csv")
     M.customer_bronze(spark, paths["source"], paths["bronze"])
-    M.customer_silver(spark, paths["bronze"], paths["silver"], paths["rejected"],
-                      paths["duplicates"])
-    M.customer_gold(spark, paths["silver"], paths["gold"])
-    _RUNS[key] = paths
+    M.customer_silver(spark, paths["bronze"], paths["silver"], paths["rejected"], paths["duplicates"])
+    if gold:
+        M.customer_gold(spark, paths["silver"], paths["gold"])
     return paths
 
 
 def _gold(spark, sf, name):
-    p = run_medallion(spark, sf)
+    p = run_medallion(spark, sf, gold=True)
     return spark.read.parquet(f"{p['gold']}/{name}").drop("_gold_processed_timestamp")
 
 
@@ -137,39 +128,38 @@ ranked AS (
 silver AS (SELECT *, split_part(email, '@', 2) AS email_domain FROM ranked WHERE rn = 1)"""
 
 
-@query("medallion_country_report", f"""WITH {SILVER_SQL}, g AS (
-  SELECT country, COUNT(DISTINCT customer_id) AS total_customers, COUNT(DISTINCT city) AS total_cities,
-         COUNT(DISTINCT company) AS total_companies, MIN(subscription_date) AS first_subscription_date,
-         MAX(subscription_date) AS latest_subscription_date FROM silver GROUP BY country)
-SELECT *, {sql_percent("total_customers", "SUM(total_customers) OVER ()")} AS customer_percentage FROM g""")
+_DISTINCT = {n: f"COUNT(DISTINCT {c}) AS {n}" for n, c in M.MEASURED.items()}
+_DATES = "MIN(subscription_date) AS joined_first, MAX(subscription_date) AS joined_last"
+
+
+def _share_sql(key: str, measures: str, where: str = "") -> str:
+    return f"""WITH {SILVER_SQL},
+r AS (SELECT {key}, {measures} FROM silver {where} GROUP BY {key})
+SELECT r.*, {sql_percent("customers", "SUM(customers) OVER ()")} AS customers_pct FROM r"""
+
+
+@query("medallion_country_report", _share_sql(
+    "country", ", ".join([_DISTINCT["customers"], _DISTINCT["cities"], _DISTINCT["companies"], _DATES])))
 def medallion_country_report(spark, sf):
-    """Gold country report after the full Bronze → Silver → Gold flow (read back)."""
-    return _gold(spark, sf, "customer_country_report")
+    """The Gold report by country after the full Bronze → Silver → Gold flow, read back."""
+    return _gold(spark, sf, "by_country")
 
 
-@query("medallion_kpis", f"""WITH {SILVER_SQL}
-SELECT COUNT(DISTINCT customer_id) AS total_customers, COUNT(DISTINCT country) AS total_countries,
-       COUNT(DISTINCT city) AS total_cities, COUNT(DISTINCT company) AS total_companies,
-       MIN(subscription_date) AS first_subscription_date, MAX(subscription_date) AS latest_subscription_date
-FROM silver""")
+@query("medallion_kpis", f"WITH {SILVER_SQL} SELECT {', '.join(_DISTINCT.values())}, {_DATES} FROM silver")
 def medallion_kpis(spark, sf):
-    return _gold(spark, sf, "customer_kpi")
+    return _gold(spark, sf, "totals")
 
 
 @query("medallion_monthly", f"""WITH {SILVER_SQL}
-SELECT strftime(subscription_date, '%Y-%m') AS subscription_month, COUNT(DISTINCT customer_id) AS new_customers,
-       COUNT(DISTINCT country) AS countries_represented, COUNT(DISTINCT company) AS companies_represented
-FROM silver GROUP BY 1""")
+SELECT strftime(subscription_date, '%Y-%m') AS joined_month, {_DISTINCT["customers"]}, {_DISTINCT["countries"]},
+  {_DISTINCT["companies"]} FROM silver GROUP BY 1""")
 def medallion_monthly(spark, sf):
-    return _gold(spark, sf, "customer_monthly_report")
+    return _gold(spark, sf, "by_month")
 
 
-@query("medallion_email_domains", f"""WITH {SILVER_SQL}, g AS (
-  SELECT email_domain, COUNT(DISTINCT customer_id) AS total_customers FROM silver
-  WHERE email_domain IS NOT NULL AND trim(email_domain) <> '' GROUP BY email_domain)
-SELECT *, {sql_percent("total_customers", "SUM(total_customers) OVER ()")} AS customer_percentage FROM g""")
+@query("medallion_email_domains", _share_sql("email_domain", _DISTINCT["customers"], "WHERE trim(email_domain) <> ''"))
 def medallion_email_domains(spark, sf):
-    return _gold(spark, sf, "customer_email_domain_report")
+    return _gold(spark, sf, "by_domain")
 
 
 @query("dq_rejections", f"""WITH {SILVER_SQL}, g AS (
@@ -225,20 +215,24 @@ def dq_layer_counts(spark, sf):
                         rejected=spark.read.parquet(p["rejected"]))
 
 
-@query("dq_checks", """SELECT true AS unique_customer_id, true AS percentages_sum_to_100,
-       true AS subscription_date_is_date""")
+@query("dq_checks", f"""WITH {SILVER_SQL},
+r AS (SELECT country, COUNT(DISTINCT customer_id) AS customers FROM silver GROUP BY country),
+p AS (SELECT {sql_percent("customers", "SUM(customers) OVER ()")} AS pct FROM r)
+SELECT (SELECT COUNT(*) = COUNT(DISTINCT customer_id) FROM silver) AS unique_customer_id,
+  (SELECT abs(SUM(pct) - 100) <= 0.5 FROM p) AS percentages_sum_to_100,
+  (SELECT bool_and(typeof(subscription_date) = 'DATE') FROM silver) AS subscription_date_is_date,
+  (SELECT COUNT(*) = COUNT(DISTINCT customer_id) FROM validated) AS unique_in_bronze""")
 def dq_checks(spark, sf):
-    """DQ-7: release checks over the Silver and Gold layers, one boolean per check."""
-    p = run_medallion(spark, sf)
-    silver = spark.read.parquet(p["silver"])
-    report = spark.read.parquet(f"{p['gold']}/customer_country_report")
-    is_date = dict(silver.dtypes)["subscription_date"] == "date"
-    u = check(silver, {"unique_customer_id": unique_check("customer_id")})
-    s = check(report, {"percentages_sum_to_100":
-                       F.abs(F.sum("customer_percentage") - F.lit(100.0)) <= F.lit(0.5)}).select(
-        "percentages_sum_to_100")
-    return u.withColumns({"percentages_sum_to_100": s.scalar(),
-                          "subscription_date_is_date": F.lit(is_date)})
+    """DQ-7: release checks over the layers, one boolean per check; the last one fails."""
+    p = run_medallion(spark, sf, gold=True)
+    silver, bronze = spark.read.parquet(p["silver"]), spark.read.option("header", "true").csv(p["bronze"])
+    report = spark.read.parquet(f"{p['gold']}/by_country")
+    one = lambda df, name, expr: check(df, {name: expr}).select(name).scalar()
+    return check(silver, {"unique_customer_id": unique_check("customer_id")}).select("unique_customer_id").withColumns({
+        "percentages_sum_to_100": one(report, "percentages_sum_to_100", F.abs(
+            F.sum("customers_pct") - F.lit(100.0)) <= F.lit(0.5)),
+        "subscription_date_is_date": F.lit(dict(silver.dtypes)["subscription_date"] == "date"),
+        "unique_in_bronze": one(bronze, "unique_in_bronze", unique_check("Customer Id"))})
 
 
 @query("dq_null_policy", f"""WITH {SILVER_SQL}
@@ -254,7 +248,7 @@ def dq_null_policy(spark, sf):
     outputs; the default policy rejects it instead."""
     p = run_medallion(spark, sf)
     bronze = spark.read.option("header", "true").csv(p["bronze"])
-    prepared = M.prepare_silver(bronze)
+    prepared = M.cleaned(bronze)
     rows = []
     for policy in ("reject", "drop"):
         v = apply_rules(prepared, M.silver_rules(), policy)

@@ -1,13 +1,15 @@
 """Streaming queries (STM-1..14) over files that Spark derives from the driver tables.
 
-The inputs are replayed as a stream: the table is cut into event-time ranges
-written one after another (so file order is time order), and a file-source
-stream reads one file per micro-batch with ``availableNow``.  Each query
+A table is replayed as a stream in event-time order: slice by slice its rows are written
+as new files, in parallel, and the query is started again from its checkpoint, so each
+slice is one micro-batch (or more) and earlier files are not read twice.  Each query
 returns what its sink holds at the end; the oracle is the batch twin in SQL.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,34 +18,29 @@ from tessera.queries.registry import query
 from tessera.session import read_table, work_path
 from tessera.streaming import streams as ST
 
+#: Slices of a replay; how many files each has follows from the table's own partitions.
+SLICES = 4
+
 
-def replay_files(df: DataFrame, ts: str, files: int, fmt: str = "parquet") -> str:
-    """Write ``df`` as ``files`` files, each an event-time range, oldest first."""
+def replay(df: DataFrame, ts: str, transform: Callable[[DataFrame], DataFrame], mode: str,
+           schema, fmt: str = "parquet", slices: int = SLICES) -> str:
+    """Stream ``df`` through ``transform`` slice by slice; returns the sink's folder."""
     spark = df.sparkSession
-    path = work_path(spark, "replay")
-    if files <= 1:
-        df.coalesce(1).write.format(fmt).save(path)
-        return path
-    probs = [i / files for i in range(1, files)]
-    cuts = df.select(F.col(ts).cast("timestamp").cast("double").alias("_t")).agg(
-        F.percentile_approx("_t", probs, 10000).alias("c")).first()["c"]
-    bounds = [None] + list(cuts) + [None]
+    source, out, state = (work_path(spark, f"replay_{part}") for part in ("source", "out", "state"))
     t = F.col(ts).cast("timestamp").cast("double")
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (t > F.lit(lo))
-        if hi is not None:
-            cond = cond & (t <= F.lit(hi))
-        df.filter(cond).coalesce(1).write.mode("append").format(fmt).save(path)
-    return path
+    cuts = df.agg(F.percentile_approx(t, [i / slices for i in range(1, slices)], 10000).alias("c")).first()["c"]
+    # number of cut points below the time: 0 for the first slice
+    place = sum(((t > F.lit(c)).cast("int") for c in cuts or []), F.lit(0))
+    for n in range(slices):
+        df.filter(F.coalesce(place, F.lit(0)) == n).write.mode("append").format(fmt).save(source)
+        stream = spark.readStream.schema(schema).format(fmt).load(source)
+        ST.run_to_end(ST.start(transform(stream), out, mode, checkpoint=state))
+    return out
 
 
-def _events_stream(spark, sf, files=4):
+def _events(spark, sf, transform, mode):
     e = read_table(spark, sf, "events")
-    src = replay_files(e, "ts", files)
-    return (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
-            .withColumn("event_time", ST.event_time("ts")))
+    return replay(e, "ts", lambda s: transform(s.withColumn("event_time", ST.event_time("ts"))), mode, e.schema)
 
 
 @query("stream_tumbling", """
@@ -52,13 +49,11 @@ SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start,
        event_type, COUNT(*) AS count
 FROM events GROUP BY 1, 2, 3""")
 def stream_tumbling(spark, sf):
-    """STM-2 / 5 / 6 / 8 / 10 / 11: file stream, 10-minute watermark, 5-minute
-    tumbling windows per event type, complete mode."""
-    s = _events_stream(spark, sf)
-    counts = ST.windowed_count(s, "event_time", "5 minutes", ["event_type"], delay="10 minutes")
-    out = work_path(spark, "stream_out")
-    ST.run_to_end(ST.start(counts, out, "complete"))
-    return ST.flatten_window(spark.read.parquet(out)).select(
+    """STM-2 / 5 / 6 / 8 / 10 / 11: file stream, 10-minute watermark, 5-minute tumbling
+    windows per event type, update mode: a batch writes only the windows it changed."""
+    out = _events(spark, sf, lambda s: ST.windowed_count(
+        s, "event_time", "5 minutes", ["event_type"], delay="10 minutes"), "update")
+    return ST.flatten_window(ST.latest_updates(spark, out, ["window", "event_type"])).select(
         "window_start", "window_end", "event_type", "count")
 
 
@@ -70,24 +65,21 @@ HAVING time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes'
 def stream_append_windows(spark, sf):
     """STM-8 / STM-12 append mode: a window is written once the watermark passes its
     end, so windows still open when the input ends are not in the output."""
-    s = _events_stream(spark, sf)
-    counts = ST.windowed_count(s, "event_time", "5 minutes", delay="10 minutes")
-    out = work_path(spark, "stream_out")
-    ST.run_to_end(ST.start(counts, out, "append"))
+    out = _events(spark, sf, lambda s: ST.windowed_count(s, "event_time", "5 minutes", delay="10 minutes"), "append")
     return ST.flatten_window(spark.read.parquet(out)).select("window_start", "count")
 
 
 def _posts(spark, sf):
-    d = read_table(spark, sf, "documents")
-    e = read_table(spark, sf, "events")
-    return d.join(e, d.doc_id == e.event_id).select(
+    """Every document as a post; its time and author are derived from its id."""
+    return read_table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("post_id"), "text",
-        F.col("user_id").cast("string").alias("author_id"),
-        F.col("ts").alias("created_at"), "lang")
+        (F.col("doc_id") % 97).cast("string").alias("author_id"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id * 7)").alias("created_at"),
+        "lang")
 
 
-_POSTS_SQL = """posts AS (SELECT d.doc_id, d.text, d.lang, e.ts AS created_at, e.user_id
-  FROM documents d JOIN events e ON d.doc_id = e.event_id)"""
+_POSTS_SQL = """posts AS (SELECT doc_id, text, lang, doc_id % 97 AS author,
+  TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL 7 SECOND AS created_at FROM documents)"""
 
 
 @query("stream_word_window", f"""WITH {_POSTS_SQL}, w AS (
@@ -98,41 +90,34 @@ SELECT time_bucket(INTERVAL '5 minutes', created_at) AS window_start,
        word, COUNT(*) AS count
 FROM w WHERE length(word) >= 4 GROUP BY 1, 2, 3 ORDER BY count DESC, word""")
 def stream_word_window(spark, sf):
-    """STM-2 / 4 / 6 / 9: JSON post files streamed one per batch; tokens of ≥ 4
-    characters counted per 5-minute window, complete mode, sorted (count desc, word)."""
-    posts = _posts(spark, sf)
-    src = replay_files(posts, "created_at", 4, fmt="json")
+    """STM-2 / 4 / 6 / 9: JSON post files streamed slice by slice; tokens of ≥ 4
+    characters counted per 5-minute window, complete mode (a sorted report needs it)."""
     schema = StructType.fromDDL("post_id STRING, text STRING, author_id STRING, "
                                 "created_at TIMESTAMP, lang STRING")
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(src)
-    tokens = ST.tokenize_stream(s, "text", "created_at", 4, delay="10 minutes")
-    counts = (tokens.groupBy(F.window("created_at", "5 minutes"), "word")
-              .agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "word"))
-    out = work_path(spark, "stream_out")
-    ST.run_to_end(ST.start(counts, out, "complete"))
+    out = replay(_posts(spark, sf), "created_at", lambda s: ST.windowed_tokens(s, "text", "created_at").orderBy(
+        F.desc("count"), "word"), "complete", schema, fmt="json")
     return ST.flatten_window(spark.read.parquet(out)).select(
         "window_start", "window_end", "word", "count").orderBy(F.desc("count"), "word")
 
 
+def _envelopes(spark, sf, transform, mode):
+    """Posts as JSON messages in a ``value`` column, parsed on the stream."""
+    sent = _posts(spark, sf).select("created_at", F.to_json(F.struct(F.struct(
+        F.col("post_id").alias("id"), "text", "author_id",
+        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
+        "lang").alias("data"))).alias("value"))
+    return replay(sent, "created_at", lambda s: transform(ST.english_posts(ST.parse_envelope(s.select("value")))),
+                  mode, "created_at TIMESTAMP_NTZ, value STRING")
+
+
 @query("stream_envelope_counts", f"""WITH {_POSTS_SQL}
 SELECT time_bucket(INTERVAL '5 minutes', created_at) AS window_start, COUNT(*) AS post_count
 FROM posts WHERE lang = 'en' AND created_at IS NOT NULL GROUP BY 1""")
 def stream_envelope_counts(spark, sf):
     """STM-3 / 7 / 8 / 14, JSN-1: JSON envelopes in a ``value`` column, parsed and
     flattened, English posts counted per 5-minute window in update mode."""
-    posts = _posts(spark, sf)
-    env = posts.select("created_at", F.to_json(F.struct(F.struct(
-        F.col("post_id").alias("id"), "text", "author_id",
-        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
-        "lang").alias("data"))).alias("value"))
-    src = replay_files(env, "created_at", 4, fmt="parquet")
-    s = spark.readStream.schema("created_at TIMESTAMP_NTZ, value STRING").option(
-        "maxFilesPerTrigger", 1).parquet(src)
-    parsed = ST.english_posts(ST.parse_envelope(s.select("value")))
-    counts = ST.windowed_count(parsed, "created_at", "5 minutes", delay="10 minutes",
-                               count_name="post_count")
-    out = work_path(spark, "stream_out")
-    ST.run_to_end(ST.start(counts, out, "update"))
+    out = _envelopes(spark, sf, lambda posts: ST.windowed_count(
+        posts, "created_at", "5 minutes", delay="10 minutes", count_name="post_count"), "update")
     final = ST.latest_updates(spark, out, ["window"])
     return ST.flatten_window(final).select("window_start", "post_count")
 
@@ -142,19 +127,15 @@ SELECT conv_id % 4 AS part, word, COUNT(*) AS count FROM (
   SELECT conv_id, unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\f]+')) AS word FROM conversations)
 WHERE word <> '' GROUP BY 1, 2""")
 def stream_batch_counts(spark, sf):
-    """STM-13: per-batch word counts with no state across batches: one file per
-    batch, counts per (batch's part, word)."""
-    c = read_table(spark, sf, "conversations").select(
-        (F.col("conv_id") % 4).alias("part"), "text")
-    src = work_path(spark, "conv_parts")
-    c.repartition(4, "part").write.partitionBy("part").parquet(src)
-    s = spark.readStream.schema("text STRING, part BIGINT").option(
-        "maxFilesPerTrigger", 1).parquet(src)
-    out = work_path(spark, "stream_out")
-    ST.run_to_end(ST.per_batch_word_count(s, "text", out, keys=["part"]))
-    res = spark.read.parquet(out)
-    # one file per batch, one part per file: each (part, word) is counted by one batch
-    return res.select("part", "word", "count")
+    """STM-13: words counted within each batch only; a slice (part) is a batch, so each part
+    is counted by one batch, which would count it alike if it ran again."""
+    c = read_table(spark, sf, "conversations").select((F.col("conv_id") % 4).alias("part"), "text")
+    source, out, state = (work_path(spark, f"parts_{p}") for p in ("source", "out", "state"))
+    for part in range(4):
+        c.filter(F.col("part") == part).write.mode("append").parquet(source)
+        s = spark.readStream.schema(c.schema).parquet(source)
+        ST.run_to_end(ST.per_batch_word_count(s, "text", out, keys=["part"], checkpoint=state))
+    return spark.read.parquet(out).select("part", "word", "count")
 
 
 @query("stream_parity", """
@@ -162,30 +143,17 @@ SELECT CASE WHEN event_id % 2 = 0 THEN 'EVEN' ELSE 'ODD' END AS parity, COUNT(*)
 FROM events GROUP BY 1""")
 def stream_parity(spark, sf):
     """STM-1: stateless EVEN / ODD tagging of a stream, append mode into files."""
-    s = _events_stream(spark, sf)
-    tagged = ST.tag_parity(s.select("event_id"), "event_id", "parity")
-    out = work_path(spark, "stream_out")
-    ST.run_to_end(ST.start(tagged, out, "append"))
+    out = _events(spark, sf, lambda s: ST.tag_parity(s.select("event_id"), "event_id", "parity"), "append")
     return spark.read.parquet(out).groupBy("parity").agg(F.count(F.lit(1)).alias("events"))
 
 
 @query("stream_kafka_shape", f"""WITH {_POSTS_SQL}
-SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST(user_id AS VARCHAR) AS author_id,
+SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST(author AS VARCHAR) AS author_id,
        created_at, lang FROM posts WHERE lang = 'en' AND created_at IS NOT NULL""")
 def stream_kafka_shape(spark, sf):
     """STM-3 / STM-14 / JSN-1: message values parsed and flattened on a stream, English
     posts with a valid time appended to files (the envelope transform works on any
     stream with a ``value`` column)."""
-    posts = _posts(spark, sf)
-    env = posts.select("created_at", F.to_json(F.struct(F.struct(
-        F.col("post_id").alias("id"), "text", "author_id",
-        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
-        "lang").alias("data"))).alias("value"))
-    src = replay_files(env, "created_at", 4, fmt="parquet")
-    s = spark.readStream.schema("created_at TIMESTAMP_NTZ, value STRING").option(
-        "maxFilesPerTrigger", 1).parquet(src)
-    parsed = ST.english_posts(ST.parse_envelope(s.select("value")))
-    out = work_path(spark, "stream_out")
-    ST.run_to_end(ST.start(parsed, out, "append"))
+    out = _envelopes(spark, sf, lambda posts: posts, "append")
     return spark.read.parquet(out).withColumn(
         "created_at", F.col("created_at").cast("timestamp_ntz"))

@@ -9,9 +9,15 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tessera.functions import text as T
 from tessera.operators import mutation as MU
+from tessera.operators.aggregate import composite_count, keyed_sum
+from tessera.operators.dedup import latest_per_key, removed_duplicates
+from tessera.operators.joins import with_config
 from tessera.queries.registry import query
 from tessera.session import read_table, work_path
 from tessera.sinks import layout as L
@@ -163,16 +169,18 @@ def codec_roundtrip(spark, sf):
 
 
 @query("compaction", """
-SELECT COUNT(*) AS lines, CAST(SUM(l_quantity) AS BIGINT) AS quantity, 4 AS files FROM lineitem""")
+SELECT l_returnflag, COUNT(*) AS lines, CAST(SUM(l_quantity) AS BIGINT) AS quantity, true AS fewer_files
+FROM lineitem GROUP BY 1""")
 def compaction(spark, sf):
-    """SNK-10: 64 small files rewritten as 4; rows unchanged."""
-    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    small = L.write_layer(li.repartition(64), work_path(spark, "small_files"))
-    out = L.compact(spark, small, 4)
-    sizes = L.file_sizes(spark, out).select(F.col("files").cast("int"))
-    rows = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("lines"),
-                                       F.sum("l_quantity").cast("long").alias("quantity"))
-    return rows.withColumn("files", sizes.scalar())
+    """SNK-10: small files rewritten into files of about ``target_bytes``; rows unchanged."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
+    small = L.write_layer(li.repartition(64, "l_orderkey"), work_path(spark, "small_files"))
+    out = L.compact(spark, small, target_bytes=256 << 10)
+    before, after = (L.file_sizes(spark, p).first() for p in (small, out))
+    fewer = after["files"] < before["files"] and after["files"] <= -(-before["bytes"] // (256 << 10))
+    return spark.read.parquet(out).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("long").alias("quantity"),
+        F.lit(fewer).alias("fewer_files"))
 
 
 @query("csv_quarantine", """
@@ -247,28 +255,237 @@ def text_lines_source(spark, sf):
     return tok.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
-@query("provenance_columns", """SELECT COUNT(*) AS records, 1 AS source_files FROM region""")
+@query("provenance_columns", """
+SELECT 'c_nationkey=' || c_nationkey AS folder, COUNT(*) AS records, true AS stamped FROM customer GROUP BY 1""")
 def provenance_columns(spark, sf):
-    """SRC-13: every row carries its source file and ingestion time."""
-    r = read_table(spark, sf, "region")
-    with_p = S.with_provenance(r)
-    return with_p.agg(F.count(F.lit(1)).alias("records"),
-                      F.countDistinct("_source_file").cast("int").alias("source_files"))
+    """SRC-13: every row carries the file it came from and the time of reading."""
+    path = L.write_layer(read_table(spark, sf, "customer"), work_path(spark, "by_nation"),
+                         partition_by=["c_nationkey"])
+    rows = S.with_provenance(S.read_layer(spark, path))
+    age = F.unix_timestamp() - F.unix_timestamp("_ingestion_timestamp")
+    return rows.groupBy(F.regexp_extract("_source_file", "(c_nationkey=[0-9]+)/[^/]+$", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("records"), F.bool_and(F.abs(age) < 3600).alias("stamped"))
 
 
-@query("errorifexists_sink", """SELECT true AS refused, COUNT(*) AS records FROM nation""")
+@query("errorifexists_sink", "SELECT n_nationkey, n_name FROM nation")
 def errorifexists_sink(spark, sf):
-    """SNK-4: a second write to the same output folder is refused."""
-    n = read_table(spark, sf, "nation")
-    p = L.write_layer(n, work_path(spark, "once"), "csv", mode="errorifexists")
-    refused = False
+    """SNK-4: a write to an output folder that exists is refused and leaves it as it was."""
+    n = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
+    p = L.write_layer(n, work_path(spark, "once"), mode="errorifexists")
     try:
-        L.write_layer(n, p, "csv", mode="errorifexists")
-    except Exception:  # noqa: BLE001 - the refusal is the expected outcome
-        refused = True
-    back = spark.read.option("header", "true").csv(p)
-    return back.agg(F.count(F.lit(1)).alias("records")).select(
-        F.lit(refused).alias("refused"), "records")
+        L.write_layer(n.filter("n_nationkey < 3"), p, mode="errorifexists")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+    else:
+        raise AssertionError("the second write was accepted")
+    return spark.read.parquet(p)
+
+
+@query("ranked_json_report", f"""
+SELECT l_partkey, CAST(SUM(l_quantity) AS BIGINT) AS quantity FROM lineitem WHERE l_returnflag <> 'R'
+GROUP BY 1 ORDER BY quantity DESC, l_partkey LIMIT 20""")
+def ranked_json_report(spark, sf):
+    """SNK-5: a ranked aggregate written as JSON and read back with its schema."""
+    li = read_table(spark, sf, "lineitem").filter("l_returnflag <> 'R'")
+    ranked = keyed_sum(li, "l_partkey", "l_quantity", "quantity").limit(20)
+    path = L.write_layer(ranked.withColumn("quantity", F.col("quantity").cast("long")),
+                         work_path(spark, "ranked"), "json")
+    return S.read_json(spark, path, "l_partkey BIGINT, quantity BIGINT")
+
+
+@query("json_config_file", f"""
+SELECT c_custkey, CAST(CAST(7500 AS DECIMAL(18,2)) - {_BAL} AS DOUBLE) AS pending,
+  c_acctbal < 100 AS below FROM customer""")
+def json_config_file(spark, sf):
+    """SRC-8 / JON-10: one multi-line JSON document read as configuration and attached to rows."""
+    path = work_path(spark, "config")
+    # one nation per document would be several rows; the first gives a one-document folder
+    doc = read_table(spark, sf, "nation").filter("n_nationkey = 0").select(F.lit(
+        '{\n "fee": 7500,\n "limits": {\n  "warning": 100\n }\n}').alias("value"))
+    doc.write.text(path)
+    config = S.read_json(spark, path, "fee DECIMAL(18,2), limits STRUCT<warning: INT>", multiline=True)
+    rows = with_config(read_table(spark, sf, "customer").select("c_custkey", "c_acctbal"), config)
+    return rows.select("c_custkey", (F.col("fee") - F.col("c_acctbal").cast("decimal(12,2)")).cast("double")
+                       .alias("pending"), (F.col("c_acctbal") < F.col("limits.warning")).alias("below"))
+
+
+@query("csv_strict_rows", """
+SELECT 'good' AS kind, COUNT(*) AS records, MAX('a;' || o_orderpriority) AS sample FROM orders
+WHERE o_orderkey % 50 NOT IN (1, 2)
+UNION ALL SELECT 'bad', COUNT(*), MAX(CASE WHEN o_orderkey % 50 = 1 THEN CAST(o_orderkey AS VARCHAR)
+  ELSE o_orderkey || ';"x";1;2' END) FROM orders WHERE o_orderkey % 50 IN (1, 2)""")
+def csv_strict_rows(spark, sf):
+    """SRC-1 / 4 / 5: no schema given; several files with a header each, an escape character of
+    its own, blank lines; short and long rows are quarantined with their raw text."""
+    k = F.col("o_orderkey")
+    line = (F.when(k % 50 == 1, k.cast("string")).when(k % 50 == 2, F.concat(k.cast("string"), F.lit(';"x";1;2')))
+            .otherwise(F.concat(k.cast("string"), F.lit(';"a;'), "o_orderpriority", F.lit('~"q";'), k.cast("string"))))
+    line = F.when(k % 50 == 3, F.concat(line, F.lit("\n"))).otherwise(line)
+    path = work_path(spark, "strict_csv")
+    o = read_table(spark, sf, "orders")
+    for part in range(2):  # each writer puts the header on top of its single file
+        body = o.filter(k % 2 == part).select(F.concat_ws("\n", F.lit("id;note;again"), F.array_join(
+            F.collect_list(line).over(Window.partitionBy(F.floor(k / 200))), "\n")).alias("value"),
+            F.row_number().over(Window.partitionBy(F.floor(k / 200)).orderBy(k)).alias("n"))
+        body.filter("n = 1").select("value").repartition(8).write.mode("append").option(
+            "lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
+    good, bad = S.read_delimited(spark, path, sep=";", escape="~")
+    g = good.agg(F.count(F.lit(1)).alias("records"), F.max(F.split("note", '"')[0]).alias("sample"))
+    b = bad.agg(F.count(F.lit(1)).alias("records"), F.max("raw_record").alias("sample"))
+    return g.withColumn("kind", F.lit("good")).unionByName(b.withColumn("kind", F.lit("bad")))
+
+
+@query("retail_items", """
+SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'ORDER' WHEN 1 THEN 'RETURN' ELSE 'UNKNOWN' END AS kind,
+  strftime(o_orderdate, '%Y') AS year, 'C' || (o_custkey % 9) AS city, unnest(['pen', 'ink', 'pad']) AS item FROM orders""")
+def retail_items(spark, sf):
+    """STR-12: codes, store parts and item lists of a retail feed, one row per item."""
+    k = F.col("o_orderkey")
+    prefix = F.when(k % 3 == 0, "ORD").when(k % 3 == 1, "RET").otherwise("ETC")
+    feed = read_table(spark, sf, "orders").select(
+        k.alias("id"), F.lit(" some NAME ").alias("name"), F.lit(" A@B.example ").alias("mail"),
+        F.concat(prefix, F.lit("-"), F.date_format("o_orderdate", "yyyy"), F.lit("-7")).alias("code"),
+        F.lit("pen , ink,pad").alias("items"),
+        F.concat(F.lit("ST-C"), (F.col("o_custkey") % 9).cast("string"), F.lit("-1")).alias("store"))
+    out = T.retail_clean(feed, "id", "name", "mail", "code", "items", "store")
+    return out.select(F.col("id").alias("o_orderkey"), F.col("TransactionType").alias("kind"),
+                      F.col("OrderYear").alias("year"), F.col("CityCode").alias("city"), F.col("Item").alias("item"))
+
+
+# ---------------------------------------------------------------- mutation of partitioned tables
+
+def _status_table(spark, sf, fmt="parquet", buckets=0):
+    """Orders by status, one status as the null partition."""
+    o = read_table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"))
+    name = f"status_{uuid.uuid4().hex[:10]}"
+    w = o.write.format(fmt).option("path", work_path(spark, name)).partitionBy("status")
+    if buckets:
+        w = w.bucketBy(buckets, "o_orderkey").sortBy("o_orderkey")
+    w.saveAsTable(name)
+    return name
+
+
+def _per_status(spark, table):
+    return spark.table(table).groupBy("status").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("price").cast("double").alias("price"))
+
+
+_STATUS = "CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END"
+_PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
+
+
+@query("delete_empties_partition", f"""
+SELECT {_STATUS} AS status, COUNT(*) AS orders, CAST(SUM({_PRICE}) AS DOUBLE) AS price FROM orders
+WHERE NOT (o_orderstatus = 'F' OR (o_orderstatus = 'P' AND o_orderkey % 2 = 0)) GROUP BY 1""")
+def delete_empties_partition(spark, sf):
+    """MUT-3: a delete that empties one partition and halves the null one."""
+    t = _status_table(spark, sf)
+    MU.delete_where(spark, t, "status = 'F' OR (status IS NULL AND o_orderkey % 2 = 0)")
+    return _per_status(spark, t)
+
+
+@query("update_moves_partition", f"""
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'X' WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+  COUNT(*) AS orders, CAST(SUM(CASE WHEN o_orderkey % 3 = 0 THEN {_PRICE} + 1 ELSE {_PRICE} END) AS DOUBLE) AS price
+FROM orders GROUP BY 1""")
+def update_moves_partition(spark, sf):
+    """MUT-2: rows leave every partition, the null one too, for a new one."""
+    t = _status_table(spark, sf)
+    MU.update_where(spark, t, "o_orderkey % 3 = 0", {"status": F.lit("X"), "price": F.col("price") + 1})
+    return _per_status(spark, t)
+
+
+@query("update_orc_bucketed", f"""
+SELECT {_STATUS} AS status, COUNT(*) AS orders,
+  CAST(SUM(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE {_PRICE} END) AS DOUBLE) AS price
+FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1""")
+def update_orc_bucketed(spark, sf):
+    """MUT-2 / MUT-3 on a partitioned, bucketed ORC table; its layout stays."""
+    t = _status_table(spark, sf, "orc", 4)
+    MU.update_where(spark, t, "o_orderkey % 5 = 0", {"price": F.lit(0)})
+    MU.delete_where(spark, t, "o_orderkey % 7 = 0")
+    layout = MU.table_layout(spark, t)
+    if (layout["provider"].lower(), layout["buckets"]) != ("orc", 4):
+        raise AssertionError(f"layout changed: {layout}")
+    return _per_status(spark, t)
+
+
+@query("merge_moves_partition", f"""
+SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'M' WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+  COUNT(*) AS orders, CAST(SUM(CASE WHEN o_orderkey % 4 = 0 THEN 10 ELSE {_PRICE} END) AS DOUBLE) AS price
+FROM (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+      UNION ALL SELECT -4 * (n_nationkey + 1), 'M', 0 FROM nation) GROUP BY 1""")
+def merge_moves_partition(spark, sf):
+    """MUT-5: changes that move rows to another partition, and new keys."""
+    t = _status_table(spark, sf)
+    old = read_table(spark, sf, "orders").filter("o_orderkey % 4 = 0").select("o_orderkey")
+    new = read_table(spark, sf, "nation").select((-4 * (F.col("n_nationkey") + 1)).cast("long").alias("o_orderkey"))
+    changes = old.unionByName(new).withColumns({"price": F.lit(10).cast("decimal(18,2)"), "status": F.lit("M")})
+    MU.upsert(spark, t, changes, ["o_orderkey"])
+    return _per_status(spark, t)
+
+
+@query("catalog_statements", """
+SELECT 'comment' AS fact, 'orders copy' AS value UNION ALL SELECT 'layer', 'silver'
+UNION ALL SELECT 'rows', CAST(COUNT(*) AS VARCHAR) FROM orders""")
+def catalog_statements(spark, sf):
+    """MUT-6 / MUT-7: database and table statements, read back from the catalog."""
+    db = f"db_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} COMMENT 'orders copy' LOCATION '{work_path(spark, db)}'")
+    read_table(spark, sf, "orders").write.option("path", work_path(spark, "copy")).saveAsTable(f"{db}.copy")
+    spark.sql(f"ALTER TABLE {db}.copy SET TBLPROPERTIES ('layer' = 'silver')")
+    comment = spark.sql(f"DESCRIBE DATABASE {db}").filter("info_name = 'Comment'").select(
+        F.lit("comment").alias("fact"), F.col("info_value").alias("value"))
+    layer = spark.sql(f"SHOW TBLPROPERTIES {db}.copy").filter("key = 'layer'").select(F.col("key").alias("fact"), "value")
+    n = spark.table(f"{db}.copy").agg(F.lit("rows").alias("fact"), F.count(F.lit(1)).cast("string").alias("value"))
+    return comment.unionByName(layer).unionByName(n)
+
+
+@query("column_statistics", """
+SELECT 'o_custkey' AS "column", CAST(MIN(o_custkey) AS VARCHAR) AS min, CAST(MAX(o_custkey) AS VARCHAR) AS max,
+  '0' AS num_nulls FROM orders""")
+def column_statistics(spark, sf):
+    """MUT-8: ANALYZE TABLE, its column statistics read from the catalog."""
+    name = f"stats_{uuid.uuid4().hex[:10]}"
+    read_table(spark, sf, "orders").select("o_custkey").write.option(
+        "path", work_path(spark, name)).saveAsTable(name)
+    return MU.analyze(spark, name, ["o_custkey"]).select("column", "min", "max", "num_nulls")
+
+
+@query("composite_key_nulls", """
+SELECT coalesce(a, '') || '_' || coalesce(b, '') AS key, COUNT(*) AS count FROM (
+  SELECT CASE o_orderkey % 4 WHEN 0 THEN 'x_y' WHEN 1 THEN 'x' WHEN 2 THEN NULL ELSE 'x' END AS a,
+         CASE o_orderkey % 4 WHEN 0 THEN 'z' WHEN 1 THEN 'y_z' WHEN 2 THEN 'x' END AS b FROM orders) GROUP BY a, b""")
+def composite_key_nulls(spark, sf):
+    """AGG-11: keys whose texts coincide, and nulls, stay apart."""
+    m = F.col("o_orderkey") % 4
+    df = read_table(spark, sf, "orders").select(
+        F.when(m == 0, "x_y").when(m == 1, "x").when(m == 3, "x").alias("a"),
+        F.when(m == 0, "z").when(m == 1, "y_z").when(m == 2, "x").alias("b"))
+    return composite_count(df, ["a", "b"])
+
+
+@query("dedup_null_identity", """
+SELECT o_orderkey, who FROM (SELECT o_orderkey, CASE WHEN o_custkey % 5 > 0 THEN o_custkey % 50 END AS who FROM orders)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY who ORDER BY o_orderkey) > 1""")
+def dedup_null_identity(spark, sf):
+    """DED-2 / DED-3 with null keys and a descending order: the kept row is not also removed."""
+    df = read_table(spark, sf, "orders").select("o_orderkey", F.when(
+        F.col("o_custkey") % 5 > 0, F.col("o_custkey") % 50).alias("who"))
+    kept = latest_per_key(df, "who", ["-o_orderkey"])
+    return removed_duplicates(df, kept, ["who", "o_orderkey"])
+
+
+@query("latest_text_descending", """
+SELECT o_custkey, o_orderpriority, o_orderkey FROM orders
+QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderdate, o_orderkey DESC) = 1""")
+def latest_text_descending(spark, sf):
+    """WIN-16: the preferred row by a text and a date in descending entries."""
+    o = read_table(spark, sf, "orders").select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
+    return latest_per_key(o, "o_custkey", ["-o_orderpriority", "-o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query("summary_refresh", """

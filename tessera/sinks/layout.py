@@ -93,20 +93,20 @@ def insert_partitions(df: DataFrame, table: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
 
 
-def compact(spark: SparkSession, path: str, target_files: int, fmt: str = "parquet",
-            out_path: str | None = None, partition_by: Sequence[str] = ()) -> str:
-    """SNK-10: rewrite a folder of small files into ``target_files`` files.
-
-    Written to a new folder (never over the folder being read); the caller
-    swaps paths.  With ``partition_by`` the rows are clustered by partition so
-    every partition gets few files.
+def compact(spark: SparkSession, path: str, target_files: int | None = None, fmt: str = "parquet",
+            out_path: str | None = None, partition_by: Sequence[str] = (),
+            target_bytes: int = 128 << 20) -> str:
+    """SNK-10: rewrite a folder of small files into files of about ``target_bytes``.
+
+    The number of files follows from the folder's size unless ``target_files`` is given.
+    Written to a new folder (never over the folder being read); the caller swaps paths.
+    With ``partition_by`` the rows are clustered by partition, and REBALANCE splits large
+    partitions and joins small ones.
     """
     df = spark.read.format(fmt).load(path)
     out_path = out_path or work_path(spark, "compacted")
-    if partition_by:
-        df = df.repartition(target_files, *partition_by)
-    else:
-        df = df.repartition(target_files)
+    files = target_files or max(1, -(-(file_sizes(spark, path).first()["bytes"] or 0) // target_bytes))
+    df = df.hint("rebalance", files, *partition_by) if partition_by else df.coalesce(files)
     write_layer(df, out_path, fmt, partition_by=partition_by)
     return out_path
 

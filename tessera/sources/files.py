@@ -28,44 +28,39 @@ def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", heade
                    options: dict | None = None):
     """SRC-1..5: delimited text.
 
-    With a schema and ``on_bad="quarantine"`` returns ``(good, bad)``: rows that
-    do not fit the schema (wrong field count, unparsable values) land in ``bad``
-    with their raw text.  ``on_bad="fail"`` raises on the first bad row
-    (FAILFAST); ``on_bad="drop"`` drops them.  Without a schema, ``infer``
-    samples the data for types.  ``names`` renames the columns of a headerless
-    file (SRC-2).
+    ``on_bad="quarantine"`` returns ``(good, bad)``: rows that do not fit (too few or too many
+    fields, values that cannot be read as their type) land in ``bad`` with their raw text and
+    file.  ``"fail"`` raises on the first such row, ``"drop"`` drops them.  Without a schema the
+    columns are the header's (all text, or ``infer`` reads the data once for types), and the
+    same rules hold for rows that do not have them.  ``names`` renames the columns of a
+    headerless file (SRC-2).  The header is taken off each file.  Blank lines are no rows.
     """
-    schema = _schema(schema)
+    if on_bad not in ("quarantine", "fail", "drop"):
+        raise ValueError(f"unknown on_bad {on_bad!r}")
     r = (spark.read.option("header", str(header).lower()).option("sep", sep)
          .option("quote", quote).option("escape", escape))
     for k, v in (options or {}).items():
         r = r.option(k, v)
+    schema = _schema(schema)
     if schema is None:
-        df = r.option("inferSchema", str(infer).lower()).csv(path)
-        if names:
-            df = df.toDF(*names)
-        return (df, None) if on_bad == "quarantine" else df
-    if on_bad == "fail":
-        return r.schema(schema).option("mode", "FAILFAST").csv(path)
-    if on_bad == "drop":
-        return r.schema(schema).option("mode", "DROPMALFORMED").csv(path)
-    # Quarantine: parse each line with ``from_csv`` in PERMISSIVE mode, keeping the
-    # raw line of every row that does not fit (short rows, unparsable values).
-    # Line-oriented: quoted fields must not span lines (use on_bad="fail" for that).
-    wide = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_source_file"))
-    if header:
-        first = spark.read.text(path).limit(1).collect()
-        if first:
-            lines = lines.filter(F.col("value") != F.lit(first[0][0]))
-    opts = {"sep": sep, "quote": quote, "escape": escape, "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": CORRUPT}
-    opts.update({k: str(v) for k, v in (options or {}).items()})
-    parsed = lines.select(F.from_csv("value", wide.simpleString(), opts).alias("_r"),
-                          "_source_file").select("_r.*", "_source_file")
-    good = parsed.filter(F.col(CORRUPT).isNull()).select(*[f.name for f in schema.fields])
-    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("raw_record"), "_source_file")
+        schema = r.option("inferSchema", str(infer).lower()).csv(path).schema
+    if names:
+        schema = StructType([StructField(n, f.dataType, True) for n, f in zip(names, schema, strict=True)])
+    # a row is judged by all its fields, whichever columns a query reads
+    r = r.option("columnPruning", "false").option("enforceSchema", "true")
+    if on_bad != "quarantine":
+        return r.schema(schema).option("mode", "FAILFAST" if on_bad == "fail" else "DROPMALFORMED").csv(path)
+    fields = [f.name for f in schema.fields]
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+    # Spark converts only the fields that a query reads, and refuses scans of the raw text
+    # alone; so the raw text of a bad row is tied to all its fields
+    every = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in fields])
+    raw = F.when(F.col(CORRUPT).isNotNull(), F.concat(F.col(CORRUPT), F.substring(every, 1, 0)))
+    parsed = (r.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .csv(path).withColumns({"_raw": raw, "_raw_file": F.col("_metadata.file_path")}))
+    good = parsed.filter(F.col("_raw").isNull()).select(*[F.col(f"`{c}`") for c in fields])
+    bad = parsed.filter(F.col("_raw").isNotNull()).select(
+        F.col("_raw").alias("raw_record"), F.col("_raw_file").alias("_source_file"))
     return good, bad
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
+from tessera.operators.dedup import latest_per_key
 from tessera.operators.wordcount import WORD_DELIMITERS, stream_tokens
 from tessera.session import work_path
 
@@ -40,17 +41,6 @@ def tag_parity(df: DataFrame, c: str = "value", name: str = "event_type") -> Dat
     return df.withColumn(name, F.when(F.col(c) % 2 == 0, F.lit("EVEN")).otherwise(F.lit("ODD")))
 
 
-def tokenize_stream(df: DataFrame, text: str, ts: str, min_len: int = 4,
-                    delay: str | None = "10 minutes") -> DataFrame:
-    """STM-4 / STM-5: drop rows without a time, set the watermark, one row per token
-    of at least ``min_len`` characters (ASCII letters and digits, lower-cased)."""
-    out = df.filter(F.col(ts).isNotNull())
-    if delay:
-        out = out.withWatermark(ts, delay)
-    return (out.select(ts, F.explode(stream_tokens(text)).alias("word"))
-            .filter(F.length("word") >= min_len))
-
-
 def windowed_count(df: DataFrame, ts: str, width: str, keys: Sequence[str] = (),
                    delay: str | None = None, count_name: str = "count") -> DataFrame:
     """STM-6 / STM-7: tumbling event-time window (× keys) count."""
@@ -59,6 +49,17 @@ def windowed_count(df: DataFrame, ts: str, width: str, keys: Sequence[str] = (),
     return df.groupBy(F.window(ts, width), *keys).agg(F.count(F.lit(1)).alias(count_name))
 
 
+def windowed_tokens(df: DataFrame, text: str, ts: str, width: str = "5 minutes", min_len: int = 4,
+                    delay: str | None = "10 minutes") -> DataFrame:
+    """STM-4 / 5 / 6: tokens of at least ``min_len`` characters counted per tumbling window.
+    Rows without a time cannot belong to a window and are left out."""
+    words = F.filter(stream_tokens(text), lambda w: F.length(w) >= min_len)
+    timed = df.filter(F.col(ts).isNotNull()).select(ts, words.alias("_words"))
+    if delay:
+        timed = timed.withWatermark(ts, delay)
+    return windowed_count(timed.select(ts, F.explode("_words").alias("word")), ts, width, ["word"])
+
+
 def flatten_window(df: DataFrame, ntz: bool = True) -> DataFrame:
     """``window`` struct → ``window_start`` / ``window_end`` columns (back to NTZ)."""
     t = TimestampNTZType() if ntz else None
@@ -97,9 +98,10 @@ def start(df: DataFrame, sink_path: str, mode: str = "append", trigger: str | No
     """STM-8 / STM-10 / STM-11: start a query into files.
 
     ``append``: the file sink (exactly-once through its log).  ``complete``:
-    every batch replaces the output with the full result.  ``update``: every
-    batch appends its changed rows tagged with ``batch_id``; read them back
-    with ``latest_updates``.
+    every batch replaces the output with the full result; for small reports.
+    ``update``: every batch writes its changed rows to its own ``batch_id=``
+    folder, so a batch that is run again after a failure replaces what it wrote;
+    read them back with ``latest_updates``.
     """
     spark = df.sparkSession
     checkpoint = checkpoint or work_path(spark, "stream_ckpt")
@@ -114,17 +116,22 @@ def start(df: DataFrame, sink_path: str, mode: str = "append", trigger: str | No
         w = w.foreachBatch(replace)
     elif mode == "update":
         def add(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long")) \
-                 .write.mode("append").format(fmt).save(sink_path)
+            write_batch(batch, batch_id, sink_path, fmt)
         w = w.foreachBatch(add)
     else:
         raise ValueError(f"unknown output mode {mode}")
     return _trigger(w, trigger).start()
 
 
-def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query to finish and surface its error, if any."""
-    q.awaitTermination(timeout_s)
+def write_batch(batch: DataFrame, batch_id: int, sink_path: str, fmt: str = "parquet") -> None:
+    """Write a micro-batch to its own folder; running it again gives the same folder."""
+    batch.write.mode("overwrite").format(fmt).save(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
+
+
+def run_to_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an ``availableNow`` query to finish and surface its error, if any.  With a
+    timeout the query is stopped and an error raised when it takes longer."""
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
@@ -134,27 +141,23 @@ def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> None:
 
 def latest_updates(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:
     """Final state from an update-mode output: the last batch's row per key."""
-    df = spark.read.format(fmt).load(path)
-    rest = [c for c in df.columns if c not in keys and c != "batch_id"]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_r"))
-    return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    return latest_per_key(spark.read.format(fmt).load(path), list(keys), ["batch_id"]).drop("batch_id")
 
 
 def per_batch_word_count(stream: DataFrame, text: str, sink_path: str, keys: Sequence[str] = (),
                          lower: bool = True, trigger: str | None = "available",
                          checkpoint: str | None = None, fmt: str = "parquet") -> StreamingQuery:
     """STM-13: words counted within each micro-batch only (no state across batches),
-    each batch's counts appended with its ``batch_id``."""
+    each batch's counts in a folder of its own (``batch_id=``)."""
     spark = stream.sparkSession
     checkpoint = checkpoint or work_path(spark, "batch_wc_ckpt")
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
         col = F.lower(F.col(text)) if lower else F.col(text)
-        (batch.select(*keys, F.explode(F.split(col, WORD_DELIMITERS)).alias("word"))
-         .filter(F.col("word") != "")
-         .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count"))
-         .withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("append").format(fmt).save(sink_path))
+        counted = (batch.select(*keys, F.explode(F.split(col, WORD_DELIMITERS)).alias("word"))
+                   .filter(F.col("word") != "")
+                   .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count")))
+        write_batch(counted, batch_id, sink_path, fmt)
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(count_batch)
     return _trigger(w, trigger).start()

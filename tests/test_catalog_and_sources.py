@@ -82,9 +82,9 @@ def test_late_rows_are_dropped_in_append_mode(spark):
 
 
 def test_surrogate_key_is_stable(spark):
-    s = customer_silver(spark, SF_SMALL).select("customer_id")
-    a = with_surrogate_key(s, "customer_id")
-    b = with_surrogate_key(s.orderBy(F.desc("customer_id")), "customer_id")
+    s = customer_silver(spark, SF_SMALL).select("c_custkey")
+    a = with_surrogate_key(s, "c_custkey")
+    b = with_surrogate_key(s.orderBy(F.desc("c_custkey")), "c_custkey")
     assert a.exceptAll(b).count() == 0
     assert a.select("customer_key").distinct().count() == s.count()
 
@@ -99,3 +99,17 @@ def test_codec_sizes_and_approx_kpis(spark):
     exact = kpis(li, {"parts": "l_partkey"}, {}).first()["parts"]
     approx = kpis(li, {"parts": "l_partkey"}, {}, approx=True).first()["parts"]
     assert abs(approx - exact) <= 0.1 * exact
+
+
+def test_bad_rows_without_a_schema(spark, tmp_path):
+    for n, body in enumerate(("a,b\n1,2\n\n3\n", "a,b\n4,5,6\n7,8\n")):
+        (tmp_path / f"f{n}.csv").write_text(body)
+    good, bad = S.read_delimited(spark, str(tmp_path))
+    assert sorted(map(tuple, good.collect())) == [("1", "2"), ("7", "8")]
+    assert sorted(r["raw_record"] for r in bad.collect()) == ["3", "4,5,6"]
+    assert S.read_delimited(spark, str(tmp_path), on_bad="drop").count() == 2
+    try:
+        S.read_delimited(spark, str(tmp_path), on_bad="fail").collect()
+        raise AssertionError("bad rows accepted")
+    except Exception as e:  # noqa: BLE001
+        assert "MALFORMED" in str(e)

@@ -20,14 +20,47 @@ def test_filter_and_columns_reach_the_scan(spark):
     assert f.read_schemas and all("o_orderdate" not in s for s in f.read_schemas)
 
 
-def test_checked_broadcast(spark):
-    part = read_table(spark, SF_SMALL, "part")
-    li = read_table(spark, SF_SMALL, "lineitem")
-    assert J.fits(part, 10_000) and not J.fits(li, 100)
-    j = J.join_dim(li, part, li.l_partkey == part.p_partkey)
-    assert plan_facts(j).broadcast_joins == 1
-    j2 = J.join_dim(li, part, li.l_partkey == part.p_partkey, max_rows=10)
-    assert plan_facts(j2).broadcast_joins == 0 or not J.fits(part, 10)
+def test_broadcast_is_bound_by_planned_bytes(spark):
+    part, li = (read_table(spark, SF_SMALL, t) for t in ("part", "lineitem"))
+    assert 0 < J.plan_bytes(part) < J.plan_bytes(li)
+    on = li.l_partkey == part.p_partkey
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan_facts(J.join_dim(li, part, on, strategy="broadcast")).broadcast_joins == 1
+        assert plan_facts(J.join_dim(li, part, on, strategy="broadcast", max_bytes=10)).broadcast_joins == 0
+        assert plan_facts(J.join_dim(li, part, on)).broadcast_joins == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_salted_join_keeps_rows_and_refuses_outer_kinds(spark):
+    big = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 1), (3, 1)], "k int, v int")
+    small = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (9, "z")], "k int, w string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = J.salted_join(big, small, ["k"], 8, ["v"], how, hot_rows=5)
+        want = big.join(small, "k", how)
+        assert sorted(map(tuple, got.select(*want.columns).collect()), key=repr) == sorted(
+            map(tuple, want.collect()), key=repr)
+    for how in ("full", "right"):
+        with pytest.raises(ValueError):
+            J.salted_join(big, small, ["k"], 8, ["v"], how)
+
+
+@pytest.mark.parametrize("name,kind", [("bucket_join", "SortMergeJoin"), ("salted_join", "SortMergeJoin"),
+                                       ("broadcast_join", "BroadcastHashJoin")])
+def test_plans_match_their_names(spark, name, kind):
+    import __spark_entry__ as entry
+    text = plan_facts(entry.queries()[name](spark, SF_SMALL)).text
+    assert kind in text
+    if name == "bucket_join":
+        assert "BroadcastExchange" not in text and "Bucketed: true" in text
+
+
+def test_latest_per_key_has_a_group_limit_and_no_sort_aggregate(spark):
+    from tessera.operators.dedup import latest_per_key
+    o = read_table(spark, SF_SMALL, "orders")
+    f = plan_facts(latest_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"]))
+    assert f.window_group_limits >= 1 and "SortAggregate" not in f.text
 
 
 def test_bucketed_join_has_no_exchange(spark):
@@ -76,7 +109,7 @@ def test_global_windows_are_not_single_task(spark, name, monkeypatch):
 
 
 def test_small_global_window_stays_plain(spark):
-    """Below the bound (proven by a limited count) the plain window is used: one shuffle."""
+    """Below the bound (one partial/final count) the plain window is used: one shuffle."""
     import __spark_entry__ as entry
     df = entry.queries()["win_running_total"](spark, SF_SMALL)
     f = plan_facts(df)
@@ -84,11 +117,9 @@ def test_small_global_window_stays_plain(spark):
 
 
 def test_no_python_in_registered_queries(spark):
-    import __spark_entry__ as entry
-    skip = ("stream_", "medallion_", "dq_", "update", "delete", "upsert", "insert", "partitioned",
-            "dynamic", "show_", "codec", "compaction", "csv_", "json_lines", "text_lines",
-            "provenance", "errorif", "bucket_join")
-    for name, fn in entry.queries().items():
-        if name.startswith(skip):
+    """The last plan of every query; what queries write before it is built from the same functions."""
+    from tessera.queries import QUERIES
+    for name, fn in QUERIES.items():
+        if name.startswith("stream_"):  # these run for a while; their operators are plain functions
             continue
         assert plan_facts(fn(spark, SF_SMALL)).python_evals == 0, name

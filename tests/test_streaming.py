@@ -66,3 +66,14 @@ def test_rate_source_parity_with_processing_time_trigger(spark):
     wrong = got.filter(((F.col("value") % 2 == 0) & (F.col("event_type") != "EVEN"))
                        | ((F.col("value") % 2 == 1) & (F.col("event_type") != "ODD")))
     assert wrong.count() == 0
+
+
+def test_a_batch_that_runs_again_writes_the_same(spark):
+    """STM-13: after a failure a batch is replayed with its id; its output is replaced."""
+    out = work_path(spark, "again")
+    batch = spark.createDataFrame([("a", 1), ("b", 2)], "word string, count long")
+    ST.write_batch(batch, 0, out)
+    ST.write_batch(batch.limit(1), 1, out)
+    once = sorted(map(tuple, spark.read.parquet(out).collect()))
+    ST.write_batch(batch.limit(1), 1, out)
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == once and len(once) == 3
