@@ -284,8 +284,6 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
     ``kept`` marks the rows whose id is their component's smallest.
     """
     every = cut(sketch(df, text, key))
-    classes = every.where("cls is not null and id is not null").groupBy("cls").agg(
-        F.min("id").alias("rep"))
     reps = cut(every.where("cls is not null and id is not null").groupBy("cls").agg(
         F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"),
         F.first("registers").alias("registers"), F.first("keys").alias("keys")))
@@ -301,9 +299,11 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
         .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct())
     likely = cut(_estimate(stars, reps, percent))
     links = cut(_verify(likely, texts, percent))
-    # one id may stand for several texts: all its classes' representatives are one document
-    twins = (every.where("cls is not null").join(classes, "cls")
-             .where("id <> rep").select(F.col("id").alias("b"), F.col("rep").alias("a")).distinct())
+    # rows of one class follow its representative; the classes were written out above, so
+    # that both sides of the join are plain exchanges and a class of very many copies is split
+    twins = (every.where("cls is not null").select("cls", F.col("id").alias("b"))
+             .join(reps.select("cls", F.col("id").alias("a")), "cls")
+             .where("a <> b").select("a", "b").distinct())
     grouped = cut(components(links))
 
     # pairs across components that still share a bucket
