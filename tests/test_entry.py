@@ -15,7 +15,7 @@ from conftest import SF_SMALL
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
-    assert df.columns[:2] == ["country", "total_customers"]
+    assert df.columns[:2] == ["n_name", "people"]
 
 
 def test_every_query_has_an_oracle():
