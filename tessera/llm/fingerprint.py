@@ -146,7 +146,8 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # ids go to Python as text, so that nulls do not turn them into floats
     dealt = (rows.withColumn("to", F.explode(targets(F.col("id").cast("string"), "tie")))
              .select("id", "tie", "text", F.col("to.range").alias("range"), F.col("to.tail").alias("tail"))
-             .repartition(max(1, len(starts)), "range")
+             # by range, as two ranges that hash alike would double a task's work
+             .repartitionByRange(max(1, len(starts)), "range")
              .sortWithinPartitions("range", "tail", *order))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
