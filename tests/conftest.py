@@ -13,7 +13,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import build_session, checkpoint_root
-    s = build_session(master="local[4]", shuffle_partitions=8, app_name="tessera-tests")
+    s = build_session(master="local[4]", shuffle_partitions=8, app_name="tessera-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-test-warehouse-")})
     if not s.conf.get("spark.checkpoint.dir", None):
         # tests only: no cluster folder is configured, so use a private one
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-test-ckpt-"))

@@ -1,5 +1,7 @@
 """Copy-on-write changes on partitioned, bucketed and ORC tables, with null partitions and keys."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,8 +16,7 @@ DATA = [(1, "a", "x"), (2, "b", "y"), (3, "c", None), (4, "d", "x"), (None, "e",
 
 @pytest.fixture(params=["parquet", "orc-bucketed", "external-orc"])
 def table(spark, request):
-    name = f"mut_{request.param.replace('-', '_')}"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = f"mut_{uuid.uuid4().hex[:10]}"
     fmt = "orc" if "orc" in request.param else "parquet"
     w = spark.createDataFrame(DATA, SCHEMA).write.format(fmt).partitionBy("p")
     if "external" in request.param:
@@ -77,8 +78,7 @@ def test_truncate(spark, table):
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc"])
 def test_unpartitioned_bucketed_table(spark, fmt):
-    name = f"mut_flat_{fmt}"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = f"mut_flat_{uuid.uuid4().hex[:10]}"
     spark.createDataFrame(DATA, SCHEMA).write.format(fmt).bucketBy(2, "id").sortBy("id").saveAsTable(name)
     MU.update_where(spark, name, "id = 2", {"v": F.lit("B")})
     MU.delete_where(spark, name, "id = 4")
