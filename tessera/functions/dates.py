@@ -28,12 +28,6 @@ def parse_date_multi(c, formats: Sequence[str] = SUBSCRIPTION_DATE_FORMATS) -> C
     return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
-def parse_timestamp(c, fmt: str | None = None) -> Column:
-    """DAT-5: tolerant timestamp parse (null on failure)."""
-    c = _col(c)
-    return F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-
-
 def year_month(c) -> Column:
     """DAT-3: ``yyyy-MM`` label."""
     return F.date_format(_col(c), "yyyy-MM")

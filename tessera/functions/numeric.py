@@ -35,11 +35,6 @@ def exact_sum(c, scale: int = 2) -> Column:
     return F.sum(money(c, scale)).cast("double")
 
 
-def exact_avg(c, scale: int = 2) -> Column:
-    """Average as (exact decimal sum) / count, returned as DOUBLE."""
-    return F.sum(money(c, scale)).cast("double") / F.count(_col(c))
-
-
 def round_ratio(num, den, scale: int = 2) -> Column:
     """ROUND(num / den, scale) for integer-valued num, den; half away from zero; DOUBLE.
 
@@ -81,10 +76,6 @@ def sql_exact_sum(expr: str, scale: int = 2) -> str:
     return f"CAST(SUM({sql_money(expr, scale)}) AS DOUBLE)"
 
 
-def sql_exact_avg(expr: str, scale: int = 2) -> str:
-    return f"(CAST(SUM({sql_money(expr, scale)}) AS DOUBLE) / COUNT({expr}))"
-
-
 def sql_round_ratio(num: str, den: str, scale: int = 2) -> str:
     n = f"CAST({num} AS HUGEINT)"
     d = f"CAST({den} AS HUGEINT)"

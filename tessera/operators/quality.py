@@ -74,7 +74,3 @@ def check(df: DataFrame, assertions: dict[str, Column]) -> DataFrame:
 
 def unique_check(c: str) -> Column:
     return F.count(F.col(c)) == F.countDistinct(F.col(c))
-
-
-def total_close_to(c: str, target: float, tolerance: float) -> Column:
-    return F.abs(F.sum(F.col(c)) - F.lit(target)) <= F.lit(tolerance)

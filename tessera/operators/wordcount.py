@@ -18,14 +18,6 @@ WORD_DELIMITERS = r"[ \t\n\r\f]+"
 STREAM_KEEP_PATTERN = r"[^a-zA-Z0-9 ]"
 
 
-def words(c, lower: bool = False) -> Column:
-    """Array of whitespace-separated words; empty tokens removed."""
-    col = F.col(c) if isinstance(c, str) else c
-    if lower:
-        col = F.lower(col)
-    return F.filter(F.split(col, WORD_DELIMITERS), lambda t: t != "")
-
-
 def word_count(df: DataFrame, c: str, lower: bool = False, min_len: int = 1,
                word_name: str = "word", count_name: str = "count") -> DataFrame:
     """AGG-10: case-sensitive by default; ``lower`` and ``min_len`` variants."""

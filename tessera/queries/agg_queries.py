@@ -11,6 +11,7 @@ from tessera.functions.numeric import (exact_sum, round_money_avg, sql_exact_sum
 from tessera.operators import aggregate as A
 from tessera.operators import wordcount as WC
 from tessera.operators.joins import join_dim, with_config
+from tessera.plans.facts import plan_facts
 from tessera.queries.registry import query
 from tessera.session import read_table
 
@@ -360,3 +361,23 @@ def error_lines_by_source(spark, sf):
     ln = d.select("source", F.explode(F.split("text", "\n")).alias("line"))
     return (ln.filter(F.col("line").contains("License")).groupBy("source")
             .agg(F.count(F.lit(1)).alias("lines")))
+
+
+@query("mail_providers", """
+SELECT c_custkey, CASE WHEN c_custkey % 5 < 3 THEN 'Public' ELSE 'Business' END AS provider_type FROM customer""")
+def mail_providers(spark, sf):
+    """STR-13: customers' mail domains in any case, three in five at a public provider."""
+    names = F.array(*[F.lit(d) for d in ("Gmail.com", "yahoo.com", "OUTLOOK.COM", "example.org", "gmail.com.example")])
+    domain = F.element_at(names, (F.col("c_custkey") % 5 + 1).cast("int"))
+    return read_table(spark, sf, "customer").select("c_custkey", T.provider_type(domain).alias("provider_type"))
+
+
+@query("pushed_filter_rows", """
+SELECT o_orderkey, true AS filter_pushed, true AS other_columns_pruned FROM orders WHERE o_orderstatus = 'F'""")
+def pushed_filter_rows(spark, sf):
+    """MUT-9: the rows of a filtered scan, with what its own physical plan says about it."""
+    rows = read_table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_orderkey")
+    facts = plan_facts(rows)
+    return rows.withColumns({
+        "filter_pushed": F.lit(any("o_orderstatus" in p for p in facts.pushed_filters)),
+        "other_columns_pruned": F.lit(all("o_totalprice" not in s for s in facts.read_schemas))})

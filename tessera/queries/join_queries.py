@@ -102,10 +102,11 @@ def bucket_join(spark, sf):
     without an exchange on either side."""
     li = read_table(spark, sf, "lineitem").select("l_orderkey", revenue().alias("rev"))
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lt = save_bucketed(spark, li.withColumnRenamed("l_orderkey", "orderkey"), "bj_lineitem",
-                       ["orderkey"], 8)
+                       ["orderkey"], buckets)
     ot = save_bucketed(spark, o.withColumnRenamed("o_orderkey", "orderkey"), "bj_orders",
-                       ["orderkey"], 8)
+                       ["orderkey"], buckets)
     j = J.join_dim(spark.table(lt), spark.table(ot), "orderkey", strategy="bucket")
     return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("lines"),
                                             F.countDistinct("orderkey").alias("orders"),

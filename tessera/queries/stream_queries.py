@@ -147,6 +147,30 @@ def stream_parity(spark, sf):
     return spark.read.parquet(out).groupBy("parity").agg(F.count(F.lit(1)).alias("events"))
 
 
+@query("stream_triggered", """
+SELECT CASE WHEN event_id % 2 = 0 THEN 'EVEN' ELSE 'ODD' END AS parity, COUNT(*) AS events
+FROM events GROUP BY 1""")
+def stream_triggered(spark, sf):
+    """STM-10: a processing-time trigger; stopped when all files that are there are done."""
+    e = read_table(spark, sf, "events")
+    source, out = work_path(spark, "triggered_source"), work_path(spark, "triggered_out")
+    e.select("event_id").write.parquet(source)
+    stream = spark.readStream.schema("event_id BIGINT").parquet(source)
+    q = ST.start(ST.tag_parity(stream, "event_id", "parity"), out, "append", trigger="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(out).groupBy("parity").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("stream_restarted", "SELECT event_id, 1 AS times FROM events")
+def stream_restarted(spark, sf):
+    """STM-11: four runs from one checkpoint; every event arrives once."""
+    out = _events(spark, sf, lambda s: s.select("event_id"), "append")
+    return spark.read.parquet(out).groupBy("event_id").agg(F.count(F.lit(1)).cast("int").alias("times"))
+
+
 @query("stream_kafka_shape", f"""WITH {_POSTS_SQL}
 SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST(author AS VARCHAR) AS author_id,
        created_at, lang FROM posts WHERE lang = 'en' AND created_at IS NOT NULL""")
