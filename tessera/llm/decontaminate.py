@@ -201,15 +201,9 @@ def _search(source: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = Windows(shared.value)
         for frame in batches:
-            ids, texts = frame["doc_id"].tolist(), frame["text"].tolist()
-            i = 0
-            while i < len(ids):
-                folded, size, first = [], 0, i
-                while i < len(ids) and (not folded or size < STEP_CHARS):
-                    folded.append(fold(texts[i]))
-                    size += len(folded[-1])
-                    i += 1
-                yield _matches(index, ids[first:i], folded)
+            ids = frame["doc_id"].tolist()
+            for first, folded in _steps(frame["text"].tolist()):
+                yield _matches(index, ids[first:first + len(folded)], folded)
 
     return source.mapInPandas(run, "doc_id long, item_id long, edits long, windows long, end long")
 
@@ -232,8 +226,40 @@ def _matches(index: Windows, ids: list[int], folded: list[str]) -> pd.DataFrame:
                         columns=["doc_id", "item_id", "edits", "windows", "end"], dtype="int64")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **names) -> DataFrame:
-    """``docs`` without the documents that contain an item; null ids stay."""
-    bad = contaminated(docs, benchmark, key=key, **names).select(
-        F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(key) == F.col("_bad"), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
+          item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` without the documents that contain an item, whatever their ids.
+
+    Each block of the benchmark is one more filter on the text; nothing is shuffled.
+    """
+    for block in _blocks(benchmark, item, item_text, block_chars):
+        docs = docs.where(~_contains(docs.sparkSession, block)(F.col(text)))
+    return docs
+
+
+def _contains(spark, items: list[tuple[int, str]]):
+    shared = spark.sparkContext.broadcast(items)
+
+    @F.pandas_udf("boolean")
+    def contains(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = Windows(shared.value)
+        for texts in batches:
+            hit = np.zeros(len(texts), bool)
+            for first, folded in _steps(texts.tolist()):
+                places = list(range(first, first + len(folded)))
+                hit[_matches(index, places, folded)["doc_id"].to_numpy(np.int64)] = True
+            yield pd.Series(hit)
+
+    return contains
+
+
+def _steps(texts: list) -> Iterator[tuple[int, list[str]]]:
+    """(first row, folded texts) of runs of about STEP_CHARS characters."""
+    i = 0
+    while i < len(texts):
+        folded, size, first = [], 0, i
+        while i < len(texts) and (not folded or size < STEP_CHARS):
+            folded.append(fold(texts[i]))
+            size += len(folded[-1])
+            i += 1
+        yield first, folded

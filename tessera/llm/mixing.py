@@ -132,11 +132,12 @@ def repeat(docs: DataFrame, taken: DataFrame, key: str = "doc_id", text: str = "
     Rows that agree in key and text are one entry; their times are dealt out among them, so
     the mix keeps its size.
     """
-    plan = taken.groupBy(F.col("id").alias("__mix_id"), F.col("tie").alias("__mix_tie")).agg(
+    # one struct as key (nulls inside are equal), so that the join and the window share a shuffle
+    plan = taken.groupBy(F.struct("id", "tie").alias("__mix_key")).agg(
         F.sum("times").alias("__mix_total"), F.count(F.lit(1)).alias("__mix_rows"))
-    joined = docs.withColumn("__mix_own", text_tie(text)).join(
-        plan, F.col(key).eqNullSafe(F.col("__mix_id")) & (F.col("__mix_own") == F.col("__mix_tie")))
-    same = Window.partitionBy("__mix_id", "__mix_tie").orderBy(*[F.col(c) for c in docs.columns if c != text])
+    joined = docs.withColumn("__mix_key", F.struct(
+        F.col(key).alias("id"), text_tie(text).alias("tie"))).join(plan, "__mix_key")
+    same = Window.partitionBy("__mix_key").orderBy(*[F.col(c) for c in docs.columns if c != text])
     more = F.row_number().over(same) <= F.col("__mix_total") % F.col("__mix_rows")
     times = F.floor(F.col("__mix_total") / F.col("__mix_rows")) + F.when(more, 1).otherwise(0)
     return (joined.withColumn("__mix_times", times.cast("int"))

@@ -75,7 +75,8 @@ def test_planted_passages(spark):
     assert {100 + n for n in range(9)} | {300 + n for n in range(9)} <= {d for d, _ in got}
     kept = dc.clean(docs, bench)
     assert kept.columns == docs.columns
-    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {d for d, _ in got}
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {d for d, _ in got} - {None}
+    assert dc.clean(docs, bench, block_chars=300).count() == kept.count()
     blocks = dc.contaminated(docs, bench, block_chars=300).collect()
     assert sorted(map(tuple, blocks)) == sorted(map(tuple, found))
 
