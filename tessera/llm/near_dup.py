@@ -250,20 +250,21 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component): smallest reachable id of every id in ``edges`` (a, b).
 
     Alternates two rounds until nothing changes: every id sends its larger neighbours, then
-    its smaller ones, to the smallest neighbour it knows.  The edges never grow in number,
-    and a hub with very many neighbours only passes through a partial minimum.
+    its smaller ones, to the smallest neighbour it knows.  The edges never grow in number.
+    Minima are partial before they are shuffled, and written out before they are joined, so
+    that the rows of a hub with very many neighbours can be split over tasks.
     """
     edges = cut(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
                 .where("hi <> lo").distinct())
     while True:
         # large star: larger neighbours of each id point at its least neighbour
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        least = both.groupBy("hi").agg(F.min("lo").alias("m")).select(
-            F.col("hi").alias("v"), F.least("hi", "m").alias("m"))
-        large = (edges.select(F.col("lo").alias("v"), F.col("hi").alias("u")).join(least, "v")
+        least = cut(both.groupBy("hi").agg(F.min("lo").alias("m")).select(
+            F.col("hi").alias("v"), F.least("hi", "m").alias("m")))
+        large = cut(edges.select(F.col("lo").alias("v"), F.col("hi").alias("u")).join(least, "v")
                  .select(F.col("u").alias("hi"), F.col("m").alias("lo")).distinct())
         # small star: smaller neighbours, and the id itself, point at the least of them
-        lows = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        lows = cut(large.groupBy("hi").agg(F.min("lo").alias("m")))
         small = (large.join(lows, "hi").select(
             F.explode(F.array(F.struct(F.col("lo").alias("x"), "m"),
                               F.struct(F.col("hi").alias("x"), "m"))).alias("e"))
