@@ -1,4 +1,4 @@
-"""Write PLANS.md: physical-plan facts for every registered query.
+"""Write PLANS.md: physical-plan facts for every query of the library's own registry.
 
 Usage: python tools/plan_report.py [sf_dir]
 Queries that write files or run streams (their plan is the read-back) are
@@ -19,9 +19,9 @@ from tessera.session import build_session  # noqa: E402
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
-    import __spark_entry__ as entry
+    from tessera.queries import QUERIES
     rows = []
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         f = plan_facts(fn(spark, sf_dir))
         rows.append((name, f.shuffle_exchanges, f.broadcast_joins, f.sort_merge_joins,
                      f.window_group_limits, len([p for p in f.pushed_filters if p.strip()]),
