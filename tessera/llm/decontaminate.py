@@ -116,12 +116,14 @@ class Windows:
         # a q-gram of the window counts once in a band, however often the band repeats it
         band = np.concatenate([band, band - 1]) + 1
         pairs, places = np.tile(at_pair, 2), np.tile(self.place[post], 2)
-        key = np.unique((pairs << 36 | band) << 7 | places) >> 7
-        key, count = np.unique(key, return_counts=True)
-        window = pair[key >> 36] % len(self.text)
+        # pairs and bands are numbered by what occurs, so that no product leaves 64 bits
+        spread = int(band.max()) + 1
+        key, at_key = np.unique(pairs * spread + band, return_inverse=True)
+        count = np.bincount(np.unique(at_key * WINDOW + places) // WINDOW, minlength=len(key))
+        window = pair[key // spread] % len(self.text)
         enough = count >= self.bound[window]
         key, window = key[enough], window[enough]
-        return np.stack([pair[key >> 36] // len(self.text), window, (key & ((1 << 36) - 1)) - 1], 1)
+        return np.stack([pair[key // spread] // len(self.text), window, key % spread - 1], 1)
 
     def align(self, text: str, window: int, band: int) -> tuple[int, int] | None:
         """(edits, end) of the window's best place in the band, or None beyond the budget."""

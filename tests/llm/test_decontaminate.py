@@ -101,3 +101,17 @@ def test_bound_is_the_q_gram_lemma():
     for m in range(dc.Q, 101):
         assert dc.bound(m) == m - dc.Q + 1 - dc.Q * dc.budget(m) >= 1
     assert np.all(dc.Windows([(1, "x" * 100)]).bound >= 1)
+
+
+def test_more_than_a_million_pairs_in_one_step():
+    rng = random.Random(33)
+    # the passage gives a pair a band, but too few q-grams for an alignment
+    items = [(i, ("a common passage " + words(rng, 60))[:100].rstrip().ljust(100, "x")) for i in range(1100)]
+    folded = [f"a common passage {i}" for i in range(1000)]
+    for d in (0, 500, 999):
+        folded[d] = items[d + 100][1]
+    index = dc.Windows(items)
+    assert len(index.text) * len(folded) > 1 << 20
+    found = dc._matches(index, list(range(len(folded))), folded)
+    assert set(zip(found["doc_id"], found["item_id"])) == {(0, 100), (500, 600), (999, 1099)}
+    assert len(found) == 3
