@@ -17,6 +17,9 @@ from tessera.llm import decontaminate, language, mixing, near_dup, q_mixing, q_s
 from tessera.llm.common import cut
 from tessera.session import read_table, work_path
 
+#: Similarity in percent from which the pipeline takes documents as copies; op7's own is 85.
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a clear language; the others keep their columns."""
@@ -30,7 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that repeat a kept id are copies of it and go too, unless they have no words.
     """
-    found = near_dup.near_duplicates(docs)
+    found = near_dup.near_duplicates(docs, percent=NEAR_PERCENT)
     gone = (found.where("id is not null and not kept").select(F.col("id").alias("_id")).distinct())
     kept = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
     repeated = cut_ids(found.where("id is not null and kept and n_shingles > 0"))

@@ -67,6 +67,21 @@ def test_stages_follow_each_other(spark, folder):
     assert abs(taken - 1.5 * total) < 4 * 90
 
 
+def test_near_copies_from_80_to_85_percent_go(spark, folder):
+    rng, rows, pairs = random.Random(32), [], []
+    for i in range(0, 80, 2):
+        # two words in place of others, far apart, take ten of the shingles of each side
+        first = words(rng, 104 + i // 8).split()
+        second = list(first)
+        second[30], second[60] = "changed", "words"
+        rows += [(i, " ".join(first), "en", "s", 0), (i + 1, " ".join(second), "en", "s", 0)]
+        x, y = (near_dup.shingle_set(near_dup.words_of(r[1])) for r in rows[-2:])
+        pairs.append(len(x & y) / len(x | y))
+    assert all(0.80 <= p < 0.85 for p in pairs)
+    kept = cp.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), folder).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(0, 80, 2))
+
+
 def test_run_gives_shards(spark, folder):
     rows = cp.run(spark, folder).collect()
     assert rows
