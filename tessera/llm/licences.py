@@ -16,6 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The GNU file notices: who published the licence, and the version's number and its end.
+_GNU = r"general public license,? as published by the free software foundation[;:,]? (either )?version "
+_LATER = r"( of the license)?[;,]? or (\(?at your option\)?,? )?any later version"
+
 #: Known licence sentences: identifier and a pattern on the normalised sentence.  Fixed
 #: values: the wording of the public licences' own notices.  The first match counts.
 SENTENCES: list[tuple[str, str]] = [
@@ -38,9 +42,24 @@ SENTENCES: list[tuple[str, str]] = [
     ("lgpl_21_notice", r"(gnu )?lesser general public license,? (version|v) ?2\.1"),
     ("gpl_3_notice", r"(gnu )?general public license,? (version|v) ?3"),
     ("gpl_2_notice", r"(gnu )?general public license,? (version|v) ?2"),
+    ("agpl_3_published_later", r"affero " + _GNU + r"3(\.0)?" + _LATER),
+    ("agpl_3_published", r"affero " + _GNU + r"3"),
+    ("lgpl_3_published_later", r"(lesser|library) " + _GNU + r"3(\.0)?" + _LATER),
+    ("lgpl_3_published", r"(lesser|library) " + _GNU + r"3"),
+    ("lgpl_21_published_later", r"(lesser|library) " + _GNU + r"2\.1" + _LATER),
+    ("lgpl_21_published", r"(lesser|library) " + _GNU + r"2\.1"),
+    ("lgpl_2_published_later", r"(lesser|library) " + _GNU + r"2(\.0)?" + _LATER),
+    ("lgpl_2_published", r"(lesser|library) " + _GNU + r"2"),
+    ("gpl_3_published_later", r"(gnu|the) " + _GNU + r"3(\.0)?" + _LATER),
+    ("gpl_3_published", r"(gnu|the) " + _GNU + r"3"),
+    ("gpl_2_published_later", r"(gnu|the) " + _GNU + r"2(\.0)?" + _LATER),
+    ("gpl_2_published", r"(gnu|the) " + _GNU + r"2"),
+    ("gpl_1_published_later", r"(gnu|the) " + _GNU + r"1(\.0)?" + _LATER),
     ("gpl_free_software", r"free software[;:,] you can redistribute it and/or modify it"),
     ("gpl_no_warranty", r"distributed in the hope that it will be useful,? but without any warranty"),
-    ("gpl_received", r"should have received a copy of the gnu (lesser |affero )?general public license"),
+    ("gpl_details", r"see the (gnu )?(lesser |library |affero )?general public license for more details"),
+    ("gpl_received", r"should have received a copy of the gnu (lesser |library |affero )?general public license"),
+    ("gpl_address", r"if not,? (see <?https?://www\.gnu\.org/licenses|write to the free software foundation)"),
     ("bsd_grant", r"redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("bsd_source", r"redistributions of source code must retain the above copyright notice"),
     ("bsd_binary", r"redistributions in binary form must reproduce the above copyright notice"),
@@ -60,6 +79,9 @@ SENTENCES: list[tuple[str, str]] = [
     ("copyright", r"(copyright|\(c\)|©) .*\d{4}"),
 ]
 
+#: What follows the notice in the published headers.
+_TERMS = ("gpl_no_warranty", "gpl_details", "gpl_received")
+
 #: Licence rules in order: licence and the identifiers that state it, in sequence.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache_2_notice", "apache_compliance", "apache_copy", "apache_as_is")),
@@ -70,6 +92,45 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("mit_notice",)),
     ("MIT", ("spdx_mit",)),
     ("MIT", ("mit_grant",)),
+    ("AGPL-3.0-or-later", ("agpl_3_published_later", *_TERMS, "gpl_address")),
+    ("AGPL-3.0-or-later", ("agpl_3_published_later", *_TERMS)),
+    ("AGPL-3.0-or-later", ("agpl_3_published_later",)),
+    ("AGPL-3.0", ("agpl_3_published", *_TERMS, "gpl_address")),
+    ("AGPL-3.0", ("agpl_3_published", *_TERMS)),
+    ("AGPL-3.0", ("agpl_3_published",)),
+    ("LGPL-3.0-or-later", ("lgpl_3_published_later", *_TERMS, "gpl_address")),
+    ("LGPL-3.0-or-later", ("lgpl_3_published_later", *_TERMS)),
+    ("LGPL-3.0-or-later", ("lgpl_3_published_later",)),
+    ("LGPL-3.0", ("lgpl_3_published", *_TERMS, "gpl_address")),
+    ("LGPL-3.0", ("lgpl_3_published", *_TERMS)),
+    ("LGPL-3.0", ("lgpl_3_published",)),
+    ("LGPL-2.1-or-later", ("lgpl_21_published_later", *_TERMS, "gpl_address")),
+    ("LGPL-2.1-or-later", ("lgpl_21_published_later", *_TERMS)),
+    ("LGPL-2.1-or-later", ("lgpl_21_published_later",)),
+    ("LGPL-2.1", ("lgpl_21_published", *_TERMS, "gpl_address")),
+    ("LGPL-2.1", ("lgpl_21_published", *_TERMS)),
+    ("LGPL-2.1", ("lgpl_21_published",)),
+    ("LGPL-2.0-or-later", ("lgpl_2_published_later", *_TERMS, "gpl_address")),
+    ("LGPL-2.0-or-later", ("lgpl_2_published_later", *_TERMS)),
+    ("LGPL-2.0-or-later", ("lgpl_2_published_later",)),
+    ("LGPL-2.0", ("lgpl_2_published", *_TERMS, "gpl_address")),
+    ("LGPL-2.0", ("lgpl_2_published", *_TERMS)),
+    ("LGPL-2.0", ("lgpl_2_published",)),
+    ("GPL-3.0-or-later", ("gpl_3_published_later", *_TERMS, "gpl_address")),
+    ("GPL-3.0-or-later", ("gpl_3_published_later", *_TERMS)),
+    ("GPL-3.0-or-later", ("gpl_3_published_later",)),
+    ("GPL-3.0", ("gpl_3_published", *_TERMS, "gpl_address")),
+    ("GPL-3.0", ("gpl_3_published", *_TERMS)),
+    ("GPL-3.0", ("gpl_3_published",)),
+    ("GPL-2.0-or-later", ("gpl_2_published_later", *_TERMS, "gpl_address")),
+    ("GPL-2.0-or-later", ("gpl_2_published_later", *_TERMS)),
+    ("GPL-2.0-or-later", ("gpl_2_published_later",)),
+    ("GPL-2.0", ("gpl_2_published", *_TERMS, "gpl_address")),
+    ("GPL-2.0", ("gpl_2_published", *_TERMS)),
+    ("GPL-2.0", ("gpl_2_published",)),
+    ("GPL-1.0-or-later", ("gpl_1_published_later", *_TERMS, "gpl_address")),
+    ("GPL-1.0-or-later", ("gpl_1_published_later", *_TERMS)),
+    ("GPL-1.0-or-later", ("gpl_1_published_later",)),
     ("AGPL-3.0", ("agpl_3_notice",)),
     ("LGPL-3.0", ("lgpl_3_notice",)),
     ("LGPL-2.1", ("lgpl_21_notice",)),

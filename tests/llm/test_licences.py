@@ -32,6 +32,42 @@ def test_rules(spark):
     assert got[1]["identifiers"] == ["mit_grant", "mit_condition", "as_is_warranty"]
 
 
+def gnu(name, version, end="", mark=":", comma=",", lead="# "):
+    """The header as the licence's own appendix words it."""
+    lines = [f"This program is free software{mark} you can redistribute it and/or modify",
+             f"it under the terms of the GNU {name}General Public License as published by",
+             f"the Free Software Foundation{comma} {version} of the License{end}.", "",
+             "This program is distributed in the hope that it will be useful,",
+             "but WITHOUT ANY WARRANTY; without even the implied warranty of",
+             f"MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {name}",
+             "General Public License for more details.", "",
+             f"You should have received a copy of the GNU {name}General Public License",
+             "along with this program.  If not, see <https://www.gnu.org/licenses/>."]
+    return "\n".join((lead + line).rstrip() for line in lines) + "\n\nimport os\n"
+
+
+def test_gnu_headers(spark):
+    later = ", or\n# (at your option) any later version"
+    cases = [
+        (gnu("", "either version 3", later), "gpl_3_published_later", "GPL-3.0-or-later"),
+        (gnu("", "either version 2", later.replace("# ", " * "), ";", ";", " * "), "gpl_2_published_later",
+         "GPL-2.0-or-later"),
+        (gnu("", "version 2", "", ";", ";", "// "), "gpl_2_published", "GPL-2.0"),
+        (gnu("Lesser ", "either version 2.1", later, ";", ";"), "lgpl_21_published_later", "LGPL-2.1-or-later"),
+        (gnu("Library ", "either version 2", later, ";", ";"), "lgpl_2_published_later", "LGPL-2.0-or-later"),
+        (gnu("Lesser ", "either version 3", later), "lgpl_3_published_later", "LGPL-3.0-or-later"),
+        (gnu("Affero ", "either version 3", later), "agpl_3_published_later", "AGPL-3.0-or-later"),
+        (gnu("Affero ", "version 3"), "agpl_3_published", "AGPL-3.0")]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lic.scan(df).collect()}
+    for i, (_, notice, licence) in enumerate(cases):
+        assert got[i]["identifiers"] == [notice, "gpl_no_warranty", "gpl_details", "gpl_received", "gpl_address"]
+        assert got[i]["licences"] == [licence]
+    alone = spark.createDataFrame([(1, gnu("", "either version 3", later).split("\n#\n")[0])],
+                                  "doc_id long, text string")
+    assert [r["licences"] for r in lic.scan(alone).collect()] == [["GPL-3.0-or-later"]]
+
+
 def test_no_python_in_the_plan(spark):
     from tessera.llm.queries import QUERIES
     df = QUERIES["op6_licence_scan"](spark, "/root/testdata/sf0.001")
