@@ -1,7 +1,7 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
-Texts are folded (lower case, runs of white space one space).  Every benchmark item is cut
-into overlapping windows of ``WINDOW`` characters (a shorter item is one window).  A
+Texts are folded (lower case, runs of white space one space).  Every ``WINDOW`` characters
+of a benchmark item, from any start, are a window (a shorter item is one window).  A
 document contains an item if one window aligns somewhere in it with at most ``ERROR`` of
 the window's length in edits.
 
@@ -30,13 +30,16 @@ from pyspark.sql import functions as F
 from tessera.llm.common import PrefixHash
 
 Q = 10
-WINDOW, STRIDE = 100, 50
+WINDOW = 100
 ERROR = 0.08
 #: Characters of benchmark text in one block; a longer item is a block of its own.
 BLOCK_CHARS = 2_000_000
 _FILTER_BITS = 22
 #: Characters of documents handled in one vectorised step.
 STEP_CHARS = 1 << 20
+#: Windows aligned in one vectorised step, and the symbol outside of a document.
+ALIGNED = 4096
+NOWHERE = np.uint32(0xFFFFFFFF)
 
 
 def fold(text: str | None) -> str:
@@ -57,23 +60,20 @@ def symbols(text: str) -> np.ndarray:
 
 
 class Windows:
-    """The q-gram index of one block of benchmark items."""
+    """The q-gram index of one block of benchmark items, whose every start is a window."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.item, self.text = [], []
         for item, text in items:
             folded = fold(text)
-            if len(folded) < Q:
-                continue
-            last = max(0, len(folded) - WINDOW)
-            for at in sorted({*range(0, last + 1, STRIDE), last}):
+            if len(folded) >= Q:
                 self.item.append(item)
-                self.text.append(folded[at:at + WINDOW])
+                self.text.append(folded)
         grams, owner, place = [], [], []
-        for w, text in enumerate(self.text):
+        for i, text in enumerate(self.text):
             g = PrefixHash(symbols(text)).windows(Q)
             grams.append(g)
-            owner.append(np.full(len(g), w, np.int64))
+            owner.append(np.full(len(g), i, np.int64))
             place.append(np.arange(len(g)))
         cat = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         gram, owner, place = cat(grams, np.uint64), cat(owner, np.int64), cat(place, np.int64)
@@ -81,7 +81,12 @@ class Windows:
         self.gram, self.owner, self.place = gram[order], owner[order], place[order]
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[self._slot(self.gram)] = True
-        self.length = np.fromiter(map(len, self.text), np.int64, len(self.text))
+        size = np.fromiter(map(len, self.text), np.int64, len(self.text))
+        self.sym, self.first = symbols("".join(self.text)), np.cumsum(size) - size
+        self.longest = int(size.max(initial=0))
+        #: of each item's windows: their length and the last one's start
+        self.length = np.minimum(size, WINDOW)
+        self.last = size - self.length
         self.budget = np.array([budget(n) for n in self.length], np.int64)
         self.bound = np.array([bound(n) for n in self.length], np.int64)
 
@@ -90,7 +95,7 @@ class Windows:
         return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
     def bands(self, sym: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """(document, window, band) rows that meet the q-gram bound.
+        """(document, item, band, low, high) rows: windows low to high meet the q-gram bound.
 
         ``sym`` holds documents one after the other, ``starts`` their starts and the end.
         """
@@ -104,40 +109,95 @@ class Windows:
         inside = at + Q <= starts[doc + 1]
         at, lo, n, doc = at[inside], lo[inside], n[inside], doc[inside]
         if not len(at):
-            return np.zeros((0, 3), np.int64)
+            return np.zeros((0, 5), np.int64)
         # one row per hit position and posting
         each = np.repeat(np.arange(len(at)), n)
         post = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        window = self.owner[post]
-        half = 2 * self.budget[window] + 1
-        diagonal = at[each] - starts[doc[each]] - self.place[post] + WINDOW
-        band = diagonal // half
-        pair, at_pair = np.unique(doc[each] * len(self.text) + window, return_inverse=True)
-        # a q-gram of the window counts once in a band, however often the band repeats it
+        item = self.owner[post]
+        half = 2 * self.budget[item] + 1
+        band = (at[each] - starts[doc[each]] - self.place[post] + self.longest) // half
+        pair, at_pair = np.unique(doc[each] * len(self.text) + item, return_inverse=True)
+        # a q-gram of the item counts once in a band, however often the band repeats it
         band = np.concatenate([band, band - 1]) + 1
         pairs, places = np.tile(at_pair, 2), np.tile(self.place[post], 2)
         # pairs and bands are numbered by what occurs, so that no product leaves 64 bits
         spread = int(band.max()) + 1
         key, at_key = np.unique(pairs * spread + band, return_inverse=True)
-        count = np.bincount(np.unique(at_key * WINDOW + places) // WINDOW, minlength=len(key))
-        window = pair[key // spread] % len(self.text)
-        enough = count >= self.bound[window]
-        key, window = key[enough], window[enough]
-        return np.stack([pair[key // spread] // len(self.text), window, key % spread - 1], 1)
-
-    def align(self, text: str, window: int, band: int) -> tuple[int, int] | None:
-        """(edits, end) of the window's best place in the band, or None beyond the budget."""
-        k = int(self.budget[window])
+        hits = np.unique(at_key * self.longest + places)
+        at_key, places = hits // self.longest, hits % self.longest
+        item = pair[key // spread] % len(self.text)
+        # enough places of a band within one window, counted from each place on
+        owner = item[at_key]
+        until = np.arange(len(hits)) + self.bound[owner] - 1
+        reach = np.minimum(until, len(hits) - 1)
+        width = self.length[owner] - Q
+        enough = np.flatnonzero((until < len(hits)) & (at_key[reach] == at_key)
+                                & (places[reach] - places <= width))
+        of = at_key[enough]
+        low = np.maximum(places[reach[enough]] - width[enough], 0)
+        high = np.minimum(places[enough], self.last[owner[enough]])
+        # both grow within a key: what the row before lists is not listed again
+        follows = np.flatnonzero(of[1:] == of[:-1]) + 1
+        low[follows] = np.maximum(low[follows], high[follows - 1] + 1)
+        fresh = low <= high
+        of, low, high = of[fresh], low[fresh], high[fresh]
+        return np.stack([pair[key[of] // spread] // len(self.text), item[of],
+                         key[of] % spread - 1, low, high], 1)
+
+    def align(self, sym: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """(document, item, window, edits, end): each window's best place in its band, for
+        those within the budget."""
+        out = [np.zeros((0, 5), np.int64)]
+        for m in np.unique(self.length[rows[:, 1]]).tolist():
+            same = rows[self.length[rows[:, 1]] == m]
+            n = same[:, 4] - same[:, 3] + 1
+            ends = np.cumsum(n)
+            for a in range(0, int(ends[-1]), ALIGNED):
+                number = np.arange(a, min(a + ALIGNED, int(ends[-1])))
+                row = np.searchsorted(ends, number, "right")
+                doc, item, band, low, _ = same[row].T
+                window = low + number - (ends - n)[row]
+                out.append(self._align(sym, starts, m, doc, item, band, window))
+        return np.concatenate(out)
+
+    def _align(self, sym, starts, m, doc, item, band, window) -> np.ndarray:
+        k = budget(m)
         half = 2 * k + 1
         # diagonals band*half .. (band+2)*half - 1, and k around them for the path
-        low = band * half - WINDOW - k
-        pattern = self.text[window]
-        region = text[max(0, low):low + 2 * half + 2 * k + len(pattern)]
-        exact = region.find(pattern)
-        if exact >= 0:
-            return 0, max(0, low) + exact + len(pattern)
-        edits, end = banded_edits(pattern, region, 2 * half + 2 * k + min(0, low))
-        return (edits, max(0, low) + end) if edits <= k else None
+        width = 2 * half + 2 * k
+        low = band * half - self.longest - k + window
+        at = starts[doc] + low + np.arange(m + width)[:, None]
+        inside = (at >= starts[doc]) & (at < starts[doc + 1])
+        region = np.where(inside, sym[np.clip(at, 0, len(sym) - 1)], NOWHERE)
+        pattern = self.sym[self.first[item] + window + np.arange(m)[:, None]]
+        edits, end = _banded(pattern, region, width, starts[doc + 1] - starts[doc] - low, k)
+        good = edits <= k
+        return np.stack([doc, item, window, edits, low + end], 1)[good]
+
+
+def _banded(pattern: np.ndarray, region: np.ndarray, width: int, inside: np.ndarray,
+            most: int) -> tuple[np.ndarray, np.ndarray]:
+    """``banded_edits`` of many pairs, one per column; ``inside`` is where regions end.
+    Columns with more than ``most`` edits may give any number above it."""
+    far = 1 << 20
+    edits, end = np.full(pattern.shape[1], far), np.zeros(pattern.shape[1], np.int64)
+    open_ = np.arange(pattern.shape[1])
+    step = np.arange(width + 1, dtype=np.int32)[:, None]
+    row = np.zeros((width + 1, len(open_)), np.int32)  # row[d]: pattern[:i] against region up to i + d
+    for i in range(len(pattern)):
+        best = row + (region[i:i + width + 1] != pattern[i])
+        np.minimum(best[:-1], row[1:] + 1, out=best[:-1])
+        row = np.minimum.accumulate(best - step, axis=0) + step  # symbols of the region left over
+        if i % 16 == 15:
+            alive = row.min(axis=0) <= most
+            if 2 * alive.sum() < len(alive):
+                row, region, pattern = row[:, alive], region[:, alive], pattern[:, alive]
+                open_ = open_[alive]
+    ends = len(pattern) + step
+    row = np.where(ends <= inside[open_], row, far)
+    d = row.argmin(axis=0)
+    edits[open_], end[open_] = row[d, np.arange(len(open_))], ends[d, 0]
+    return edits, end
 
 
 def banded_edits(pattern: str, region: str, width: int) -> tuple[int, int]:
@@ -145,21 +205,9 @@ def banded_edits(pattern: str, region: str, width: int) -> tuple[int, int]:
     its first ``width`` places, along diagonals 0 to ``width``; and where that one ends."""
     width = max(1, width)
     p, r = symbols(pattern), symbols(region)
-    cols = width + 1
-    far = 1 << 20
-    r = np.concatenate((r, np.full(len(p) + cols + 1, 0xFFFFFFFF, np.uint32)))
-    inside = len(region)
-    row = np.zeros(cols, np.int64)  # row[d]: pattern[:i] against region up to i + d
-    step = np.arange(cols)
-    for i in range(len(p)):
-        match = row + (r[i:i + cols] != p[i])
-        skip = np.append(row[1:], far) + 1
-        best = np.minimum(match, skip)
-        row = np.minimum.accumulate(best - step) + step  # symbols of the region left over
-    ends = len(p) + step
-    row = np.where(ends <= inside, row, far)
-    d = int(row.argmin())
-    return int(row[d]), int(ends[d])
+    r = np.concatenate((r, np.full(len(p) + width + 2, NOWHERE, np.uint32)))
+    edits, end = _banded(p[:, None], r[:, None], width, np.array([len(region)]), len(p))
+    return int(edits[0]), int(end[0])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
@@ -212,20 +260,18 @@ def _search(source: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
 
 def _matches(index: Windows, ids: list[int], folded: list[str]) -> pd.DataFrame:
     starts = np.concatenate(([0], np.cumsum([len(t) for t in folded]))).astype(np.int64)
-    best: dict[tuple[int, int], tuple[int, int]] = {}
-    for doc, window, band in index.bands(symbols("".join(folded)), starts).tolist():
-        if best.get((doc, window), (1, 0))[0] == 0:
-            continue
-        hit = index.align(folded[doc], window, band)
-        if hit is not None:
-            best[doc, window] = min(hit, best.get((doc, window), hit))
-    rows: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for (doc, window), (edits, end) in best.items():
-        at = ids[doc], index.item[window]
-        e, n, f = rows.get(at, (edits, 0, end))
-        rows[at] = min(e, edits), n + 1, min(f, end)
-    return pd.DataFrame([(*k, *v) for k, v in rows.items()],
-                        columns=["doc_id", "item_id", "edits", "windows", "end"], dtype="int64")
+    sym = symbols("".join(folded))
+    found = pd.DataFrame(index.align(sym, starts, index.bands(sym, starts)),
+                         columns=["doc", "item", "window", "edits", "end"])
+    if not len(found):
+        return pd.DataFrame([], columns=["doc_id", "item_id", "edits", "windows", "end"], dtype="int64")
+    found = (found.sort_values(["edits", "end"]).drop_duplicates(["doc", "item", "window"])
+             .groupby(["doc", "item"]).agg(edits=("edits", "min"), windows=("window", "size"),
+                                           end=("end", "min")).reset_index())
+    found["doc_id"] = np.array(ids, np.int64)[found["doc"]]
+    found["item_id"] = np.array(index.item, np.int64)[found["item"]]
+    return found.groupby(["doc_id", "item_id"]).agg(
+        edits=("edits", "min"), windows=("windows", "max"), end=("end", "min")).reset_index()
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",

@@ -115,3 +115,28 @@ def test_more_than_a_million_pairs_in_one_step():
     found = dc._matches(index, list(range(len(folded))), folded)
     assert set(zip(found["doc_id"], found["item_id"])) == {(0, 100), (500, 600), (999, 1099)}
     assert len(found) == 3
+
+
+def test_windows_start_anywhere():
+    rng = random.Random(34)
+    items = [(i, words(rng, 80)[:300].strip()) for i in range(40)]
+    folded = []
+    for _, text in items:
+        n = rng.randint(100, 140)
+        at = rng.randint(0, len(text) - n)
+        folded.append("zu " * rng.randint(0, 30) + text[at:at + n] + " zu" * rng.randint(0, 30))
+    index, few = dc.Windows(items), dc.Windows(items[:2])
+    found = dc._matches(index, list(range(40)), folded)
+    assert {(i, i) for i in range(40)} <= set(zip(found["doc_id"], found["item_id"]))
+    assert found[found["doc_id"] == found["item_id"]]["edits"].max() == 0
+    # with edits, against the full table at every start
+    folded = [edit(rng, items[i][1][30:150], k) for i in range(2) for k in (6, 60)]
+    want = {}
+    for d, text in enumerate(folded):
+        for i, item in items[:2]:
+            best = [sellers(item[w:w + 100], text) for w in range(len(item) - 99)]
+            if min(best) <= 8:
+                want[d, i] = (min(best), sum(e <= 8 for e in best))
+    found = dc._matches(few, list(range(len(folded))), folded)
+    assert {(d, i): (e, n) for d, i, e, n, _ in found.itertuples(index=False)} == want
+    assert set(want) == {(0, 0), (2, 1)}
