@@ -14,7 +14,8 @@ The benchmark is the stated query set: it is read in blocks of at most ``BLOCK_C
 characters, each sent to the tasks as one table, and every block meets every document.
 
 Null and empty texts, and items shorter than ``Q`` folded characters (too little to be
-evidence), match nothing.  Items with a null id are not used.  Repeated items and documents
+evidence), match nothing.  Items with a null id have no row in ``contaminated``, but
+``clean`` looks for them too.  Repeated items and documents
 each give their own row, once per distinct (document id, item id).
 """
 
@@ -230,11 +231,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         F.min("edits").alias("edits"), F.max("windows").alias("windows"), F.min("end").alias("end"))
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, most: int) -> Iterator[list]:
+def _blocks(benchmark: DataFrame, item: str, text: str, most: int,
+            unnamed: bool = False) -> Iterator[list]:
+    """Items as (id, text) in blocks; ``unnamed`` ones, with a null id, come as id -1."""
     block: list[tuple[int, str]] = []
     size = 0
-    rows = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(item).cast("long").alias("i"), F.col(text).alias("t")).orderBy("i", "t")
+    wanted = F.col(text).isNotNull() & (F.lit(unnamed) | F.col(item).isNotNull())
+    rows = benchmark.where(wanted).select(
+        F.coalesce(F.col(item).cast("long"), F.lit(-1)).alias("i"),
+        F.col(text).alias("t")).orderBy("i", "t")
     for row in rows.toLocalIterator():
         if block and size + len(row["t"]) > most:
             yield block
@@ -276,11 +281,11 @@ def _matches(index: Windows, ids: list[int], folded: list[str]) -> pd.DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
           item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` without the documents that contain an item, whatever their ids.
+    """``docs`` without the documents that contain an item, whatever the ids of both.
 
     Each block of the benchmark is one more filter on the text; nothing is shuffled.
     """
-    for block in _blocks(benchmark, item, item_text, block_chars):
+    for block in _blocks(benchmark, item, item_text, block_chars, unnamed=True):
         docs = docs.where(~_contains(docs.sparkSession, block)(F.col(text)))
     return docs
 

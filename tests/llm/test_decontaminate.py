@@ -140,3 +140,11 @@ def test_windows_start_anywhere():
     found = dc._matches(few, list(range(len(folded))), folded)
     assert {(d, i): (e, n) for d, i, e, n, _ in found.itertuples(index=False)} == want
     assert set(want) == {(0, 0), (2, 1)}
+
+
+def test_clean_looks_for_items_without_an_id(spark):
+    rng, unnamed = random.Random(35), bench_rows()[12][1]
+    rows = [(1, words(rng, 20) + " " + unnamed, None, None, 0), (2, words(rng, 30), None, None, 0)]
+    docs, bench = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(bench_rows(), ITEMS)
+    assert [r["doc_id"] for r in dc.clean(docs, bench).collect()] == [2]
+    assert dc.contaminated(docs, bench).count() == 0
