@@ -42,8 +42,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this is set by the deployment and is read, never replaced.
     Only when it is unset and the master is local (tests) is a private folder
-    created and registered, so later calls and ``DataFrame.checkpoint`` agree on
-    it; on a cluster that folder would be a different disk on every machine, so
+    created and registered with ``setCheckpointDir``, where later calls find it; on a cluster that folder would be a different disk on every machine, so
     an unset folder is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,7 +52,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root

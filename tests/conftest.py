@@ -6,23 +6,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import build_session, checkpoint_root
     s = build_session(master="local[4]", shuffle_partitions=8, app_name="tessera-tests",
                       extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-test-warehouse-")})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        # tests only: no cluster folder is configured, so use a private one
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-test-ckpt-"))
-    checkpoint_root(s)
+    checkpoint_root(s)  # no cluster folder is configured here, so it makes a private one
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

@@ -14,7 +14,7 @@ from tessera.sinks import layout as L
 from tessera.sources import files as S
 from tessera.streaming import streams as ST
 
-from conftest import SF_SMALL
+from table_helpers import SF_SMALL
 
 
 def test_database_and_table_statements(spark):

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from tessera.session import TABLES
 
-from conftest import SF_SMALL
+from table_helpers import SF_SMALL
 
 
 def test_entry_runs(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import mutation as MU
 from tessera.session import work_path
 
-from conftest import rows
+from table_helpers import rows
 
 SCHEMA = "id int, v string, p string"
 DATA = [(1, "a", "x"), (2, "b", "y"), (3, "c", None), (4, "d", "x"), (None, "e", "o'k")]

@@ -9,7 +9,7 @@ from tessera.plans.facts import plan_facts
 from tessera.session import read_table, work_path
 from tessera.sinks import layout as L
 
-from conftest import SF_SMALL
+from table_helpers import SF_SMALL
 
 
 def test_filter_and_columns_reach_the_scan(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tessera.session import read_table, work_path
 from tessera.streaming import streams as ST
 
-from conftest import SF_SMALL
+from table_helpers import SF_SMALL
 
 
 def test_restart_reads_only_new_files(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tessera.operators import windows as W
 from tessera.session import read_table
 
-from conftest import SF_SMALL
+from table_helpers import SF_SMALL
 
 
 @pytest.fixture(scope="module")
