@@ -42,8 +42,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this is set by the deployment and is read, never replaced.
     Only when it is unset and the master is local (tests) is a private folder
-    created and registered with ``setCheckpointDir``, where later calls find it; on a cluster that folder would be a different disk on every machine, so
-    an unset folder is an error there.
+    created and registered with ``setCheckpointDir``, where later calls find it; on a
+    cluster that folder would be a different disk on every machine, so an unset
+    folder is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
