@@ -12,8 +12,10 @@ connect.
 3. Bands of registers are hash keys.  In each bucket the members are paired with a few
    centres, never with each other.  The pair's likelihood over its registers gives an
    estimate; a pair that may reach the threshold is checked on the full shingle sets.
-4. What is still in several components within one bucket is compared across these
-   components, so no link depends on which centre was chosen.
+4. Members of buckets that still hold several components are joined exactly across the
+   components (``prefix_lists``, with shingle counts among these members, so that what a
+   template's documents share is looked at last), so no link depends on which centre was
+   chosen and no bucket is paired with itself.
 
 The chance that a pair at the threshold shares no band is (1 - 0.85**5)**32, below 1e-8.
 
@@ -34,7 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import PrefixHash, byte_slices, cut, mix64
+from tessera.llm import prefix_lists, shingles
+from tessera.llm.common import byte_slices, cut, mix64
+from tessera.llm.links import components, involved, verify
+from tessera.llm.shingles import words_of  # noqa: F401
 
 SHINGLE_WORDS = 5
 BANDS, ROWS = 32, 5
@@ -47,58 +52,16 @@ PERCENT = 85
 SLACK = 0.15
 CENTRES = 3
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _MULTIPLIERS = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 _OFFSETS = mix64(np.arange(1001, 1001 + REGISTERS, dtype=np.uint64))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").lower().split()
+def shingle_set(words: list[bytes]) -> set[bytes]:
+    return shingles.shingle_set(words, SHINGLE_WORDS)
 
 
-def shingle_set(words: list[bytes]) -> set[bytes]:
-    """The full set of a document, the ground truth of the links."""
-    if not words:
-        return set()
-    n = max(1, len(words) - SHINGLE_WORDS + 1)
-    return {b" ".join(words[i:i + SHINGLE_WORDS]) for i in range(n)}
-
-
-def _hashed_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of each document's distinct shingles, and where each set starts."""
-    n_docs = len(offsets) - 1
-    # documents are kept apart by one space after each
-    lengths = np.diff(offsets)
-    low = np.full(len(data) + n_docs, 32, np.uint8)
-    starts = offsets[:-1] + np.arange(n_docs)
-    place = np.arange(len(data)) + np.repeat(np.arange(n_docs), lengths)
-    low[place] = _LOWER[data]
-    space = np.concatenate(([True], _SPACE[low]))
-    begin = np.flatnonzero(space[:-1] & ~space[1:])
-    end = np.flatnonzero(~space[:-1] & space[1:])
-    if len(begin) > len(end):
-        end = np.append(end, len(low))
-    ph = PrefixHash(low)
-    word = mix64(ph.of(begin, end - begin) + (end - begin).astype(np.uint64))
-    doc = np.searchsorted(starts, begin, "right") - 1
-    first = np.searchsorted(doc, np.arange(n_docs + 1))
-    # a shingle's hash folds the words in order; short documents fold what they have
-    n_words = np.diff(first)
-    size = np.where(n_words >= SHINGLE_WORDS, n_words - SHINGLE_WORDS + 1, np.minimum(n_words, 1))
-    at = np.concatenate(([0], np.cumsum(size)))
-    start = np.repeat(first[:-1], size) + np.arange(at[-1]) - np.repeat(at[:-1], size)
-    last = np.repeat(first[1:], size)
-    h = np.zeros(len(start), np.uint64)
-    padded = np.concatenate((word, np.zeros(SHINGLE_WORDS, np.uint64)))
-    for k in range(SHINGLE_WORDS):
-        here = np.where(start + k < last, padded[start + k], np.uint64(k + 1))
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + here)
-    parts = [np.unique(h[at[i]:at[i + 1]]) for i in range(n_docs)]
-    sizes = np.fromiter(map(len, parts), np.int64, n_docs)
-    return (np.concatenate(parts) if parts else h), np.concatenate(([0], np.cumsum(sizes)))
+def linked(x: set, y: set, percent: int = PERCENT) -> bool:
+    return shingles.linked(x, y, percent)
 
 
 def registers_of(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -168,7 +131,7 @@ def sketch(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             for i, j, data, offsets in byte_slices(batch, "text", 1 << 20):
-                hashes, at = _hashed_sets(data, offsets)
+                hashes, at = shingles.hashed_sets(data, offsets, SHINGLE_WORDS)
                 sizes = np.diff(at)
                 full = np.flatnonzero(sizes)
                 raw = data.tobytes()
@@ -208,76 +171,6 @@ def _estimate(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, percent: int, salts: int = 16) -> DataFrame:
-    """The pairs whose full sets reach the threshold.
-
-    Each member's text meets its centre's once per (centre, salt), so a centre with very
-    many partners is spread over ``salts`` tasks.
-    """
-    salted = pairs.withColumn("salt", F.pmod(F.hash("b"), F.lit(salts)))
-    asked = (salted.select(F.col("b").alias("id"), F.col("a").alias("centre"), "salt",
-                           F.lit(1).alias("role"))
-             .unionByName(salted.select(F.col("a").alias("id"), F.col("a").alias("centre"),
-                                        "salt", F.lit(0).alias("role")).distinct()))
-    rows = (asked.join(texts.select("id", "text"), "id")
-            .repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, sets = None, []
-        for frame in batches:
-            found = []
-            for i, centre, salt, role, text in zip(frame["id"], frame["centre"], frame["salt"],
-                                                   frame["role"], frame["text"]):
-                if (centre, salt) != now:
-                    now, sets = (centre, salt), []
-                own = shingle_set(words_of(text))
-                if role == 0:
-                    sets.append(own)
-                elif any(linked(own, s, percent) for s in sets):
-                    found.append((centre, i))
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return (rows.select("id", "centre", "salt", "role", "text")
-            .mapInPandas(run, "a long, b long").distinct())
-
-
-def linked(x: set, y: set, percent: int = PERCENT) -> bool:
-    both = len(x & y)
-    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component): smallest reachable id of every id in ``edges`` (a, b).
-
-    Alternates two rounds until nothing changes: every id sends its larger neighbours, then
-    its smaller ones, to the smallest neighbour it knows.  The edges never grow in number.
-    Minima are partial before they are shuffled, and written out before they are joined, so
-    that the rows of a hub with very many neighbours can be split over tasks.
-    """
-    edges = cut(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-                .where("hi <> lo").distinct())
-    while True:
-        # large star: larger neighbours of each id point at its least neighbour
-        both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        least = cut(both.groupBy("hi").agg(F.min("lo").alias("m")).select(
-            F.col("hi").alias("v"), F.least("hi", "m").alias("m")))
-        large = cut(edges.select(F.col("lo").alias("v"), F.col("hi").alias("u")).join(least, "v")
-                 .select(F.col("u").alias("hi"), F.col("m").alias("lo")).distinct())
-        # small star: smaller neighbours, and the id itself, point at the least of them
-        lows = cut(large.groupBy("hi").agg(F.min("lo").alias("m")))
-        small = (large.join(lows, "hi").select(
-            F.explode(F.array(F.struct(F.col("lo").alias("x"), "m"),
-                              F.struct(F.col("hi").alias("x"), "m"))).alias("e"))
-            .select(F.col("e.x").alias("hi"), F.col("e.m").alias("lo"))
-            .where("hi <> lo").distinct())
-        small = cut(small)
-        if small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty():
-            return small.groupBy("hi").agg(F.min("lo").alias("component")).select(
-                F.col("hi").alias("id"), "component").unionByName(
-                small.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct())
-        edges = small
-
-
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
                     percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id, kept, cls) for every row of ``df``.
@@ -299,7 +192,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
         *[f"c{c}" for c in range(CENTRES)]))).alias("c")).where("id <> c")
         .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct())
     likely = cut(_estimate(stars, reps, percent))
-    links = cut(_verify(likely, texts, percent))
+    links = cut(verify(likely, texts, SHINGLE_WORDS, percent))
     # rows of one class follow its representative; the classes were written out above, so
     # that both sides of the join are plain exchanges and a class of very many copies is split
     twins = (every.where("cls is not null").select("cls", F.col("id").alias("b"))
@@ -307,19 +200,15 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
              .where("a <> b").select("a", "b").distinct())
     grouped = cut(components(links))
 
-    # pairs across components that still share a bucket
+    # members of buckets that still hold several components are joined exactly across them
     labelled = shared.select("key", "id").join(grouped, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     mixed = (labelled.groupBy("key").agg(F.min("component").alias("lo"),
                                          F.max("component").alias("hi")).where("lo < hi"))
-    rest = labelled.join(mixed.select("key"), "key", "left_semi")
-    left, right = rest.toDF("a", "key", "ca"), rest.toDF("b", "key", "cb")
-    across = (left.join(right, "key").where("ca < cb")
-              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-              .join(stars, ["a", "b"], "left_anti"))
-    more = cut(_estimate(across, reps, percent))
-    if not more.isEmpty():
-        links = links.unionByName(_verify(more, texts, percent))
+    unsettled = cut(labelled.join(mixed.select("key"), "key", "left_semi").select("id").distinct())
+    if not unsettled.isEmpty():
+        links = links.unionByName(cut(prefix_lists.links_across(
+            involved(texts, unsettled), texts, grouped, SHINGLE_WORDS, percent)))
     final = components(links.unionByName(twins.select("a", "b")))
     return (every.select("id", "n_shingles", "cls").join(final, "id", "left")
             .withColumn("component_id", F.coalesce("component", "id"))

@@ -6,6 +6,7 @@ from conftest import SCHEMA, words
 from pyspark.sql import functions as F
 
 from tessera.llm import near_dup as nd
+from tessera.llm import shingles
 
 
 def brute(rows):
@@ -51,6 +52,46 @@ def test_chains_of_edits_keep_every_link(spark):
     assert found(spark.createDataFrame(rows, SCHEMA).repartition(6)) == brute(rows)
 
 
+def template_family(pairs, extra, private_words, template_words=170, seed=3):
+    """Documents of one template; two of each pair share further words and link, no others do."""
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(template_words)]
+    rows = []
+    for p in range(pairs):
+        both = [f"p{p}x{i}" for i in range(extra)]
+        for s in range(2):
+            own = [f"q{p}s{s}x{i}" for i in range(private_words)]
+            rows.append((2 * p + s, " ".join(template + both + own), None, None, 0))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("extra, private_words", [(1, 14), (12, 15)])
+def test_links_within_a_template_family(spark, extra, private_words):
+    """Partners are 0.856 alike; others of the family 0.847, or 0.755."""
+    rows = template_family(200, extra, private_words)
+    truth = brute(rows)
+    got = found(spark.createDataFrame(rows, SCHEMA).repartition(6))
+    assert got == truth
+    assert sum(not kept for *_, kept in truth) == 200
+
+
+def test_template_family_brings_few_candidates(spark, monkeypatch):
+    """What is compared across components grows with the family, not with its square."""
+    counted = []
+    plain = nd.prefix_lists.across_pairs
+
+    def counting(*args, **kwargs):
+        pairs = plain(*args, **kwargs)
+        counted.append(pairs.count())
+        return pairs
+    monkeypatch.setattr(nd.prefix_lists, "across_pairs", counting)
+    rows = template_family(700, 1, 14)
+    got = found(spark.createDataFrame(rows, SCHEMA).repartition(8))
+    assert sum(not kept for *_, kept in got) == 700
+    assert sum(counted) <= 3 * len(rows)
+
+
 def test_empty(none):
     assert found(none) == []
 
@@ -60,7 +101,7 @@ def test_vector_sets_match_the_plain_ones():
     texts = [words(rng, n) for n in (0, 1, 4, 5, 6, 50)] + ["A b\tC\x0bd\ne f", "x " * 40, "", " é É ", "\x85a b"]
     raw = [t.encode() for t in texts]
     offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
-    _, at = nd._hashed_sets(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    _, at = shingles.hashed_sets(np.frombuffer(b"".join(raw), np.uint8), offsets, nd.SHINGLE_WORDS)
     assert np.diff(at).tolist() == [len(nd.shingle_set(nd.words_of(t))) for t in texts]
 
 
