@@ -70,7 +70,7 @@ def common_shingles(texts: DataFrame, words: int, percent: int, whole: bool = Fa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in byte_slices(batch, "text", 4 << 20):
+            for _, _, data, offsets in byte_slices(batch, "text", 1 << 20):
                 hashes, at = hashed_sets(data, offsets, words)
                 sizes = np.diff(at)
                 reach = sizes if whole else np.minimum(sizes, _probe(sizes, percent) * 3 // 2)
