@@ -24,8 +24,9 @@ Two families:
   must be total (end with a unique column), as for any deterministic LAG; rows
   that tie in every order column stay in one range.
 
-Sums are taken at the column's own type; ``scale`` makes them exact decimal sums of
-that many digits, returned as DOUBLE (for money held as DOUBLE).
+Sums do not depend on how rows are split.  Integers and decimals are added at their own
+type; DOUBLE through exact partial states (``functions/exact.py``), rounded once at the end;
+``scale`` makes exact decimal sums of that many digits, returned as DOUBLE (for money).
 
 Every function takes ``strategy="segmented"`` (default) or ``"literal"`` (the
 stock ``Window`` form, kept for small inputs and as the reference in tests).
@@ -38,23 +39,13 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from tessera.functions.numeric import money
+from tessera.functions.exact import summing
 from tessera.session import checkpoint_root
 
 # A key with more rows than this is cut into ranges; fewer stay in one task.
 DEFAULT_HOT_ROWS = 2_000_000
 
 
-def amount(column: str, scale: int | None) -> Column:
-    """The summed value: the column itself, or as DECIMAL with ``scale`` digits."""
-    return F.col(column) if scale is None else money(column, scale)
-
-
-def as_result(total: Column, scale: int | None) -> Column:
-    """Exact decimal sums are returned as DOUBLE."""
-    return total if scale is None else total.cast("double")
-
-
 # --------------------------------------------------------------------------- helpers
 
 @dataclass(frozen=True)
@@ -166,7 +157,7 @@ def _range_table(ranged: DataFrame, keys: list[str], sums: dict[str, Column],
         reaches = F.coalesce(F.col("_first").eqNullSafe(F.lag("_last").over(ordered)), F.lit(False)) & (
             F.lag("_cnt").over(ordered).isNotNull())
         out = out.withColumn("_reach", reaches)
-    return out.filter("_segs > 1").drop("_segs")
+    return out.filter("_segs > 1").drop("_segs", *[f"_sum_{c}" for c in sums])
 
 
 def _tie_columns(offs: DataFrame, ranged: DataFrame, keys: list[str], rank_cols: Sequence[str],
@@ -263,21 +254,25 @@ def with_total(df: DataFrame, column: str, name: str = "grand_total",
 def with_partition_total(df: DataFrame, keys, column: str, name: str,
                          strategy: str = "segmented", scale: int | None = None) -> DataFrame:
     """WIN-2: ``SUM(c) OVER (PARTITION BY keys)``."""
-    total = F.sum(amount(column, scale))
+    how = summing(df, column, scale)
+    totals = [F.sum(p) for p in how.pieces(column)]
     if strategy == "literal":
-        return df.withColumn(name, as_result(total.over(_window(_keys(keys))), scale))
-    return with_group_aggregates(df, keys, {name: as_result(total, scale)}, strategy)
+        w = _window(_keys(keys))
+        return df.withColumn(name, how.result([t.over(w) for t in totals]))
+    return with_group_aggregates(df, keys, {name: how.result(totals)}, strategy)
 
 
 def with_partition_avg(df: DataFrame, keys, column: str, name: str, diff_name: str | None = None,
                        strategy: str = "segmented", scale: int | None = None) -> DataFrame:
     """WIN-15 / WIN-20: average per partition and the difference from it."""
-    total, n = F.sum(amount(column, scale)), F.count(column)
+    how, n = summing(df, column, scale), F.count(column)
+    totals = [F.sum(p) for p in how.pieces(column)]
     if strategy == "literal":
         w = _window(_keys(keys))
-        out = df.withColumn(name, total.over(w).cast("double") / n.over(w))
+        mean = how.result([t.over(w) for t in totals]).cast("double") / n.over(w)
+        out = df.withColumn(name, mean)
     else:
-        out = with_group_aggregates(df, keys, {name: total.cast("double") / n}, strategy)
+        out = with_group_aggregates(df, keys, {name: how.result(totals).cast("double") / n}, strategy)
     if diff_name:
         out = out.withColumn(diff_name, F.col(column) - F.col(name))
     return out
@@ -387,18 +382,22 @@ def with_running_sum(df: DataFrame, keys, order, column: str, name: str,
     value that is not."""
     keys = _keys(keys)
     order_k = parse_order(order)
-    total = F.sum(amount(column, scale))
+    how = summing(df, column, scale)
+    totals = {f"{column}_{i}": F.sum(p) for i, p in enumerate(how.pieces(column))}
     back = (Window.unboundedPreceding, Window.currentRow)
     if strategy == "literal":
-        return df.withColumn(name, as_result(total.over(_window(keys, order_k).rowsBetween(*back)), scale))
-    pos, offs, _ = _split_positions(df, keys, order_k, sums={column: total}, hot_rows=hot_rows)
-    here = total.over(_window(keys + ["_seg"], order_k).rowsBetween(*back))
+        frame = _window(keys, order_k).rowsBetween(*back)
+        return df.withColumn(name, how.result([t.over(frame) for t in totals.values()]))
+    pos, offs, _ = _split_positions(df, keys, order_k, sums=totals, hot_rows=hot_rows)
+    frame = _window(keys + ["_seg"], order_k).rowsBetween(*back)
+    pos = pos.withColumns({f"_here_{c}": t.over(frame) for c, t in totals.items()})
+    state = [F.col(f"_here_{c}") for c in totals]
     if offs is not None:
-        here, before = F.col("_here"), F.col(f"_soff_{column}")
-        pos = pos.withColumn("_here", total.over(_window(keys + ["_seg"], order_k).rowsBetween(*back)))
-        here = F.coalesce(before + here, before, here)
-    out = pos.withColumn(name, as_result(here, scale))
-    return _drop_internal(out).drop("_here")
+        # the state of all earlier ranges goes on in this one
+        before = [F.col(f"_soff_{c}") for c in totals]
+        state = [F.coalesce(b + h, b, h) for b, h in zip(before, state)]
+    out = pos.withColumn(name, how.result(state))
+    return _drop_internal(out).drop(*[f"_here_{c}" for c in totals])
 
 
 def ntile_of(rn: Column, n_rows: Column, buckets: int) -> Column:
@@ -529,13 +528,16 @@ def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, nam
     frame's sum by its count of values, null if it has none."""
     keys = _keys(keys)
     order_k = parse_order(order)
-    total, n = F.sum(amount(column, scale)), F.count(column)
+    how, n = summing(df, column, scale), F.count(column)
+    totals = [F.sum(p) for p in how.pieces(column)]
     if strategy == "literal":
         fr = _window(keys, order_k).rowsBetween(-preceding, Window.currentRow)
-        return df.withColumn(name, total.over(fr).cast("double") / n.over(fr))
+        mean = how.result([t.over(fr) for t in totals]).cast("double") / n.over(fr)
+        return df.withColumn(name, F.when(n.over(fr) > 0, mean))
     pos, offs, ranged = _split_positions(df, keys, order_k, hot_rows=hot_rows)
     fr = _window(keys + ["_seg"], order_k).rowsBetween(-preceding, Window.currentRow)
-    out = pos.withColumns({"_msum": total.over(fr), "_mcnt": n.over(fr)})
+    names = [f"_m{i}" for i in range(how.size)]
+    out = pos.withColumns({"_mcnt": n.over(fr), **{m: t.over(fr) for m, t in zip(names, totals)}})
     if offs is not None and preceding > 0:
         # the first rows of a range also need the last rows of earlier ranges: each
         # tail row is offered to the next ``preceding`` row numbers (equi-join),
@@ -547,12 +549,13 @@ def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, nam
         want = head.select(*keys, "_rn", "_off", F.col("_rn").alias("_t"))
         got = join_back(want, offers, keys + ["_t"]).filter(
             F.col("_src").isNotNull() & (F.col("_src") <= F.col("_off")))
-        fix = got.groupBy(*keys, "_rn").agg(F.sum(amount("_v", scale)).alias("_xsum"),
-                                            F.count("_v").alias("_xcnt"))
+        fix = got.groupBy(*keys, "_rn").agg(F.count("_v").alias("_xcnt"), *[
+            F.sum(p).alias(f"_x{m}") for m, p in zip(names, how.pieces("_v"))])
         out = _attach(out, fix, keys).withColumns({
-            "_msum": F.coalesce(F.col("_msum") + F.col("_xsum"), F.col("_msum"), F.col("_xsum")),
-            "_mcnt": F.col("_mcnt") + F.coalesce(F.col("_xcnt"), F.lit(0))})
-    out = out.withColumn(name, F.when(F.col("_mcnt") > 0, F.col("_msum").cast("double") / F.col("_mcnt")))
+            "_mcnt": F.col("_mcnt") + F.coalesce(F.col("_xcnt"), F.lit(0)),
+            **{m: F.coalesce(F.col(m) + F.col(f"_x{m}"), F.col(m), F.col(f"_x{m}")) for m in names}})
+    mean = how.result([F.col(m) for m in names]).cast("double") / F.col("_mcnt")
+    out = out.withColumn(name, F.when(F.col("_mcnt") > 0, mean))
     return out.select(*df.columns, name)
 
 

@@ -389,3 +389,52 @@ def win_text_order_split(spark, sf):
     df = W.with_running_sum(df, [], order, "o_totalprice", "so_far", scale=2, hot_rows=SPLIT_ROWS)
     return W.with_lag_lead(df, [], order, "o_totalprice", "above", hot_rows=SPLIT_ROWS).select(
         "o_orderkey", "above", "so_far")
+
+
+#: DOUBLE amounts of very different size whose plain sums depend on the order of additions;
+#: every seventh is missing.
+MIXED = """CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 < 3 THEN o_totalprice * 1073741824
+  WHEN o_orderkey % 7 < 5 THEN -o_totalprice * 1073741824 WHEN o_orderkey % 7 = 5 THEN o_totalprice / 1024
+  ELSE o_totalprice END"""
+
+
+def _nearest(total: str) -> str:
+    """The double nearest to an integer (ties to even), over 2**62, in HUGEINT arithmetic."""
+    size = f"abs({total})"
+    cut = f"greatest(0, length(ltrim(bin({size}), '0')) - 53)"
+    unit = f"(1::HUGEINT << ({cut})::INT)"
+    head, rest = f"({size} // {unit})", f"({size} % {unit})"
+    up = f"(CASE WHEN 2 * {rest} > {unit} OR (2 * {rest} = {unit} AND {head} % 2 = 1) THEN 1 ELSE 0 END)"
+    return f"(sign({total}) * CAST({head} + {up} AS DOUBLE) * pow(2, {cut} - 62))"
+
+
+#: Exact sums: the amounts are multiples of 2**-62, so whole numbers after scaling.
+_DOUBLE_SUMS = f"""
+SELECT o_orderkey, {_nearest('so_far')} AS so_far, {_nearest('in_priority')} AS in_priority,
+  {_nearest('of_three')} / nullif(n_three, 0) AS mean_of_three, {_nearest('total')} AS total
+FROM (
+  SELECT o_orderkey, SUM(a) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS so_far,
+    SUM(a) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS in_priority,
+    SUM(a) OVER w AS of_three, COUNT(a) OVER w AS n_three, SUM(a) OVER () AS total
+  FROM (SELECT o_orderkey, o_orderpriority, CAST(({MIXED}) * pow(2, 62) AS HUGEINT) AS a FROM orders)
+  WINDOW w AS (ORDER BY o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))"""
+
+
+def _double_sums(spark, sf, **kw):
+    df = _orders(spark, sf, F.expr(MIXED).alias("amount"), "o_orderpriority")
+    df = W.with_running_sum(df, [], ["o_orderkey"], "amount", "so_far", **kw)
+    df = W.with_running_sum(df, "o_orderpriority", ["o_orderkey"], "amount", "in_priority", **kw)
+    df = W.with_moving_avg(df, [], ["o_orderkey"], "amount", 2, "mean_of_three", **kw)
+    df = W.with_total(df, "amount", "total")
+    return df.select("o_orderkey", "so_far", "in_priority", "mean_of_three", "total")
+
+
+@query("win_double_sums", _DOUBLE_SUMS)
+def win_double_sums(spark, sf):
+    return _double_sums(spark, sf)
+
+
+@query("win_double_sums_split", _DOUBLE_SUMS)
+def win_double_sums_split(spark, sf):
+    """The same bits from ranges of a few hundred rows."""
+    return _double_sums(spark, sf, hot_rows=SPLIT_ROWS)
