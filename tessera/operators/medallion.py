@@ -93,13 +93,22 @@ class SilverResult:
     validated: DataFrame
 
 
+#: Number of a validated row, given when the rows are written.
+ROW = "_row"
+
+
 def split_silver(validated: DataFrame) -> SilverResult:
-    """Valid rows de-duplicated per customer (latest kept), rejected rows, removed copies."""
+    """Valid rows de-duplicated per customer (latest kept), rejected rows, removed copies.
+
+    Copies are told apart by the ``ROW`` number of the written rows, so every row ends in
+    exactly one of the three whether the feed's index is absent, repeated or no number; among
+    rows of one date and index the one written last is kept.
+    """
     valid, rejected = split_valid(validated)
     valid = valid.drop(VALID, REASON, REASONS)
-    kept = latest_per_key(valid, "customer_id", ["subscription_date", "index"])
-    copies = removed_duplicates(valid, kept, ["customer_id", "index"])
-    return SilverResult(kept.drop("index"), rejected, copies, validated)
+    kept = latest_per_key(valid, "customer_id", ["subscription_date", "index", ROW])
+    copies = removed_duplicates(valid, kept, [ROW])
+    return SilverResult(kept.drop("index", ROW), rejected.drop(ROW), copies.drop(ROW), validated)
 
 
 def customer_silver(spark: SparkSession, bronze_path: str, silver_path: str,
@@ -108,10 +117,10 @@ def customer_silver(spark: SparkSession, bronze_path: str, silver_path: str,
     """Silver: read the Bronze CSV as text, validate once and write the validated rows; the
     valid, rejected and duplicate layers are then split from that written table, so the
     CSV is parsed once and the lineage of each output starts at storage."""
-    bronze, _ = read_delimited(spark, bronze_path, header=True)
+    bronze, _ = read_delimited(spark, bronze_path, header=True, same_header=True)
     validated = apply_rules(cleaned(bronze), silver_rules())
     validated_path = validated_path or work_path(spark, "silver_validated")
-    write_layer(validated, validated_path)
+    write_layer(validated.withColumn(ROW, F.monotonically_increasing_id()), validated_path)
     res = split_silver(spark.read.parquet(validated_path))
     write_layer(res.valid.withColumn("_silver_written", F.current_timestamp()), silver_path)
     write_layer(res.rejected, rejected_path)

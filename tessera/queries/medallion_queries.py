@@ -10,6 +10,9 @@ Gold reports, each layer read back from storage.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import sql_percent
@@ -275,3 +278,36 @@ def dq_reasons(spark, sf):
     """DQ-2: every rejected row with its first failing reason (rejected rows keep ``index``)."""
     p = run_medallion(spark, sf)
     return spark.read.parquet(p["rejected"]).select("index", F.col(REASON).alias("reason"))
+
+
+#: What stands in the feed's Index column.
+_FEEDS = {
+    "numbered": lambda: F.col("Index"), "absent": lambda: None, "repeated": lambda: F.col("Index") % 3,
+    "not a number": lambda: F.concat(F.lit("no "), F.col("Index").cast("string"))}
+
+
+@query("silver_any_index", f"""WITH {SILVER_SQL},
+valid AS (SELECT * FROM validated WHERE reason IS NULL)
+SELECT feed, COUNT(*) AS input_records,
+  (SELECT COUNT(DISTINCT customer_id) FROM valid) AS valid_records,
+  COUNT(*) FILTER (reason IS NOT NULL) AS rejected_records,
+  (SELECT COUNT(*) - COUNT(DISTINCT customer_id) FROM valid) AS duplicate_records, true AS balanced,
+  (SELECT SUM(epoch(d) / 86400)::BIGINT FROM (SELECT max(subscription_date) AS d FROM valid GROUP BY customer_id)) AS days_kept
+FROM validated, (VALUES {', '.join(f"('{name}')" for name in _FEEDS)}) feeds(feed) GROUP BY feed""")
+def silver_any_index(spark, sf):
+    """DED-3 / DQ-6: whatever the feed's index is, every row is kept, rejected or a removed copy."""
+    out = []
+    for name, make in _FEEDS.items():
+        index = make()
+        feed = raw_customer_feed(spark, sf)
+        feed = feed.drop("Index") if index is None else feed.withColumn("Index", index)
+        base = work_path(spark, "any_index")
+        paths = {k: f"{base}/{k}" for k in ("source", "bronze", "silver", "rejected", "duplicates")}
+        write_layer(feed, paths["source"], "csv")
+        M.customer_bronze(spark, paths["source"], paths["bronze"])
+        M.customer_silver(spark, paths["bronze"], paths["silver"], paths["rejected"], paths["duplicates"])
+        layers = [spark.read.parquet(paths[k]) for k in ("silver", "rejected", "duplicates")]
+        days = layers[0].agg(F.sum(F.unix_date("subscription_date")).cast("long")).scalar()
+        out.append(reconcile(spark.read.option("header", "true").csv(paths["bronze"]), *layers)
+                   .withColumns({"feed": F.lit(name), "days_kept": days}))
+    return reduce(DataFrame.unionByName, out)

@@ -336,6 +336,28 @@ def csv_strict_rows(spark, sf):
     return g.withColumn("kind", F.lit("good")).unionByName(b.withColumn("kind", F.lit("bad")))
 
 
+@query("csv_headers_by_name", """
+SELECT o_orderkey AS id, o_orderpriority AS note, o_totalprice AS price, NULL AS raw_record FROM orders
+WHERE o_orderkey % 4 < 2
+UNION ALL SELECT NULL, NULL, NULL, o_orderkey || ',' || o_orderpriority FROM orders WHERE o_orderkey % 4 = 2
+UNION ALL SELECT NULL, NULL, NULL, o_orderkey || ',' || o_totalprice || ',' || o_orderpriority || ',x'
+FROM orders WHERE o_orderkey % 4 = 3""")
+def csv_headers_by_name(spark, sf):
+    """SRC-5: four kinds of files in one load: the columns in order, reordered, one too few, one
+    unknown; the first two are read by name, all rows of the others are quarantined."""
+    o = read_table(spark, sf, "orders").withColumn("part", F.col("o_orderkey") % 4)
+    key, note, price = (F.col(c).cast("string") for c in ("o_orderkey", "o_orderpriority", "o_totalprice"))
+    kinds = [{"id": key, "note": note, "price": price}, {"price": price, "id": key, "note": note},
+             {"id": key, "note": note}, {"id": key, "price": price, "note": note, "extra": F.lit("x")}]
+    path = work_path(spark, "headers")
+    for part, columns in enumerate(kinds):
+        (o.filter(F.col("part") == part).select(*[c.alias(n) for n, c in columns.items()])
+         .write.mode("append").option("header", True).csv(path))
+    good, bad = S.read_delimited(spark, path, "id LONG, note STRING, price DOUBLE")
+    return (good.withColumn("raw_record", F.lit(None).cast("string"))
+            .unionByName(bad.select("raw_record"), allowMissingColumns=True))
+
+
 @query("retail_items", """
 SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'ORDER' WHEN 1 THEN 'RETURN' ELSE 'UNKNOWN' END AS kind,
   strftime(o_orderdate, '%Y') AS year, 'C' || (o_custkey % 9) AS city, unnest(['pen', 'ink', 'pad']) AS item FROM orders""")

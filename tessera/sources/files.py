@@ -7,6 +7,8 @@ the job (``on_bad="fail"``) or routes bad rows to a quarantine frame.
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +27,7 @@ def _schema(schema) -> StructType | None:
 def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", header: bool = True,
                    quote: str = '"', escape: str = "\\", infer: bool = False,
                    on_bad: str = "quarantine", names: Sequence[str] | None = None,
-                   options: dict | None = None):
+                   options: dict | None = None, same_header: bool = False):
     """SRC-1..5: delimited text.
 
     ``on_bad="quarantine"`` returns ``(good, bad)``: rows that do not fit (too few or too many
@@ -34,6 +36,11 @@ def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", heade
     columns are the header's (all text, or ``infer`` reads the data once for types), and the
     same rules hold for rows that do not have them.  ``names`` renames the columns of a
     headerless file (SRC-2).  The header is taken off each file.  Blank lines are no rows.
+
+    Several files with headers are read by column name: each file's own header says where its
+    columns are.  Rows of files that lack a column, or have one that is unknown or repeated, are
+    bad rows.  ``same_header`` promises equal headers (layers written by this library) and
+    saves the pass over the files that finds them.
     """
     if on_bad not in ("quarantine", "fail", "drop"):
         raise ValueError(f"unknown on_bad {on_bad!r}")
@@ -46,6 +53,10 @@ def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", heade
         schema = r.option("inferSchema", str(infer).lower()).csv(path).schema
     if names:
         schema = StructType([StructField(n, f.dataType, True) for n, f in zip(names, schema, strict=True)])
+    if header and not same_header and not names:
+        found = _headers(r.csv(path), sep, quote, escape, options or {})
+        if any(columns != schema.names for columns in found):
+            return _read_by_name(spark, found, schema, sep, quote, escape, on_bad, options)
     # a row is judged by all its fields, whichever columns a query reads
     r = r.option("columnPruning", "false").option("enforceSchema", "true")
     if on_bad != "quarantine":
@@ -64,6 +75,81 @@ def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", heade
     return good, bad
 
 
+#: More different headers than this in one load are refused.
+MOST_HEADERS = 1000
+
+
+def _headers(loaded: DataFrame, sep: str, quote: str, escape: str, options: dict
+             ) -> dict[tuple[str, ...], list[str]]:
+    """The files of a load by their column names, read off each file's first filled line.
+
+    One aggregate over the lines, a row per file in its result; the files' own names come from
+    the listing that Spark keeps anyway.  Options under which a header is not one line of UTF-8
+    text leave the check to Spark, which compares headers by position and fails.
+    """
+    files = loaded.inputFiles()
+    if len(files) < 2:
+        return {}
+    spark = loaded.sparkSession
+    if any(k.lower() in ("multiline", "encoding", "charset", "linesep") for k in options):
+        return {}
+    lines = (spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file"),
+                                           F.col("_metadata.file_block_start").alias("start"))
+             .filter((F.col("start") == 0) & (F.trim("value") != ""))
+             .withColumn("at", F.monotonically_increasing_id()))
+    heads = (lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+             .groupBy("head").agg(F.collect_list("file").alias("files")).limit(MOST_HEADERS + 1).collect())
+    if len(heads) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers")
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in heads:
+        columns = next(csv.reader([row["head"].lstrip("\ufeff")], delimiter=sep, quotechar=quote or None,
+                                  quoting=csv.QUOTE_MINIMAL if quote else csv.QUOTE_NONE,
+                                  doublequote=escape == quote,
+                                  escapechar=None if escape == quote else escape))
+        out.setdefault(tuple(columns), []).extend(row["files"])
+    return out
+
+
+def _read_by_name(spark: SparkSession, found: dict[tuple[str, ...], list[str]], schema: StructType,
+                  sep: str, quote: str, escape: str, on_bad: str, options: dict | None):
+    """Files of several headers: each group by its own columns, put into the schema's order."""
+    wanted = {f.name: f for f in schema.fields}
+    goods, bads = [], []
+    for columns, files in sorted(found.items()):
+        complete = sorted(columns) == sorted(wanted)
+        if not complete and on_bad == "fail":
+            raise ValueError(f"{files[0]} has the columns {list(columns)} instead of {list(wanted)}")
+        if complete:
+            own = StructType([wanted[c] for c in columns])
+            read = read_delimited(spark, files, own, sep, True, quote, escape, on_bad=on_bad,
+                                  options=options, same_header=True)
+            good, bad = read if on_bad == "quarantine" else (read, None)
+            goods.append(good.select(*[F.col(f"`{c}`") for c in wanted]))
+            if bad is not None:
+                bads.append(bad)
+        elif on_bad == "quarantine":
+            lines = spark.read.text(files).select(
+                F.col("value").alias("raw_record"), F.col("_metadata.file_path").alias("_source_file"))
+            bads.append(_without_header(lines, columns, sep, quote, escape))
+    none = spark.createDataFrame([], schema)
+    good = reduce(DataFrame.unionByName, goods, none)
+    if on_bad != "quarantine":
+        return good
+    empty = spark.createDataFrame([], "raw_record string, _source_file string")
+    return good, reduce(DataFrame.unionByName, bads, empty)
+
+
+def _without_header(lines: DataFrame, columns: tuple[str, ...], sep: str, quote: str, escape: str
+                    ) -> DataFrame:
+    """The lines of files with these columns but for blank ones and the headers."""
+    fields = F.from_csv("raw_record", ", ".join(f"c{i} string" for i in range(len(columns))),
+                        {"sep": sep, "quote": quote, "escape": escape})
+    is_head = reduce(lambda a, b: a & b, [fields[f"c{i}"].eqNullSafe(F.lit(c or None))
+                                          for i, c in enumerate(columns)])
+    return lines.filter((F.trim("raw_record") != "") & ~is_head)
+
+
 def read_lines(spark: SparkSession, path, whole_text: bool = False) -> DataFrame:
     """SRC-6: one row per line (column ``value``); a glob selects files."""
     return spark.read.option("wholetext", str(whole_text).lower()).text(path)

@@ -113,3 +113,32 @@ def test_bad_rows_without_a_schema(spark, tmp_path):
         raise AssertionError("bad rows accepted")
     except Exception as e:  # noqa: BLE001
         assert "MALFORMED" in str(e)
+
+
+def test_columns_are_found_by_each_files_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,note,n\n1,one,5\n\n2,two,x\n")
+    (tmp_path / "b.csv").write_text('n,"id",note\n6,3,"a, b"\n7,4,\n')
+    (tmp_path / "c.csv").write_text("id,note\n9,lost\n")
+    (tmp_path / "d.csv").write_text("id,note,n,id\n9,lost,1,9\n\nid,note,n,id\n")
+    ddl = "id INT, note STRING, n INT"
+    good, bad = S.read_delimited(spark, str(tmp_path), ddl)
+    assert sorted(map(tuple, good.collect())) == [(1, "one", 5), (3, "a, b", 6), (4, None, 7)]
+    assert sorted(r["raw_record"] for r in bad.collect()) == ["2,two,x", "9,lost", "9,lost,1,9"]
+    assert S.read_delimited(spark, str(tmp_path), ddl, on_bad="drop").count() == 3
+    with pytest.raises(ValueError, match="has the columns"):
+        S.read_delimited(spark, str(tmp_path), ddl, on_bad="fail")
+
+
+def test_silver_keeps_count_of_copies_without_an_index(spark, tmp_path):
+    from tessera.operators.medallion import customer_bronze, customer_silver
+    head = "Customer Id,First Name,Last Name,Company,City,Country,Phone 1,Email,Subscription Date\n"
+    row = "{},ann,bell,co,rome,italy,1,a@b.org,{}\n"
+    (tmp_path / "feed.csv").write_text(head + "".join(
+        row.format(i, d) for i, d in [(1, "2024-01-01"), (1, "2024-01-01"), (1, "2023-01-01"), (2, "2024-05-05"),
+                                      (2, "2024-05-05"), (3, "no date")]))
+    customer_bronze(spark, f"{tmp_path}/feed.csv", f"{tmp_path}/bronze")
+    res = customer_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/rejected",
+                          f"{tmp_path}/copies")
+    kept, rejected, copies = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("silver", "rejected", "copies"))
+    assert [kept.count(), rejected.count(), copies.count()] == [2, 1, 3]
+    assert "_row" not in {*kept.columns, *rejected.columns, *copies.columns, *res.valid.columns}
