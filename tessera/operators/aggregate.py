@@ -105,3 +105,30 @@ def layer_counts(**layers: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("layer", "records")
+
+
+def distinct_states(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """AGG-6: exact distinct counts as states that add up: (keys, bucket, bitmap).
+
+    A bitmap holds 32,768 neighbouring values of an integer column, so a key has as many rows
+    as it has such blocks.  States of any keys can be stored, united and counted without
+    reading the rows again; nulls are not counted.
+    """
+    c = F.col(column).cast("long")
+    return (df.filter(c.isNotNull()).groupBy(*keys, F.bitmap_bucket_number(c).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias("bitmap")))
+
+
+def count_distinct_states(states: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Distinct values per ``keys`` (coarser than, or as, the states' own) from stored states."""
+    united = states.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return united.groupBy(*keys).agg(F.sum(F.bitmap_count("bitmap")).cast("long").alias(name))
+
+
+def sketch_states(df: DataFrame, keys: Sequence[str], column: str, lg_size: int = 14) -> DataFrame:
+    """The approximate form for any type: one HyperLogLog sketch per key, 2**lg_size registers."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(column, lg_size).alias("sketch"))
+
+
+def count_sketch_states(states: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return states.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))

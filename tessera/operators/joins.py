@@ -12,6 +12,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import checkpoint_root
+
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
@@ -93,8 +95,9 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int,
     if how not in SALTED_KINDS:
         raise ValueError(f"a salted join cannot be {how}: it would repeat rows of the small side")
     on = list(on)
+    checkpoint_root(big.sparkSession)
     hot = (big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-           .select(*on, F.lit(salts).alias("_salts")))
+           .select(*on, F.lit(salts).alias("_salts")).checkpoint())  # counted once for both sides
     one = F.coalesce(F.col("_salts"), F.lit(1))
     b = big.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), one).cast("int"))
     s = small.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1)))
@@ -102,6 +105,48 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int,
     return joined.drop("_salt")
 
 
+#: Items a heavy-hitter sketch tracks per key it may report.
+TRACKED = 16
+
+
+def heavy_keys(df: DataFrame, on: Sequence[str], more_than: int, most: int = 1024) -> list[int]:
+    """Hashes of the keys with more than ``more_than`` rows, at most ``most`` of them.
+
+    A frequent-items sketch: one bounded state per task, merged, no shuffle of keys.  Counts
+    are never under-estimated by more than rows / (4 * most), so a key can only be missed if
+    it has hardly more rows than that.
+    """
+    top = df.select(F.xxhash64(*on).alias("h")).agg(
+        F.expr(f"approx_top_k(h, {most}, {TRACKED * most})").alias("top")).first()["top"]
+    return sorted(r["item"] for r in top or [] if r["count"] > more_than)
+
+
+def hot_path_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
+                  hot_rows: int = 1_000_000, max_hot_rows: int = 1_000_000) -> DataFrame:
+    """JON-6: a path of its own for the hot keys of ``big``; the others are merged.
+
+    The hot keys come from a heavy-hitter sketch.  Their rows of ``small`` are broadcast, so
+    their rows of ``big`` are not shuffled at all; should they be more than ``max_hot_rows``,
+    the hot keys are salted instead.  Every key takes one path on both sides (null keys too),
+    so the parts add up to the join.  Key columns must have equal types on both sides.
+    """
+    if how not in SALTED_KINDS:
+        raise ValueError(f"a hot-path join cannot be {how}")
+    on = list(on)
+    if any(big.schema[c].dataType != small.schema[c].dataType for c in on):
+        raise ValueError(f"the types of {on} differ")
+    keys = heavy_keys(big, on, hot_rows)
+    if not keys:
+        return big.join(small.hint("merge"), on, how)
+    hot = F.xxhash64(*on).isin(keys)
+    few = small.filter(hot)
+    if few.limit(max_hot_rows + 1).count() > max_hot_rows:
+        fast = salted_join(big.filter(hot), few, on, 64, big.columns, how, hot_rows)
+    else:
+        fast = big.filter(hot).join(F.broadcast(few), on, how)
+    return fast.unionByName(big.filter(~hot).join(small.filter(~hot).hint("merge"), on, how))
+
+
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]],
               strategy: str = "auto") -> DataFrame:
     """JON-9: fact ⋈ dim1 ⋈ dim2 ...; each (dim, key) joined with ``join_dim``."""

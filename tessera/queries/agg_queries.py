@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import dates as D
@@ -10,10 +13,12 @@ from tessera.functions.numeric import (exact_sum, round_money_avg, sql_exact_sum
                                        sql_round_money_avg)
 from tessera.operators import aggregate as A
 from tessera.operators import wordcount as WC
+from tessera.operators.aggregate import (count_distinct_states, count_sketch_states, distinct_states,
+                                         sketch_states)
 from tessera.operators.joins import join_dim, with_config
 from tessera.plans.facts import plan_facts
 from tessera.queries.registry import query
-from tessera.session import read_table
+from tessera.session import read_table, work_path
 
 # ----------------------------------------------------------------------------- word counts
 
@@ -381,3 +386,43 @@ def pushed_filter_rows(spark, sf):
     return rows.withColumns({
         "filter_pushed": F.lit(any("o_orderstatus" in p for p in facts.pushed_filters)),
         "other_columns_pruned": F.lit(all("o_totalprice" not in s for s in facts.read_schemas))})
+
+
+_GRAINS = [("day", "strftime(o_orderdate, '%Y-%m-%d')"), ("month", "strftime(o_orderdate, '%Y-%m')"), ("all", "'all'")]
+
+
+def _stored_customers(spark, sf, make):
+    """States per order day, written and read back: later counts never see the orders again."""
+    days = make(read_table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_custkey"), ["day"], "o_custkey")
+    path = work_path(spark, "distinct_states")
+    days.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _by_grain(states, count):
+    frames = []
+    for grain, period in (("day", F.col("day")), ("month", F.substring("day", 1, 7)), ("all", F.lit("all"))):
+        frames.append(count(states.withColumn("period", period), ["period"], "customers")
+                      .withColumn("grain", F.lit(grain)))
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query("distinct_rollup", " UNION ALL ".join(
+    f"SELECT '{g}' AS grain, {e} AS period, COUNT(DISTINCT o_custkey) AS customers FROM orders GROUP BY 2"
+    for g, e in _GRAINS))
+def distinct_rollup(spark, sf):
+    """AGG-6: exact distinct customers per day, month and in all from one table of day bitmaps."""
+    return _by_grain(_stored_customers(spark, sf, distinct_states), count_distinct_states)
+
+
+@query("distinct_rollup_approx", " UNION ALL ".join(
+    f"SELECT '{g}' AS grain, COUNT(DISTINCT {e}) AS periods, true AS within_five_percent FROM orders"
+    for g, e in _GRAINS))
+def distinct_rollup_approx(spark, sf):
+    """AGG-6, approximate mode: the same from stored sketches, held against the exact counts."""
+    about = _by_grain(_stored_customers(spark, sf, sketch_states), count_sketch_states)
+    exact = distinct_rollup(spark, sf).withColumnRenamed("customers", "exact")
+    return about.join(exact, ["grain", "period"]).groupBy("grain").agg(
+        F.count(F.lit(1)).alias("periods"),
+        F.bool_and(F.abs(F.col("customers") - F.col("exact")) <= 0.05 * F.col("exact")).alias("within_five_percent"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import joins as J
@@ -79,6 +82,43 @@ def salted_join(spark, sf):
                                     F.sum("rev").cast("double").alias("revenue"))
 
 
+@query("hot_path_join", BRAND_SQL)
+def hot_path_join(spark, sf):
+    """JON-6: the keys that a sketch finds hot (more than 40 lines here) meet a broadcast of their
+    parts; all others are merged."""
+    li = read_table(spark, sf, "lineitem").select("l_partkey", revenue().alias("rev"))
+    p = read_table(spark, sf, "part").filter(F.col("p_size") <= 25).select(
+        F.col("p_partkey").alias("l_partkey"), "p_brand")
+    return J.hot_path_join(li, p, ["l_partkey"], hot_rows=40).groupBy("p_brand").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("rev").cast("double").alias("revenue"))
+
+
+_KEYED = """(SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN l_orderkey % 3 = 1 THEN l_orderkey % 5
+  ELSE l_partkey END AS k FROM lineitem)"""
+
+
+@query("hot_path_kinds", f"""
+WITH f AS {_KEYED}, p AS (SELECT p_partkey AS k, p_size FROM part WHERE p_size <= 25)
+SELECT 'inner' AS kind, COUNT(*) AS records, SUM(l_linenumber)::BIGINT AS lines, SUM(p_size)::BIGINT AS sizes
+FROM f JOIN p ON f.k = p.k
+UNION ALL SELECT 'left', COUNT(*), SUM(l_linenumber)::BIGINT, SUM(p_size)::BIGINT FROM f LEFT JOIN p ON f.k = p.k
+UNION ALL SELECT 'left_semi', COUNT(*), SUM(l_linenumber)::BIGINT, NULL FROM f WHERE EXISTS (SELECT 1 FROM p WHERE p.k = f.k)
+UNION ALL SELECT 'left_anti', COUNT(*), SUM(l_linenumber)::BIGINT, NULL FROM f WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.k = f.k)""")
+def hot_path_kinds(spark, sf):
+    """JON-6: a third of the keys null, a third in five values, the rest spread; all join kinds."""
+    k = F.col("l_orderkey")
+    f = read_table(spark, sf, "lineitem").select("l_linenumber", F.when(k % 3 == 1, k % 5).when(
+        k % 3 == 2, F.col("l_partkey")).alias("k"))
+    p = read_table(spark, sf, "part").filter(F.col("p_size") <= 25).select(F.col("p_partkey").alias("k"), "p_size")
+    out = []
+    for kind in ("inner", "left", "left_semi", "left_anti"):
+        j = J.hot_path_join(f, p, ["k"], kind, hot_rows=500)
+        size = F.sum("p_size").cast("long") if "p_size" in j.columns else F.lit(None).cast("long")
+        out.append(j.agg(F.count(F.lit(1)).alias("records"), F.sum("l_linenumber").cast("long").alias("lines"),
+                         size.alias("sizes")).withColumn("kind", F.lit(kind)))
+    return reduce(DataFrame.unionByName, out)
+
+
 PRIORITY_SQL = f"""
 SELECT o_orderpriority, COUNT(*) AS lines, COUNT(DISTINCT o_orderkey) AS orders,
        CAST(SUM({REVENUE}) AS DOUBLE) AS revenue

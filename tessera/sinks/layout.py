@@ -123,10 +123,6 @@ def refresh_summary(spark: SparkSession, summary: DataFrame, path: str,
                     partition_by: Sequence[str]) -> str:
     """SNK-14: a summary table in place of a materialised view; re-running it
     replaces only the partitions present in ``summary`` (dynamic overwrite)."""
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        summary.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
     return path

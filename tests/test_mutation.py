@@ -88,3 +88,23 @@ def test_unpartitioned_bucketed_table(spark, fmt):
     MU.truncate(spark, name)
     assert spark.table(name).count() == 0
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_many_emptied_partitions_leave_at_once(spark, monkeypatch):
+    import os
+    from tessera.sinks.layout import save_partitioned_table
+    df = spark.range(600).select("id", F.when(F.col("id") % 200 != 7, F.concat(
+        F.lit("p/ '"), F.col("id") % 200)).alias("part"))
+    table = save_partitioned_table(spark, df.coalesce(2), "emptied", ["part"])
+    said = []
+    plain = spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: (said.append(q), plain(q, *a, **k))[1])
+    MU.delete_where(spark, table, "id % 200 > 3")
+    monkeypatch.undo()
+    assert sum(q.startswith("ALTER TABLE") for q in said) == 1
+    assert not any("INSERT OVERWRITE" in q for q in said)
+    assert sorted(r["id"] for r in spark.table(table).collect()) == sorted(
+        i for i in range(600) if i % 200 <= 3)
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 4
+    root = MU.table_layout(spark, table)["location"].removeprefix("file:")
+    assert len([d for d in os.listdir(root) if d.startswith("part=")]) == 4

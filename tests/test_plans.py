@@ -123,3 +123,17 @@ def test_no_python_in_registered_queries(spark):
         if name.startswith("stream_"):  # these run for a while; their operators are plain functions
             continue
         assert plan_facts(fn(spark, SF_SMALL)).python_evals == 0, name
+
+
+def test_hot_path_join_broadcasts_only_hot_keys(spark):
+    from tessera.operators.joins import heavy_keys, hot_path_join
+    big = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 3000).alias("k"), "id")
+    small = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    assert len(heavy_keys(big, ["k"], 1000)) == 1
+    out = hot_path_join(big, small, ["k"], hot_rows=1000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    assert out.count() == 20_000
+    assert out.agg(F.sum("v")).first() == big.join(small, "k").agg(F.sum("v")).first()
+    with pytest.raises(ValueError):
+        hot_path_join(big, small, ["k"], "full")
