@@ -34,19 +34,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that repeat a kept id are copies of it and go too, unless they have no words.
     """
     found = near_dup.near_duplicates(docs, percent=NEAR_PERCENT)
-    gone = (found.where("id is not null and not kept").select(F.col("id").alias("_id")).distinct())
-    kept = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = cut_ids(found.where("id is not null and kept and n_shingles > 0"))
+    own = "_id"
+    while own in docs.columns:
+        own += "_"
+    gone = found.where("id is not null and not kept").select(F.col("id").alias(own)).distinct()
+    kept = docs.join(gone, F.col("doc_id") == F.col(own), "left_anti")
+    repeated = repeated_ids(found.where("id is not null and kept and n_shingles > 0"), own)
     if repeated.isEmpty():
         return kept
-    again = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi")
-    once = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti")
+    again = kept.join(repeated, F.col("doc_id") == F.col(own), "left_semi")
+    once = kept.join(repeated, F.col("doc_id") == F.col(own), "left_anti")
     return once.unionByName(again.dropDuplicates(["doc_id"]))
 
 
-def cut_ids(rows: DataFrame) -> DataFrame:
+def repeated_ids(rows: DataFrame, name: str) -> DataFrame:
     """Ids that occur more than once."""
-    return cut(rows.groupBy(F.col("id").alias("_id")).count().where("count > 1").select("_id"))
+    return cut(rows.groupBy(F.col("id").alias(name)).count().where("count > 1").select(name))
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
