@@ -97,3 +97,12 @@ def test_stages_on_an_empty_table(spark, folder):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in cp.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_near_duplicate_stage_takes_any_further_columns(spark):
+    rows = [(1, "a b c d e f g"), (2, "A b c d e f g"), (3, "other words of another text"), (3, "other words of another text")]
+    docs = (spark.createDataFrame(rows, "doc_id long, text string")
+            .selectExpr("*", "doc_id + 10 as _id", "'x' as id", "1 as n_shingles", "true as kept"))
+    out = cp.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3]
