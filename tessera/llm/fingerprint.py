@@ -6,11 +6,13 @@ fingerprint, written in hex.  Texts that compress well given each other share ph
 the likeness of two fingerprints (the share of common members among the smallest of their
 union) tells similar texts from different ones.
 
-The dictionary starts anew after ``PHRASES`` phrases; the fingerprint goes on over the whole
-text, so memory is bounded for texts of any length.
+The dictionary starts anew when it holds ``PHRASES`` phrases, at a place that depends on the
+text alone, in however many parts it is read; the fingerprint goes on over the whole text, so
+memory is bounded for texts of any length.
 
 Null and empty texts have no phrases and an empty fingerprint; two empty ones are alike
-(1.0), an empty and another are not (0.0).  Equal texts have equal fingerprints.
+(1.0), an empty and another are not (0.0).  Equal texts have equal fingerprints.  An empty
+table gives an empty result; only the key and the text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -45,16 +47,20 @@ class Parse:
     def feed(self, text: str) -> Parse:
         phrases, node = self.phrases, self.node
         add = phrases.add
-        for start in range(0, len(text), PHRASES):
-            for c in map(ord, text[start:start + PHRASES]):
+        at = 0
+        while at < len(text):
+            # a character adds one phrase at most, so the dictionary is full at the end of a
+            # slice or not at all: where it starts anew depends on the text alone
+            end = at + PHRASES - len(phrases)
+            for c in map(ord, text[at:end]):
                 node = (node * _MULTIPLIER + c + 1) & _MASK
                 if node not in phrases:
                     add(node)
                     node = 0
-            if len(phrases) > PHRASES:
+            at = end
+            if len(phrases) == PHRASES:
                 self.least = self.smallest()
                 phrases.clear()
-                node = 0
         self.node = node
         return self
 

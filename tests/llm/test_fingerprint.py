@@ -31,7 +31,23 @@ def test_dictionary_restarts_but_reads_on(monkeypatch):
     monkeypatch.setattr(fp, "PHRASES", 50)
     whole = fp.fingerprint(text)
     assert whole == fp.fingerprint(text) and whole != fp.fingerprint(text[:-4000])
-    assert len(fp.Parse().feed(text).phrases) <= 100
+    assert len(fp.Parse().feed(text).phrases) < 50
+
+
+def test_parse_does_not_depend_on_how_a_text_is_fed(monkeypatch):
+    rng = random.Random(6)
+    text = words(rng, 2000)
+    monkeypatch.setattr(fp, "PHRASES", 70)
+    whole = fp.fingerprint(text)
+    for _ in range(20):
+        parse, at = fp.Parse(), 0
+        while at < len(text):
+            n = rng.choice([1, 7, 69, 70, 71, 1000, len(text)])
+            parse.feed(text[at:at + n])
+            at += n
+        assert fp.to_hex(parse.smallest()) == whole
+        head = fp.Parse().feed(text[:at // 2])
+        assert fp.to_hex(head.copy().feed(text[at // 2:]).smallest()) == whole
 
 
 def brute(rows):
