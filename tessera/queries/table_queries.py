@@ -529,3 +529,35 @@ def summary_refresh(spark, sf):
     L.refresh_summary(spark, summary(li.filter(F.year("l_shipdate") == 1996)), path, ["ship_month"])
     out = spark.read.parquet(path)
     return out.select("ship_month", "lines", F.col("revenue").cast("double").alias("revenue"))
+
+
+_PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
+
+
+@query("summary_increment", f"""
+WITH base AS (
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority AS priority, {_PRICE} AS price FROM orders),
+after AS (
+  SELECT month, priority, price FROM base WHERE o_orderkey % 13 <> 0 AND month <> '1995-03'
+  UNION ALL SELECT '1996-01', priority, CASE WHEN o_orderkey % 2 = 0 THEN -price END FROM base WHERE o_orderkey % 17 = 0
+  UNION ALL SELECT '2001-01', 'new', price FROM base WHERE o_orderkey % 19 = 0)
+SELECT month, priority, COUNT(*) AS n, CAST(SUM(price) AS DOUBLE) AS sum_price, COUNT(price) AS count_price,
+  CAST(MIN(price) AS DOUBLE) AS min_price, CAST(MAX(price) AS DOUBLE) AS max_price FROM after GROUP BY month, priority""")
+def summary_increment(spark, sf):
+    """SNK-14: orders per month and priority kept up through two batches, one that deletes (with a
+    whole month) and inserts, one that inserts into a new month; equal to a rebuild."""
+    from tessera.operators.summaries import apply_changes, create_summary
+    base = read_table(spark, sf, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    keys, columns, k = ["month", "priority"], ["month", "priority", "price"], F.col("o_orderkey")
+    table = create_summary(spark, base, "order_summary", keys, ["price"], ["month"])
+    goes = (k % 13 == 0) | (F.col("month") == "1995-03")
+    first = base.filter(k % 17 == 0).select(F.lit("1996-01").alias("month"), "priority",
+                                            F.when(k % 2 == 0, -F.col("price")).cast("decimal(18,2)").alias("price"))
+    then = base.filter(k % 19 == 0).select(F.lit("2001-01").alias("month"), F.lit("new").alias("priority"), "price")
+    now = base.filter(~goes).select(*columns).unionByName(first)
+    apply_changes(spark, table, now, first, base.filter(goes).select(*columns), keys, ["price"])
+    apply_changes(spark, table, now.unionByName(then), then, then.limit(0), keys, ["price"])
+    return spark.table(table).select(*keys, "n", "count_price", *[
+        F.col(f"{s}_price").cast("double").alias(f"{s}_price") for s in ("sum", "min", "max")])
