@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from tessera.queries.registry import query
 from tessera.session import read_table, work_path
+from tessera.streaming import late as LT
 from tessera.streaming import streams as ST
 
 #: Slices of a replay; how many files each has follows from the table's own partitions.
@@ -181,3 +182,40 @@ def stream_kafka_shape(spark, sf):
     out = _envelopes(spark, sf, lambda posts: posts, "append")
     return spark.read.parquet(out).withColumn(
         "created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+@query("stream_late_rows", """
+WITH b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) + 1 - min(epoch_us(ts)) AS span FROM events),
+sent AS (SELECT ts, (4 * (epoch_us(ts) - lo)) // span + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END AS slice
+  FROM events, b WHERE ts IS NOT NULL),
+high AS (SELECT slice, max(ts) AS high FROM sent GROUP BY 1),
+placed AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+  coalesce(time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= (SELECT max(high) FROM high h
+    WHERE h.slice < sent.slice) - INTERVAL '10 minutes', false) AS is_late FROM sent)
+SELECT window_start, COUNT(*) FILTER (NOT is_late) AS counted, COUNT(*) FILTER (is_late) AS late,
+  CAST(0 AS BIGINT) AS dropped
+FROM placed GROUP BY 1""")
+def stream_late_rows(spark, sf):
+    """STM-12: every 13th event is sent one slice late; rows whose hour has closed by then are
+    kept apart, the others are counted by a windowed stream that drops none."""
+    e = read_table(spark, sf, "events").filter("ts IS NOT NULL").select("event_id", ST.event_time("ts").alias("t"))
+    us = F.unix_micros("t")
+    ends = e.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    lo, span = ends["lo"] or 0, (ends["hi"] or 0) + 1 - (ends["lo"] or 0)
+    place = F.expr(f"(4 * (unix_micros(t) - {lo})) div {span}") + (F.col("event_id") % 13 == 0).cast("int")
+    source, path, out, s1, s2 = (work_path(spark, f"late_{p}") for p in ("source", "rows", "out", "s1", "s2"))
+    dropped = 0
+    for n in range(SLICES + 1):
+        e.filter(place == n).write.mode("append").parquet(source)
+        sent = spark.readStream.schema(e.schema).parquet(source)
+        ST.run_to_end(LT.divide_late(sent, "t", "1 hour", "10 minutes", path, checkpoint=s1))
+        counts = ST.windowed_count(LT.on_time(spark, path, e.schema), "t", "1 hour", delay="10 minutes")
+        q = ST.start(counts, out, "update", checkpoint=s2)
+        ST.run_to_end(q)
+        dropped += LT.dropped_rows(q)
+    late = LT.divided(spark, path, e.schema).filter(LT.LATE).groupBy(F.window("t", "1 hour")).agg(
+        F.count(F.lit(1)).alias("late"))
+    both = ST.latest_updates(spark, out, ["window"]).join(late, "window", "full")
+    return ST.flatten_window(both).select(
+        "window_start", F.coalesce("count", F.lit(0)).alias("counted"), F.coalesce("late", F.lit(0)).alias("late"),
+        F.lit(dropped).cast("long").alias("dropped"))
