@@ -37,6 +37,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def tuned(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
+    """A session with the same tables, views and settings but for ``conf``.
+
+    Plans made with it see the settings, and the caller's session and other threads do not.
+    """
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for k, v in conf.items():
+        own.conf.set(k, v)
+    return own
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -54,6 +54,13 @@ def _table_name(prefix: str) -> str:
     return f"{re.sub(r'[^A-Za-z0-9_]', '_', prefix)}_{uuid.uuid4().hex[:10]}"
 
 
+def save_table(spark: SparkSession, df: DataFrame, prefix: str, fmt: str = "parquet") -> str:
+    """A plain catalog table under a fresh name; returns the name."""
+    name = _table_name(prefix)
+    df.write.format(fmt).option("path", work_path(spark, name)).saveAsTable(name)
+    return name
+
+
 def save_bucketed(spark: SparkSession, df: DataFrame, prefix: str, keys: Sequence[str],
                   buckets: int, sort: bool = True, partition_by: Sequence[str] = (),
                   fmt: str = "parquet", path: str | None = None) -> str:
