@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import percent
@@ -107,6 +107,11 @@ def layer_counts(**layers: DataFrame) -> DataFrame:
     return out.select("layer", "records")
 
 
+def layer_count_rows(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """AGG-19 from counts that the writes of the layers gave: the rows of ``layer_counts``, no scan."""
+    return spark.createDataFrame(list(counts.items()), "layer string, records long")
+
+
 def distinct_states(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """AGG-6: exact distinct counts as states that add up: (keys, bucket, bitmap).
 

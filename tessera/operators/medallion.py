@@ -12,7 +12,7 @@ operators ``kpis``, ``trend`` and ``share_of_total``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from tessera.operators.aggregate import kpis, share_of_total, trend
 from tessera.operators.dedup import latest_per_key, removed_duplicates
 from tessera.operators.quality import REASON, REASONS, VALID, apply_rules, split_valid
 from tessera.session import work_path
-from tessera.sinks.layout import write_layer, write_reports
+from tessera.sinks.layout import write_counted, write_layer, write_reports
 from tessera.sources.files import read_delimited, with_provenance
 
 #: How the text of each kind of column is cleaned.
@@ -91,6 +91,8 @@ class SilverResult:
     rejected: DataFrame
     duplicates: DataFrame
     validated: DataFrame
+    #: Rows of each written layer, counted while it was written; ``input`` is what Bronze gave.
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 #: Number of a validated row, given when the rows are written.
@@ -116,16 +118,17 @@ def customer_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                     validated_path: str | None = None) -> SilverResult:
     """Silver: read the Bronze CSV as text, validate once and write the validated rows; the
     valid, rejected and duplicate layers are then split from that written table, so the
-    CSV is parsed once and the lineage of each output starts at storage."""
+    CSV is parsed once and the lineage of each output starts at storage.  Every layer is
+    counted while it is written."""
     bronze, _ = read_delimited(spark, bronze_path, header=True, same_header=True)
     validated = apply_rules(cleaned(bronze), silver_rules())
     validated_path = validated_path or work_path(spark, "silver_validated")
-    write_layer(validated.withColumn(ROW, F.monotonically_increasing_id()), validated_path)
+    n = write_counted(validated.withColumn(ROW, F.monotonically_increasing_id()), validated_path)["records"]
     res = split_silver(spark.read.parquet(validated_path))
-    write_layer(res.valid.withColumn("_silver_written", F.current_timestamp()), silver_path)
-    write_layer(res.rejected, rejected_path)
-    if duplicates_path:
-        write_layer(res.duplicates, duplicates_path)
+    layers = {"valid": (res.valid.withColumn("_silver_written", F.current_timestamp()), silver_path),
+              "rejected": (res.rejected, rejected_path), "duplicates": (res.duplicates, duplicates_path)}
+    res.counts = {"input": n} | {name: write_counted(df, path)["records"]
+                                 for name, (df, path) in layers.items() if path}
     return res
 
 

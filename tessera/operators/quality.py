@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Rule = tuple[str, Column]
@@ -63,6 +63,18 @@ def reconcile(input_df: DataFrame, valid: DataFrame, rejected: DataFrame,
                           + F.col("rejected_records") + F.col("duplicate_records"))
 
 
+def reconcile_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """DQ-6 from counts taken while the layers were written: the row of ``reconcile`` without
+    a scan.  ``counts`` has input, valid, rejected and, if kept apart, duplicates."""
+    parts = {name: F.lit(counts.get(name, 0)).cast("long")
+             for name in ("input", "valid", "rejected", "duplicates")}
+    out = spark.range(1).select(*[c.alias(n) for n, c in parts.items()])
+    return out.select(
+        F.col("input").alias("input_records"), F.col("valid").alias("valid_records"),
+        F.col("rejected").alias("rejected_records"), F.col("duplicates").alias("duplicate_records"),
+        (F.col("input") == F.col("valid") + F.col("rejected") + F.col("duplicates")).alias("balanced"))
+
+
 def check(df: DataFrame, assertions: dict[str, Column]) -> DataFrame:
     """DQ-7: named boolean checks over the whole frame; one row, one column per check.
 

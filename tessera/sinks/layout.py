@@ -12,7 +12,7 @@ import re
 import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import work_path
@@ -39,6 +39,19 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
+def write_counted(df: DataFrame, path: str, metrics: dict[str, Column] | None = None, **how) -> dict[str, int]:
+    """SNK-1: ``write_layer`` that counts while it writes: no second scan of ``df`` or the layer.
+
+    Returns ``records`` and the given aggregates over the written rows.  The counts are
+    taken directly below the write, in the tasks whose output is committed, and a task's count
+    is added once however often it runs.  An empty layer counts 0.
+    """
+    seen = Observation()
+    write_layer(df.observe(seen, F.count(F.lit(1)).alias("records"),
+                           *[c.alias(n) for n, c in (metrics or {}).items()]), path, **how)
+    return seen.get
+
+
 def write_reports(reports: dict[str, DataFrame], base_path: str, fmt: str = "parquet",
                   audit_column: str = "_gold_processed_timestamp") -> dict[str, str]:
     """SNK-3: write each named report with an audit timestamp column."""
