@@ -5,6 +5,9 @@ and cut into sentences.  A sentence that matches a known pattern becomes that se
 identifier; the others that speak of licensing become ``unknown``.  The document's
 identifier sequence is matched against rules in order: the first rule whose sequence occurs
 takes its identifiers away, so a specific licence is not reported again as a general one.
+An SPDX expression is taken apart: each operand of its ORs and ANDs has an identifier, and
+exceptions after WITH are left out.  A sentence that denies a licence names none, and reserved
+rights count only in texts without a licence.
 
 Every document gives one row.  Null, empty and licence-free texts have no sentences and no
 licences.  Repeated rows give equal rows; order of sentences is that of the text.  Only the
@@ -20,15 +23,56 @@ from pyspark.sql import functions as F
 _GNU = r"general public license,? as published by the free software foundation[;:,]? (either )?version "
 _LATER = r"( of the license)?[;,]? or (\(?at your option\)?,? )?any later version"
 
+#: SPDX: licence and the identifiers that name it, in lower case.  Fixed values.
+SPDX: list[tuple[str, tuple[str, ...]]] = [
+    ("0BSD", ("0bsd",)),
+    ("AGPL-3.0", ("agpl-3.0", "agpl-3.0-only")),
+    ("AGPL-3.0-or-later", ("agpl-3.0+", "agpl-3.0-or-later")),
+    ("Apache-2.0", ("apache-2.0",)),
+    ("Artistic-2.0", ("artistic-2.0",)),
+    ("BSD-2-Clause", ("bsd-2-clause",)),
+    ("BSD-3-Clause", ("bsd-3-clause",)),
+    ("BSL-1.0", ("bsl-1.0",)),
+    ("CC-BY", ("cc-by-3.0", "cc-by-4.0")),
+    ("CC-BY-NC", ("cc-by-nc-3.0", "cc-by-nc-4.0")),
+    ("CC-BY-NC-ND", ("cc-by-nc-nd-3.0", "cc-by-nc-nd-4.0")),
+    ("CC-BY-NC-SA", ("cc-by-nc-sa-3.0", "cc-by-nc-sa-4.0")),
+    ("CC-BY-ND", ("cc-by-nd-3.0", "cc-by-nd-4.0")),
+    ("CC-BY-SA", ("cc-by-sa-3.0", "cc-by-sa-4.0")),
+    ("CC0-1.0", ("cc0-1.0",)),
+    ("CDDL-1.0", ("cddl-1.0",)),
+    ("EPL-1.0", ("epl-1.0",)),
+    ("EPL-2.0", ("epl-2.0",)),
+    ("EUPL-1.2", ("eupl-1.2",)),
+    ("GPL-1.0-or-later", ("gpl-1.0+", "gpl-1.0-or-later")),
+    ("GPL-2.0", ("gpl-2.0", "gpl-2.0-only")),
+    ("GPL-2.0-or-later", ("gpl-2.0+", "gpl-2.0-or-later")),
+    ("GPL-3.0", ("gpl-3.0", "gpl-3.0-only")),
+    ("GPL-3.0-or-later", ("gpl-3.0+", "gpl-3.0-or-later")),
+    ("ISC", ("isc",)),
+    ("LGPL-2.0", ("lgpl-2.0", "lgpl-2.0-only")),
+    ("LGPL-2.0-or-later", ("lgpl-2.0+", "lgpl-2.0-or-later")),
+    ("LGPL-2.1", ("lgpl-2.1", "lgpl-2.1-only")),
+    ("LGPL-2.1-or-later", ("lgpl-2.1+", "lgpl-2.1-or-later")),
+    ("LGPL-3.0", ("lgpl-3.0", "lgpl-3.0-only")),
+    ("LGPL-3.0-or-later", ("lgpl-3.0+", "lgpl-3.0-or-later")),
+    ("MIT", ("mit",)),
+    ("MIT-0", ("mit-0",)),
+    ("MPL-1.1", ("mpl-1.1",)),
+    ("MPL-2.0", ("mpl-2.0",)),
+    ("Unlicense", ("unlicense",)),
+    ("Zlib", ("zlib",)),
+]
+#: Leads the pseudo-sentence of one operand of an SPDX expression.
+SPDX_LEAD = "spdx:"
+SPDX_SENTENCES = [(f"spdx_{ids[0]}", "^" + SPDX_LEAD + "(" + "|".join(i.replace(".", r"\.").replace("+", r"\+")
+                                                                     for i in ids) + ")$") for _, ids in SPDX]
+
 #: Known licence sentences: identifier and a pattern on the normalised sentence.  Fixed
 #: values: the wording of the public licences' own notices.  The first match counts.
-SENTENCES: list[tuple[str, str]] = [
-    ("spdx_apache_2", r"spdx-license-identifier: apache-2\.0"),
-    ("spdx_mit", r"spdx-license-identifier: mit"),
-    ("spdx_bsd_3", r"spdx-license-identifier: bsd-3-clause"),
-    ("spdx_bsd_2", r"spdx-license-identifier: bsd-2-clause"),
-    ("spdx_gpl_3", r"spdx-license-identifier: gpl-3\.0"),
-    ("spdx_gpl_2", r"spdx-license-identifier: gpl-2\.0"),
+SENTENCES: list[tuple[str, str]] = SPDX_SENTENCES + [
+    ("spdx_other", "^" + SPDX_LEAD),
+    ("denied", r"\b(not|never|no longer) (released|licensed|distributed|available|covered) (under|by)"),
     ("apache_2_notice", r"licensed under the apache license,? version 2(\.0)?"),
     ("apache_compliance", r"may not use this file except in compliance with the license"),
     ("apache_copy", r"may obtain a copy of the license at"),
@@ -40,6 +84,7 @@ SENTENCES: list[tuple[str, str]] = [
     ("agpl_3_notice", r"(gnu )?affero general public license,? (version|v) ?3"),
     ("lgpl_3_notice", r"(gnu )?lesser general public license,? (version|v) ?3"),
     ("lgpl_21_notice", r"(gnu )?lesser general public license,? (version|v) ?2\.1"),
+    ("lgpl_2_notice", r"library general public license,? (version|v) ?2"),
     ("gpl_3_notice", r"(gnu )?general public license,? (version|v) ?3"),
     ("gpl_2_notice", r"(gnu )?general public license,? (version|v) ?2"),
     ("agpl_3_published_later", r"affero " + _GNU + r"3(\.0)?" + _LATER),
@@ -65,7 +110,9 @@ SENTENCES: list[tuple[str, str]] = [
     ("bsd_binary", r"redistributions in binary form must reproduce the above copyright notice"),
     ("bsd_endorse", r"neither the name of .* may be used to endorse or promote"),
     ("bsd_warranty", r"this software is provided by .* as is and any express or implied warranties"),
-    ("mpl_2_notice", r"mozilla public license,? (version|v)[. ]*2\.0"),
+    ("mpl_2_notice", r"mozilla public license,? (version|v)([. ]*2\.0|\.$)"),
+    ("epl_2_notice", r"eclipse public license( -)?,? ?(version|v\.?)? ?2"),
+    ("epl_1_notice", r"eclipse public license( -)?,? ?(version|v\.?)? ?1"),
     ("isc_grant", r"permission to use, copy, modify, and/?(or)? distribute this software for any purpose"),
     ("unlicense", r"free and unencumbered software released into the public domain"),
     ("cc0_notice", r"\b(cc0|creative commons zero)\b"),
@@ -83,14 +130,12 @@ SENTENCES: list[tuple[str, str]] = [
 _TERMS = ("gpl_no_warranty", "gpl_details", "gpl_received")
 
 #: Licence rules in order: licence and the identifiers that state it, in sequence.
-RULES: list[tuple[str, tuple[str, ...]]] = [
-    ("Apache-2.0", ("apache_2_notice", "apache_compliance", "apache_copy", "apache_as_is")),
-    ("Apache-2.0", ("apache_2_notice", "apache_compliance", "apache_copy")),
+RULES: list[tuple[str, tuple[str, ...]]] = [(name, (f"spdx_{ids[0]}",)) for name, ids in SPDX] + [
+    ("Apache-2.0", ("apache_2_notice", "apache_copy", "apache_as_is")),
+    ("Apache-2.0", ("apache_2_notice", "apache_copy")),
     ("Apache-2.0", ("apache_2_notice",)),
-    ("Apache-2.0", ("spdx_apache_2",)),
     ("MIT", ("mit_grant", "mit_condition", "as_is_warranty")),
     ("MIT", ("mit_notice",)),
-    ("MIT", ("spdx_mit",)),
     ("MIT", ("mit_grant",)),
     ("AGPL-3.0-or-later", ("agpl_3_published_later", *_TERMS, "gpl_address")),
     ("AGPL-3.0-or-later", ("agpl_3_published_later", *_TERMS)),
@@ -134,17 +179,16 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("AGPL-3.0", ("agpl_3_notice",)),
     ("LGPL-3.0", ("lgpl_3_notice",)),
     ("LGPL-2.1", ("lgpl_21_notice",)),
+    ("LGPL-2.0", ("lgpl_2_notice",)),
     ("GPL-3.0-or-later", ("gpl_free_software", "gpl_3_notice", "gpl_no_warranty", "gpl_received")),
     ("GPL-3.0", ("gpl_3_notice",)),
-    ("GPL-3.0", ("spdx_gpl_3",)),
     ("GPL-2.0", ("gpl_2_notice",)),
-    ("GPL-2.0", ("spdx_gpl_2",)),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_warranty")),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse")),
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary")),
-    ("BSD-3-Clause", ("spdx_bsd_3",)),
-    ("BSD-2-Clause", ("spdx_bsd_2",)),
     ("MPL-2.0", ("mpl_2_notice",)),
+    ("EPL-2.0", ("epl_2_notice",)),
+    ("EPL-1.0", ("epl_1_notice",)),
     ("ISC", ("isc_grant",)),
     ("Unlicense", ("unlicense",)),
     ("CC0-1.0", ("cc0_notice",)),
@@ -157,6 +201,8 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Proprietary", ("copyright", "all_rights_reserved")),
     ("Proprietary", ("all_rights_reserved",)),
 ]
+#: A licence that is reported only where no other was found: licensed texts reserve rights too.
+LAST = "Proprietary"
 
 UNKNOWN = "unknown"
 #: What a sentence must contain to be looked at.
@@ -173,6 +219,21 @@ LINE_BREAK = r"\n[ \t]*\n|([.!?])[ \t\r]*\n|([.!?])[ \t]+"
 MARK = "\u0001"
 
 
+#: An SPDX expression up to its last operand; exceptions change no licence's name.
+EXPRESSION = (r"spdx-license-identifier: ?(\(* ?[a-z0-9][a-z0-9.+-]*\)*"
+              r"( (or|and|with) \(* ?[a-z0-9][a-z0-9.+-]*\)*)*)")
+EXCEPTION = r" with [a-z0-9.+-]+"
+BRACKETS = r"[() ]|\.( |$)"
+
+
+def operands(sentence: Column) -> Column:
+    """An SPDX sentence as one pseudo-sentence per operand, any other as itself."""
+    expression = F.regexp_replace(F.regexp_extract(sentence, EXPRESSION, 1), EXCEPTION, "")
+    named = F.transform(F.split(expression, " (or|and) "),
+                        lambda o: F.concat(F.lit(SPDX_LEAD), F.regexp_replace(o, BRACKETS, "")))
+    return F.when(sentence.rlike(EXPRESSION), named).otherwise(F.array(sentence))
+
+
 def normalised(text: Column) -> Column:
     plain = F.regexp_replace(F.lower(text), LEADER, "$1")
     marked = F.regexp_replace(F.regexp_replace(plain, QUOTES, ""), LINE_BREAK, "$1$2" + MARK)
@@ -194,7 +255,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         F.split(normalised(own), MARK), lambda s: s.rlike(HINT)))
     rows = docs.select(F.col(key).alias(key), F.coalesce(
         spoken, F.array().cast("array<string>")).alias("sentences"))
-    rows = rows.withColumn("identifiers", F.transform("sentences", identifier))
+    rows = rows.withColumn("identifiers", F.transform(F.flatten(F.transform("sentences", operands)), identifier))
     rules = F.array(*[F.struct(F.lit(name).alias("licence"),
                                F.lit("|" + "|".join(ids) + "|").alias("ids"))
                       for name, ids in RULES])
@@ -208,6 +269,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             F.array_union(state["found"], F.array(rule["licence"])).alias("found"))
         return F.when(F.contains(state["left"], rule["ids"]), taken).otherwise(state)
 
-    matched = F.aggregate(rules, empty, apply_rule)["found"]
+    found = F.aggregate(rules, empty, apply_rule)["found"]
+    matched = F.when(F.size(found) > 1, F.array_remove(found, LAST)).otherwise(found)
     return rows.withColumn("licences", F.when(F.size("identifiers") > 0, matched)
                            .otherwise(F.array().cast("array<string>")))

@@ -68,6 +68,60 @@ def test_gnu_headers(spark):
     assert [r["licences"] for r in lic.scan(alone).collect()] == [["GPL-3.0-or-later"]]
 
 
+BSD_2 = """// Copyright (c) 2020, Some One
+// All rights reserved.
+//
+// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are met:
+//
+// 1. Redistributions of source code must retain the above copyright notice, this
+//    list of conditions and the following disclaimer.
+//
+// 2. Redistributions in binary form must reproduce the above copyright notice,
+//    this list of conditions and the following disclaimer in the documentation
+//    and/or other materials provided with the distribution.
+"""
+APACHE_HEADER = """# Copyright 2020 Some One
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */"""
+EPL = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/"""
+SPDX = "// SPDX-License-Identifier: "
+HEADERS = [
+    (BSD_2, ["BSD-2-Clause"]), (APACHE_HEADER, ["Apache-2.0"]), (MPL, ["MPL-2.0"]), (EPL, ["EPL-2.0"]),
+    (EPL.replace("License 2.0", "License v1.0"), ["EPL-1.0"]),
+    ("This is under the GNU Library General Public License, version 2.", ["LGPL-2.0"]),
+    ("This file is not licensed under the MIT license.", []),
+    (SPDX + "Apache-2.0 OR MIT", ["Apache-2.0", "MIT"]), (SPDX + "GPL-2.0-or-later", ["GPL-2.0-or-later"]),
+    (SPDX + "MIT-0\nimport os", ["MIT-0"]), (SPDX + "LGPL-2.1-only */", ["LGPL-2.1"]), (SPDX + "MPL-2.0.", ["MPL-2.0"]),
+    (SPDX + "GPL-2.0+ WITH Classpath-exception-2.0", ["GPL-2.0-or-later"]),
+    (SPDX + "(MIT OR GPL-3.0-only) AND BSD-3-Clause\nint x;", ["BSD-3-Clause", "GPL-3.0", "MIT"]),
+    (SPDX + "((Apache-2.0) OR (MIT))", ["Apache-2.0", "MIT"]), (SPDX + "LicenseRef-own", []),
+    (SPDX, []), ("SPDX-License-Identifier:MIT", ["MIT"]),
+    (SPDX + "ISC\n// Copyright (c) 2020 X.\n// All rights reserved.", ["ISC"])]
+
+
+def test_published_headers(spark):
+    df = spark.createDataFrame(list(enumerate(t for t, _ in HEADERS)), "doc_id long, text string")
+    got = {r["doc_id"]: sorted(r["licences"]) for r in lic.scan(df).collect()}
+    assert {HEADERS[i][0]: g for i, g in got.items()} == dict(HEADERS)
+
+
 def test_no_python_in_the_plan(spark):
     from tessera.llm.queries import QUERIES
     df = QUERIES["op6_licence_scan"](spark, "/root/testdata/sf0.001")
