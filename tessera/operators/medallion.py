@@ -63,7 +63,7 @@ def customer_bronze(spark: SparkSession, source_path: str, bronze_path: str,
     The text is kept as it is (no inference pass); lines that do not have the header's
     columns go to ``rejects_path`` with their raw text instead of being padded or cut.
     """
-    good, bad = read_delimited(spark, source_path, header=True)
+    good, bad = read_delimited(spark, source_path, header=True, file_column="_source_file")
     write_layer(with_provenance(good), bronze_path, "csv")
     write_layer(bad, rejects_path or f"{bronze_path.rstrip('/')}_rejects", "json")
     return bronze_path

@@ -27,7 +27,8 @@ def _schema(schema) -> StructType | None:
 def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", header: bool = True,
                    quote: str = '"', escape: str = "\\", infer: bool = False,
                    on_bad: str = "quarantine", names: Sequence[str] | None = None,
-                   options: dict | None = None, same_header: bool = False):
+                   options: dict | None = None, same_header: bool = False,
+                   file_column: str | None = None):
     """SRC-1..5: delimited text.
 
     ``on_bad="quarantine"`` returns ``(good, bad)``: rows that do not fit (too few or too many
@@ -40,7 +41,8 @@ def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", heade
     Several files with headers are read by column name: each file's own header says where its
     columns are.  Rows of files that lack a column, or have one that is unknown or repeated, are
     bad rows.  ``same_header`` promises equal headers (layers written by this library) and
-    saves the pass over the files that finds them.
+    saves the pass over the files that finds them.  ``file_column`` adds each row's file, also
+    where Spark's own ``_metadata`` is lost since files of several headers are put together.
     """
     if on_bad not in ("quarantine", "fail", "drop"):
         raise ValueError(f"unknown on_bad {on_bad!r}")
@@ -55,12 +57,13 @@ def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", heade
         schema = StructType([StructField(n, f.dataType, True) for n, f in zip(names, schema, strict=True)])
     if header and not same_header and not names:
         found = _headers(r.csv(path), sep, quote, escape, options or {})
-        if any(columns != schema.names for columns in found):
-            return _read_by_name(spark, found, schema, sep, quote, escape, on_bad, options)
+        if any(list(columns) != schema.names for columns in found):
+            return _read_by_name(spark, found, schema, sep, quote, escape, on_bad, options, file_column)
     # a row is judged by all its fields, whichever columns a query reads
     r = r.option("columnPruning", "false").option("enforceSchema", "true")
     if on_bad != "quarantine":
-        return r.schema(schema).option("mode", "FAILFAST" if on_bad == "fail" else "DROPMALFORMED").csv(path)
+        read = r.schema(schema).option("mode", "FAILFAST" if on_bad == "fail" else "DROPMALFORMED").csv(path)
+        return read.withColumn(file_column, F.col("_metadata.file_path")) if file_column else read
     fields = [f.name for f in schema.fields]
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     # Spark converts only the fields that a query reads, and refuses scans of the raw text
@@ -69,7 +72,8 @@ def read_delimited(spark: SparkSession, path, schema=None, sep: str = ",", heade
     raw = F.when(F.col(CORRUPT).isNotNull(), F.concat(F.col(CORRUPT), F.substring(every, 1, 0)))
     parsed = (r.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .csv(path).withColumns({"_raw": raw, "_raw_file": F.col("_metadata.file_path")}))
-    good = parsed.filter(F.col("_raw").isNull()).select(*[F.col(f"`{c}`") for c in fields])
+    extra = [F.col("_raw_file").alias(file_column)] if file_column else []
+    good = parsed.filter(F.col("_raw").isNull()).select(*[F.col(f"`{c}`") for c in fields if c != file_column], *extra)
     bad = parsed.filter(F.col("_raw").isNotNull()).select(
         F.col("_raw").alias("raw_record"), F.col("_raw_file").alias("_source_file"))
     return good, bad
@@ -112,9 +116,11 @@ def _headers(loaded: DataFrame, sep: str, quote: str, escape: str, options: dict
 
 
 def _read_by_name(spark: SparkSession, found: dict[tuple[str, ...], list[str]], schema: StructType,
-                  sep: str, quote: str, escape: str, on_bad: str, options: dict | None):
+                  sep: str, quote: str, escape: str, on_bad: str, options: dict | None,
+                  file_column: str | None = None):
     """Files of several headers: each group by its own columns, put into the schema's order."""
     wanted = {f.name: f for f in schema.fields}
+    extra = [file_column] if file_column else []
     goods, bads = [], []
     for columns, files in sorted(found.items()):
         complete = sorted(columns) == sorted(wanted)
@@ -123,16 +129,17 @@ def _read_by_name(spark: SparkSession, found: dict[tuple[str, ...], list[str]],
         if complete:
             own = StructType([wanted[c] for c in columns])
             read = read_delimited(spark, files, own, sep, True, quote, escape, on_bad=on_bad,
-                                  options=options, same_header=True)
+                                  options=options, same_header=True, file_column=file_column)
             good, bad = read if on_bad == "quarantine" else (read, None)
-            goods.append(good.select(*[F.col(f"`{c}`") for c in wanted]))
+            goods.append(good.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*wanted, *extra])]))
             if bad is not None:
                 bads.append(bad)
         elif on_bad == "quarantine":
             lines = spark.read.text(files).select(
                 F.col("value").alias("raw_record"), F.col("_metadata.file_path").alias("_source_file"))
             bads.append(_without_header(lines, columns, sep, quote, escape))
-    none = spark.createDataFrame([], schema)
+    none = spark.createDataFrame([], StructType([*[f for f in schema.fields if f.name != file_column],
+                                             *[StructField(c, StringType()) for c in extra]]))
     good = reduce(DataFrame.unionByName, goods, none)
     if on_bad != "quarantine":
         return good
@@ -181,9 +188,10 @@ def read_layer(spark: SparkSession, path, fmt: str = "parquet", schema=None) ->
 
 def with_provenance(df: DataFrame, file_col: str = "_source_file",
                     time_col: str = "_ingestion_timestamp") -> DataFrame:
-    """SRC-13: source file (from the file-source metadata column) and ingestion time."""
-    return df.withColumns({file_col: F.col("_metadata.file_path"),
-                           time_col: F.current_timestamp()})
+    """SRC-13: source file (from the file-source metadata column, unless the rows have it
+    already) and ingestion time."""
+    file = F.col(file_col if file_col in df.columns else "_metadata.file_path")
+    return df.withColumns({file_col: file, time_col: F.current_timestamp()})
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, column: str | None = None,

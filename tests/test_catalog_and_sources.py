@@ -143,3 +143,35 @@ def test_silver_keeps_count_of_copies_without_an_index(spark, tmp_path):
     kept, rejected, copies = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("silver", "rejected", "copies"))
     assert [kept.count(), rejected.count(), copies.count()] == [2, 1, 3]
     assert "_row" not in {*kept.columns, *rejected.columns, *copies.columns, *res.valid.columns}
+
+
+FEED = ["Index", "Customer Id", "First Name", "Last Name", "Company", "City", "Country", "Phone 1", "Email",
+        "Subscription Date"]
+
+
+@pytest.mark.parametrize("turned", [False, True], ids=["same headers", "other order"])
+def test_a_feed_of_several_files_reaches_bronze_and_silver(spark, tmp_path, turned):
+    """Each row keeps its own file, also where the files' columns stand in another order."""
+    from tessera.operators.medallion import customer_bronze, customer_silver
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for n in range(3):
+        row = dict(zip(FEED, [str(n), f"c{n}", "Ann", "Lee", "Co", "Rome", "Italy", "1", f"a{n}@mail.com",
+                              "2024-01-02"]))
+        columns = FEED[::-1] if turned and n else FEED
+        (feed / f"f{n}.csv").write_text(",".join(columns) + "\n" + ",".join(row[c] for c in columns) + "\n")
+    customer_bronze(spark, str(feed), f"{tmp_path}/bronze")
+    bronze = spark.read.option("header", "true").csv(f"{tmp_path}/bronze").collect()
+    assert {r["Customer Id"]: r["_source_file"].rsplit("/", 1)[1] for r in bronze} == {
+        f"c{n}": f"f{n}.csv" for n in range(3)}
+    res = customer_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/rejected")
+    assert res.counts["input"] == res.counts["valid"] == 3
+
+
+def test_files_of_one_header_are_read_in_one_go(spark, tmp_path):
+    """The read by names is for files whose headers differ."""
+    for n in range(2):
+        (tmp_path / f"f{n}.csv").write_text(f"a,b\n{n},x\n")
+    good, _ = S.read_delimited(spark, str(tmp_path))
+    assert "Union" not in good._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, good.collect())) == [("0", "x"), ("1", "x")]
