@@ -13,7 +13,7 @@ Two families:
   of the whole table when there is none - to one task.  Here one partial/final
   count tells whether a key (or the table) has more than ``hot_rows`` rows; if
   none has, the plain window is used.  Otherwise the rows are dealt into ranges
-  of (keys, all order columns) by Spark's range partitioner, which sorts any type,
+  (``_ranges`` bounds their number) of (keys, all order columns) by Spark's range partitioner, which sorts any type,
   nulls and NaN as the window does, and splits ties of the first order columns by
   the later ones.  Ranges are materialised once, so counts and rows agree on them.
   Only keys that lie in several ranges need offsets: at most two rows per range.
@@ -44,6 +44,9 @@ from tessera.session import checkpoint_root
 
 # A key with more rows than this is cut into ranges; fewer stay in one task.
 DEFAULT_HOT_ROWS = 2_000_000
+# More ranges than this are made only where ranges would exceed DEFAULT_HOT_ROWS rows otherwise:
+# every range is a task and a file, and the range partitioner's sample grows with their number.
+MOST_RANGES = 480
 
 
 # --------------------------------------------------------------------------- helpers
@@ -127,6 +130,14 @@ def _hot_total(df: DataFrame, keys: list[str], hot_rows: int) -> int | None:
     return row["total"] if (row["most"] or 0) > hot_rows else None
 
 
+def _ranges(total: int, hot_rows: int) -> int:
+    """Into how many ranges ``total`` rows are dealt: of half of ``hot_rows`` rows on average, but
+    no more than ``MOST_RANGES`` while ranges of half of ``DEFAULT_HOT_ROWS`` rows do with fewer.
+    Larger ranges hold more rows; all rows are dealt in any case."""
+    wanted, least = (-(-2 * total // rows) for rows in (hot_rows, max(hot_rows, DEFAULT_HOT_ROWS)))
+    return max(min(wanted, MOST_RANGES), least)
+
+
 def _range_table(ranged: DataFrame, keys: list[str], sums: dict[str, Column],
                  rank_cols: Sequence[str], order: list[OrderKey]) -> DataFrame:
     """Per (key, range) of keys that lie in several ranges: sizes and what precedes.
@@ -206,8 +217,7 @@ def _split_positions(df: DataFrame, keys, order, sums: dict[str, Column] | None
                                "_rn": F.row_number().over(local).cast("long")})
         return out.withColumn("_n", F.col("_cnt")), None, None
     checkpoint_root(df.sparkSession)
-    ranges = -(-2 * total // hot_rows)
-    ranged = (df.repartitionByRange(ranges, *[F.col(k) for k in keys], *[o.column for o in order])
+    ranged = (df.repartitionByRange(_ranges(total, hot_rows), *[F.col(k) for k in keys], *[o.column for o in order])
               .withColumn("_seg", F.spark_partition_id()).checkpoint())
     offs = _range_table(ranged, keys, sums, rank_cols, order)
     if rank_cols:

@@ -127,3 +127,18 @@ def test_sums_keep_every_digit(spark):
     df = spark.createDataFrame([(1, "1.005"), (2, "2.004")], "id int, t string").select(
         "id", F.col("t").cast("decimal(18,3)").alias("v"))
     assert {str(r["s"]) for r in W.with_total(df, "v", "s").collect()} == {"3.009"}
+
+
+def test_number_of_ranges_is_bounded(orders, monkeypatch):
+    """More rows make larger ranges, not ever more tasks, up to the default bound of a task."""
+    assert [W._ranges(n, 1000) for n in (1500, 900_000, 54_000_000)] == [3, W.MOST_RANGES, W.MOST_RANGES]
+    assert W._ranges(10**12, 1000) == W._ranges(10**12, W.DEFAULT_HOT_ROWS) == 10**6
+    assert W._ranges(10**9, 10 * W.DEFAULT_HOT_ROWS) == 100
+    monkeypatch.setattr(W, "MOST_RANGES", 7)
+    ranked = W.with_rank_columns(orders, "o_orderstatus", ["o_orderdate", "o_orderkey"], "rn", "rk", "drk",
+                                 rank_order=["o_orderdate"], hot_rows=10)
+    plain = W.with_rank_columns(orders, "o_orderstatus", ["o_orderdate", "o_orderkey"], "rn", "rk", "drk",
+                                rank_order=["o_orderdate"], strategy="literal")
+    assert same(ranked, plain, ["o_orderkey", "rn", "rk", "drk"])
+    pos, _ = W.positions(orders, [], ["o_orderkey"], hot_rows=10)
+    assert pos.select("_seg").distinct().count() <= 7
