@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -310,6 +309,10 @@ def json_config_file(spark, sf):
                        .alias("pending"), (F.col("c_acctbal") < F.col("limits.warning")).alias("below"))
 
 
+#: Lines of one file of the strict load: bounded text in a task, and few files.
+FILE_LINES = 20_000
+
+
 @query("csv_strict_rows", """
 SELECT 'good' AS kind, COUNT(*) AS records, MAX('a;' || o_orderpriority) AS sample FROM orders
 WHERE o_orderkey % 50 NOT IN (1, 2)
@@ -325,10 +328,11 @@ def csv_strict_rows(spark, sf):
     path = work_path(spark, "strict_csv")
     o = read_table(spark, sf, "orders")
     for part in range(2):  # each writer puts the header on top of its single file
-        body = o.filter(k % 2 == part).select(F.concat_ws("\n", F.lit("id;note;again"), F.array_join(
-            F.collect_list(line).over(Window.partitionBy(F.floor(k / 200))), "\n")).alias("value"),
-            F.row_number().over(Window.partitionBy(F.floor(k / 200)).orderBy(k)).alias("n"))
-        body.filter("n = 1").select("value").repartition(8).write.mode("append").option(
+        # neighbouring rows of one input partition share a file, FILE_LINES at most
+        rows = o.filter(k % 2 == part).select(line.alias("line"), F.floor(
+            F.monotonically_increasing_id() / FILE_LINES).alias("file"))
+        body = rows.groupBy("file").agg(F.concat_ws("\n", F.lit("id;note;again"), F.collect_list("line")).alias("value"))
+        body.select("value").repartition(8).write.mode("append").option(
             "lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
     good, bad = S.read_delimited(spark, path, sep=";", escape="~")
     g = good.agg(F.count(F.lit(1)).alias("records"), F.max(F.split("note", '"')[0]).alias("sample"))
