@@ -30,15 +30,24 @@ def small_file_bins(spark: SparkSession, path: str, small_bytes: int, target_byt
 
     Files are packed in order of their names: a bin ends where the running size of its folder
     passes a multiple of ``target_bytes``, so a bin has less than ``target_bytes + small_bytes``.
-    A file alone in its bin is left as it is.
+    A file left over alone takes the last one of the bin before along, if that bin has more than
+    two.  A file alone in its bin is left as it is.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .select(F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_size").alias("bytes")))
-    before = Window.partitionBy(_FOLDER).orderBy(_FILE).rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy(_FOLDER).orderBy(_FILE)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     place = F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / target_bytes)
+    follower = F.lead("place", 1).over(ordered)
+    lone = (follower != F.col("place")) & F.lead("place", 2).over(ordered).isNull()
     packed = (files.filter(F.col("bytes") < small_bytes)
               .withColumn(_FOLDER, F.regexp_extract(_FILE, "^(.*)/[^/]*$", 1))
-              .withColumn(_BIN, F.sha1(F.concat(_FOLDER, F.lit(":"), place.cast("string")))))
+              .withColumn("place", place)
+              .withColumns({"follower": F.when(lone, follower),
+                            "files": F.count(F.lit(1)).over(Window.partitionBy(_FOLDER, "place"))})
+              .withColumn("place", F.when(F.col("files") > 2, F.coalesce("follower", "place")).otherwise(F.col("place")))
+              .withColumn(_BIN, F.sha1(F.concat(_FOLDER, F.lit(":"), F.col("place").cast("string"))))
+              .drop("place", "follower", "files"))
     shared = F.count(F.lit(1)).over(Window.partitionBy(_FOLDER, _BIN)) > 1
     return packed.withColumn("shared", shared).filter("shared").drop("shared")
 

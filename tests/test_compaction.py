@@ -99,3 +99,14 @@ def test_empty_folder(spark):
     spark.range(0).write.parquet(path)
     C.merge_small_files(spark, path, SMALL)
     assert spark.read.parquet(path).count() == 0
+
+
+def test_a_file_left_over_is_merged_as_well(spark):
+    path = work_path(spark, "left_over")
+    for n in range(1, 6):
+        spark.range(n, n + 1).coalesce(1).write.mode("append").parquet(path)
+    sizes = _files(path).values()
+    # four files reach the target, the fifth begins a bin of its own
+    assert C.merge_small_files(spark, path, max(sizes) + 1, 4 * min(sizes)) == 5
+    assert len(_files(path)) == 2
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(1, 6))
