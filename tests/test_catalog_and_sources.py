@@ -175,3 +175,22 @@ def test_files_of_one_header_are_read_in_one_go(spark, tmp_path):
     good, _ = S.read_delimited(spark, str(tmp_path))
     assert "Union" not in good._jdf.queryExecution().analyzed().toString()
     assert sorted(map(tuple, good.collect())) == [("0", "x"), ("1", "x")]
+
+
+def test_strict_load_has_few_files(spark, tmp_path, monkeypatch):
+    """Files hold up to FILE_LINES lines, whatever the keys are; every line is in one of them."""
+    from tessera.queries import table_queries as TQ
+    spark.range(1, 5001).selectExpr("id * 200 + id % 2 AS o_orderkey", "'1-URGENT' AS o_orderpriority").coalesce(1).write.parquet(
+        f"{tmp_path}/orders.parquet")
+    files, read = [], S.read_delimited
+
+    def seen(session, path, **how):
+        files.extend(session.read.text(path).inputFiles())
+        return read(session, path, **how)
+
+    monkeypatch.setattr(TQ.S, "read_delimited", seen)
+    monkeypatch.setattr(TQ, "FILE_LINES", 1000)
+    rows = {r["kind"]: r["records"] for r in TQ.csv_strict_rows(spark, str(tmp_path)).collect()}
+    keys = [(i * 200 + i % 2) % 50 for i in range(1, 5001)]
+    assert rows == {"good": sum(k not in (1, 2) for k in keys), "bad": sum(k in (1, 2) for k in keys)}
+    assert 2 < len(files) <= 8

@@ -110,3 +110,23 @@ def test_a_file_left_over_is_merged_as_well(spark):
     assert C.merge_small_files(spark, path, max(sizes) + 1, 4 * min(sizes)) == 5
     assert len(_files(path)) == 2
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(1, 6))
+
+
+def test_query_has_more_writers_for_more_rows(spark, tmp_path, monkeypatch):
+    """Several large files a folder, so several bins of small ones, and all of these are merged."""
+    from tessera.queries import physical_queries as PQ
+    spark.range(60000).selectExpr("id AS l_orderkey", "IF(id % 4 < 2, 'N', 'A') AS l_returnflag",
+                                  "CAST(id % 50 AS DOUBLE) AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    large = []
+    merge = C.merge_small_files
+
+    def seen(session, path, small, target):
+        large.extend(f for f, size in _files(path).items() if size >= small)
+        return merge(session, path, small, target)
+
+    monkeypatch.setattr(PQ.C, "merge_small_files", seen)
+    monkeypatch.setattr(PQ, "MERGE_ROWS", 20000, raising=False)
+    rows = PQ.merge_small_files(spark, str(tmp_path)).collect()
+    assert [r["lines"] for r in rows] == [30000, 30000]
+    assert all(r["large_files_kept"] and r["small_files_merged"] for r in rows)
+    assert len(large) == 6
