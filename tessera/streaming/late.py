@@ -77,8 +77,9 @@ def _schema(schema: StructType) -> StructType:
 
 
 def divided(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All rows that came, with ``is_late``."""
-    return spark.read.schema(_schema(schema)).option("basePath", f"{path}/{_ROWS}").parquet(f"{path}/{_ROWS}")
+    """All rows that came, with ``is_late`` and the batch."""
+    rows = spark.read.schema(_schema(schema)).option("basePath", f"{path}/{_ROWS}").parquet(f"{path}/{_ROWS}")
+    return rows.select(*[F.col(f"`{c}`") for c in schema.names], LATE, "batch_id")  # however the folders are nested
 
 
 def on_time(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
