@@ -7,6 +7,8 @@ locally before the shuffle.  Texts are processed whole.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 # default string tokenizer: space, tab, newline, carriage return, form feed).
 WORD_DELIMITERS = r"[ \t\n\r\f]+"
 
-# The stream tokeniser keeps ASCII letters, digits and spaces only.
-STREAM_KEEP_PATTERN = r"[^a-zA-Z0-9 ]"
+# The stream tokeniser keeps ASCII letters, digits and spaces only.  The characters
+# are listed one by one: such a class is a table look-up, one of ranges a chain of calls a character.
+STREAM_KEEP_PATTERN = f"[^{string.ascii_letters}{string.digits} ]"
 
 
 def word_count(df: DataFrame, c: str, lower: bool = False, min_len: int = 1,

@@ -24,8 +24,9 @@ SLICES = 4
 
 
 def replay(df: DataFrame, ts: str, transform: Callable[[DataFrame], DataFrame], mode: str,
-           schema, fmt: str = "parquet", slices: int = SLICES) -> str:
-    """Stream ``df`` through ``transform`` slice by slice; returns the sink's folder."""
+           schema, fmt: str = "parquet", slices: int = SLICES, order=()) -> str:
+    """Stream ``df`` through ``transform`` slice by slice; returns the sink's folder.  Complete
+    mode is a report of windowed counts in ``order``."""
     spark = df.sparkSession
     source, out, state = (work_path(spark, f"replay_{part}") for part in ("source", "out", "state"))
     t = F.col(ts).cast("timestamp").cast("double")
@@ -33,9 +34,11 @@ def replay(df: DataFrame, ts: str, transform: Callable[[DataFrame], DataFrame],
     # number of cut points below the time: 0 for the first slice
     place = sum(((t > F.lit(c)).cast("int") for c in cuts or []), F.lit(0))
     for n in range(slices):
-        df.filter(F.coalesce(place, F.lit(0)) == n).write.mode("append").format(fmt).save(source)
+        slice_ = df.filter(F.coalesce(place, F.lit(0)) == n).write.mode("append").format(fmt)
+        (slice_.option("compression", "lz4") if fmt == "json" else slice_).save(source)
         stream = spark.readStream.schema(schema).format(fmt).load(source)
-        ST.run_to_end(ST.start(transform(stream), out, mode, checkpoint=state))
+        ST.run_to_end(ST.start_report(stream, transform, out, order, checkpoint=state) if mode == "complete"
+                      else ST.start(transform(stream), out, mode, checkpoint=state))
     return out
 
 
@@ -92,12 +95,13 @@ SELECT time_bucket(INTERVAL '5 minutes', created_at) AS window_start,
 FROM w WHERE length(word) >= 4 GROUP BY 1, 2, 3 ORDER BY count DESC, word""")
 def stream_word_window(spark, sf):
     """STM-2 / 4 / 6 / 9: JSON post files streamed slice by slice; tokens of ≥ 4
-    characters counted per 5-minute window, complete mode (a sorted report needs it)."""
+    characters counted per 5-minute window, complete mode (a sorted report needs it): every
+    slice leaves the whole sorted report."""
     schema = StructType.fromDDL("post_id STRING, text STRING, author_id STRING, "
                                 "created_at TIMESTAMP, lang STRING")
-    out = replay(_posts(spark, sf), "created_at", lambda s: ST.windowed_tokens(s, "text", "created_at").orderBy(
-        F.desc("count"), "word"), "complete", schema, fmt="json")
-    return ST.flatten_window(spark.read.parquet(out)).select(
+    out = replay(_posts(spark, sf), "created_at", lambda s: ST.windowed_tokens(s, "text", "created_at"),
+                 "complete", schema, fmt="json", order=[F.desc("count"), F.col("word")])
+    return ST.flatten_window(ST.last_report(spark, out)).select(
         "window_start", "window_end", "word", "count").orderBy(F.desc("count"), "word")
 
 
