@@ -22,6 +22,8 @@ from pyspark.sql.types import DoubleType, FloatType
 BITS = 24
 #: Significant bits that settle the rounding; what lies below only tells whether it is zero.
 ENOUGH = 80
+#: States of more limbs than this are rounded by ``result`` alone; ``attach`` has steps for each.
+MOST_STEPS = 12
 _INF = float("inf")
 
 
@@ -101,6 +103,52 @@ class DoubleSum:
                      .when(up > 0, F.lit(_INF)).when(down > 0, F.lit(-_INF)).otherwise(value))
         return F.when(limbs[0].isNotNull(), value)
 
+    def attach(self, df: DataFrame, name: str, sums: Sequence[Column]) -> DataFrame:
+        """``df`` with ``result(sums)`` as column ``name``, in plain arithmetic of a few steps:
+        for results of many rows.
+
+        The state is carried into digits from -2**23 to 2**23 of base 2**24.  What follows the
+        leading digit is about half of its unit at most, so the four digits from there on hold
+        over 70 bits of the sum, and of the rest only the sign matters: one addition of two
+        exact doubles rounds.
+        """
+        if self.limbs > MOST_STEPS:
+            return df.withColumn(name, self.result(sums))
+        n, half = self.limbs, F.lit(1 << (BITS - 1)).cast("long")
+        carry = lambda c: F.shiftright(c + half, BITS)
+        carried = [F.coalesce(c, F.lit(0).cast("long")) for c in sums[:n]]
+        for i in range(1, n + 2):
+            carried[i:i + 1] = [carried[i] + carry(carried[i - 1]) if i < n else carry(carried[i - 1])]
+        at, digit, sign = ([f"_{kind}{i}_{name}" for i in range(n + 2)] for kind in ("at", "digit", "sign"))
+        odd = [f"_odd{i}_{name}" for i in range(3)] if self.odd else []
+        out = df.withColumns({f"_some_{name}": sums[0].isNotNull(), **dict(zip(at, carried)),
+                              **dict(zip(odd, sums[n:]))})
+        out = out.withColumns({digit[i]: F.col(at[i]) - (F.shiftleft(carry(F.col(at[i])), BITS) if i <= n else F.lit(0))
+                               for i in range(n + 2)})
+        # of the number that digit i ends
+        below = F.lit(0.0)
+        signs = {}
+        for i in range(n - 1):
+            below = F.signum(F.col(digit[i]) * 2 + below)
+            signs[sign[i]] = below
+        out = out.withColumns(signs)
+        d = lambda i: F.col(digit[i]) if i >= 0 else F.lit(0).cast("long")
+        value = None
+        for k in reversed(range(n + 2)):
+            high = (d(k) * (1 << BITS) + d(k - 1)).cast("double") * math.ldexp(1.0, 2 * BITS + 1)
+            rest = ((d(k - 2) * (1 << BITS) + d(k - 3)) * 2).cast("double")
+            part = high + (rest + F.col(sign[k - 4]) if k >= 4 else rest)
+            for factor in _power(BITS * (k - 3 + self.low) - 1):
+                part = part * F.lit(factor)
+            value = F.when(d(k) != 0, part) if value is None else value.when(d(k) != 0, part)
+        value = value.otherwise(0.0)
+        if odd:
+            nan, up, down = (F.col(c) for c in odd)
+            value = (F.when((nan > 0) | ((up > 0) & (down > 0)), F.lit(float("nan")))
+                     .when(up > 0, F.lit(_INF)).when(down > 0, F.lit(-_INF)).otherwise(value))
+        return (out.withColumn(name, F.when(F.col(f"_some_{name}"), value))
+                .drop(f"_some_{name}", *at, *digit, *signs, *odd))
+
 
 class PlainSum:
     """Sums of types whose addition is exact, and DOUBLE money as decimals of ``scale`` digits."""
@@ -117,6 +165,9 @@ class PlainSum:
     def result(self, sums: Sequence[Column]) -> Column:
         return sums[0] if self.scale is None else sums[0].cast("double")
 
+    def attach(self, df: DataFrame, name: str, sums: Sequence[Column]) -> DataFrame:
+        return df.withColumn(name, self.result(sums))
+
 
 def summing(df: DataFrame, column: str, scale: int | None = None) -> DoubleSum | PlainSum:
     """How to sum a column so that every split of its rows gives the same result."""

@@ -406,8 +406,7 @@ def with_running_sum(df: DataFrame, keys, order, column: str, name: str,
         # the state of all earlier ranges goes on in this one
         before = [F.col(f"_soff_{c}") for c in totals]
         state = [F.coalesce(b + h, b, h) for b, h in zip(before, state)]
-    out = pos.withColumn(name, how.result(state))
-    return _drop_internal(out).drop(*[f"_here_{c}" for c in totals])
+    return _drop_internal(how.attach(pos, name, state)).drop(*[f"_here_{c}" for c in totals])
 
 
 def ntile_of(rn: Column, n_rows: Column, buckets: int) -> Column:
@@ -564,7 +563,8 @@ def with_moving_avg(df: DataFrame, keys, order, column: str, preceding: int, nam
         out = _attach(out, fix, keys).withColumns({
             "_mcnt": F.col("_mcnt") + F.coalesce(F.col("_xcnt"), F.lit(0)),
             **{m: F.coalesce(F.col(m) + F.col(f"_x{m}"), F.col(m), F.col(f"_x{m}")) for m in names}})
-    mean = how.result([F.col(m) for m in names]).cast("double") / F.col("_mcnt")
+    out = how.attach(out, "_msum", [F.col(m) for m in names])
+    mean = F.col("_msum").cast("double") / F.col("_mcnt")
     out = out.withColumn(name, F.when(F.col("_mcnt") > 0, mean))
     return out.select(*df.columns, name)
 
