@@ -57,14 +57,15 @@ _NULLABLE_RULES = ("Invalid email",)
 
 
 def customer_bronze(spark: SparkSession, source_path: str, bronze_path: str,
-                    rejects_path: str | None = None) -> str:
+                    rejects_path: str | None = None, codec: str | None = None) -> str:
     """Bronze: raw CSV + provenance columns → CSV layer.
 
     The text is kept as it is (no inference pass); lines that do not have the header's
     columns go to ``rejects_path`` with their raw text instead of being padded or cut.
+    ``codec`` compresses the layer.
     """
     good, bad = read_delimited(spark, source_path, header=True, file_column="_source_file")
-    write_layer(with_provenance(good), bronze_path, "csv")
+    write_layer(with_provenance(good), bronze_path, "csv", codec=codec)
     write_layer(bad, rejects_path or f"{bronze_path.rstrip('/')}_rejects", "json")
     return bronze_path
 

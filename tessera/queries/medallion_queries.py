@@ -23,8 +23,8 @@ from tessera.operators.quality import (REASON, REASONS, apply_rules, check, reco
                                        unique_check)
 from tessera.plans.facts import plan_facts
 from tessera.queries.registry import query
-from tessera.session import read_table, work_path
-from tessera.sinks.layout import write_layer
+from tessera.session import read_table, tuned, work_path
+from tessera.sinks.layout import remove_layers, write_layer
 
 
 def raw_customer_feed(spark, sf):
@@ -320,19 +320,25 @@ SELECT feed, COUNT(*) AS input_records,
   (SELECT SUM(epoch(d) / 86400)::BIGINT FROM (SELECT max(subscription_date) AS d FROM valid GROUP BY customer_id)) AS days_kept
 FROM validated, (VALUES {', '.join(f"('{name}')" for name in _FEEDS)}) feeds(feed) GROUP BY feed""")
 def silver_any_index(spark, sf):
-    """DED-3 / DQ-6: whatever the feed's index is, every row is kept, rejected or a removed copy."""
-    out = []
+    """DED-3 / DQ-6: whatever the feed's index is, every row is kept, rejected or a removed copy.
+
+    The feeds go through the layers one after the other; the layers of one are removed when its
+    line of the result is written, so that the disk holds one feed's layers at a time, their CSV compressed."""
+    spark, out = tuned(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}), []
     for name, make in _FEEDS.items():
         index = make()
         feed = raw_customer_feed(spark, sf)
         feed = feed.drop("Index") if index is None else feed.withColumn("Index", index)
         base = work_path(spark, "any_index")
-        paths = {k: f"{base}/{k}" for k in ("source", "bronze", "silver", "rejected", "duplicates")}
-        write_layer(feed, paths["source"], "csv")
-        M.customer_bronze(spark, paths["source"], paths["bronze"])
-        M.customer_silver(spark, paths["bronze"], paths["silver"], paths["rejected"], paths["duplicates"])
+        paths = {k: f"{base}/{k}" for k in ("source", "bronze", "silver", "rejected", "duplicates", "validated")}
+        write_layer(feed, paths["source"], "csv", codec="lz4")
+        M.customer_bronze(spark, paths["source"], paths["bronze"], codec="lz4")
+        M.customer_silver(spark, paths["bronze"], paths["silver"], paths["rejected"], paths["duplicates"],
+                          paths["validated"])
         layers = [spark.read.parquet(paths[k]) for k in ("silver", "rejected", "duplicates")]
         days = layers[0].agg(F.sum(F.unix_date("subscription_date")).cast("long")).scalar()
-        out.append(reconcile(spark.read.option("header", "true").csv(paths["bronze"]), *layers)
-                   .withColumns({"feed": F.lit(name), "days_kept": days}))
+        line = (reconcile(spark.read.option("header", "true").csv(paths["bronze"]), *layers)
+                .withColumns({"feed": F.lit(name), "days_kept": days}))
+        out.append(spark.read.parquet(write_layer(line, work_path(spark, "any_index_line"))))
+        remove_layers(spark, base)
     return reduce(DataFrame.unionByName, out)

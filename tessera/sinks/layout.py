@@ -52,6 +52,12 @@ def write_counted(df: DataFrame, path: str, metrics: dict[str, Column] | None =
     return seen.get
 
 
+def remove_layers(spark: SparkSession, base_path: str) -> None:
+    """Removes the folder of layers that nothing reads any more."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(base_path)
+    base.getFileSystem(spark._jsc.hadoopConfiguration()).delete(base, True)
+
+
 def write_reports(reports: dict[str, DataFrame], base_path: str, fmt: str = "parquet",
                   audit_column: str = "_gold_processed_timestamp") -> dict[str, str]:
     """SNK-3: write each named report with an audit timestamp column."""
